@@ -54,16 +54,18 @@ def any_key_null(keys: list[str]) -> Column:
 
 
 def lookup(rows: DataFrame, per_key: DataFrame, on: str | list[str], how: str = "inner",
-           spread: list[str] | None = None, group_rows: int = GROUP_ROWS, **bounds: int) -> DataFrame:
+           spread: list[str] | None = None, group_rows: int = GROUP_ROWS, small: bool | None = None,
+           **bounds: int) -> DataFrame:
     """Join ``rows`` to ``per_key`` (one row per key) without letting a hot key pile up in one task.
 
     A measured-small ``per_key`` is broadcast. Otherwise hot keys get as many salts as they have
     full groups: their rows are scattered by a hash of ``spread`` and their single ``per_key`` row is
     copied once per salt. The salt is a function of the row, so a recomputed task repeats it.
+    ``small`` passes on a measurement the caller has made already.
     ``how`` is one of inner, left, left_semi, left_anti.
     """
     on = [on] if isinstance(on, str) else list(on)
-    if is_small(per_key, **bounds):
+    if is_small(per_key, **bounds) if small is None else small:
         return rows.join(F.broadcast(per_key), on, how)
     return salted_join(rows, per_key, on, how, hot_keys(rows, on, group_rows), spread, group_rows)
 

@@ -9,7 +9,7 @@ from skein.functions.fixed import CZECH_LETTERS
 from skein.functions.text import (clean_tokens, initial, is_clean_word, is_letter, letters_in_words,
                                   normal_word, occurrences, token_count, tokens)
 from skein.operators.aggregates import value_counts
-from skein.operators.order import top_k
+from skein.operators.order import arg_extreme, top_k
 
 
 def explode_words(df: DataFrame, col: str, lower: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -77,6 +77,13 @@ def top_by_occurrences(df: DataFrame, phrase: str, k: int, title: str = "title",
     return top_k(per_title, "hits", k, ["_first"]).select(title, "hits")
 
 
+def most_and_least_words(df: DataFrame, col: str, order: str) -> DataFrame:
+    """The rows with most and fewest words, marked in column ``which``; the first in order wins ties."""
+    counted = df.withColumn("n_words", token_count(col))
+    most, least = arg_extreme(counted, "n_words", "max", order), arg_extreme(counted, "n_words", "min", order)
+    return most.withColumn("which", F.lit("most")).unionByName(least.withColumn("which", F.lit("least")))
+
+
 def words_per_row_histogram(df: DataFrame, col: str) -> DataFrame:
     """Rows per number of words."""
     return value_counts(df, token_count(col), "n_words")
