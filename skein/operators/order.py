@@ -80,14 +80,14 @@ def _previous_in_blocks(df: DataFrame, value: str, order: list[str], key: str |
         "_block", F.floor(F.col("_index") / block_rows))
     carried = F.struct(same_key.alias("k"), F.col(value).alias("v"))
     inside = indexed.withColumn(
-        "_before", F.lag(carried).over(Window.partitionBy("_block").orderBy("_index")))
+        "_lagged", F.lag(carried).over(Window.partitionBy("_block").orderBy("_index")))
     edges = indexed.filter(F.col("_index") % block_rows == block_rows - 1).select(
         (F.col("_block") + 1).alias("_block"), carried.alias("_edge"))
-    before = F.coalesce("_before", "_edge")
+    before = F.coalesce("_lagged", "_edge")
     return (
         inside.join(edges, "_block", "left")
         .withColumn(name, F.when(before["k"].eqNullSafe(same_key), before["v"]))
-        .drop("_index", "_block", "_before", "_edge")
+        .drop("_index", "_block", "_lagged", "_edge")
     )
 
 

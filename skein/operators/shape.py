@@ -14,8 +14,13 @@ def project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def try_numeric(df: DataFrame, cols: list[str], kind: str = "double") -> DataFrame:
-    """Cast text columns; text that is no number becomes null."""
-    return df.withColumns({c: F.col(c).try_cast(kind) for c in cols})
+    """Cast text columns; text that is no number becomes null. Whole kinds cut off a fraction."""
+    def number(c: str) -> Column:
+        if kind in ("double", "float"):
+            return F.col(c).try_cast(kind)
+        return F.coalesce(F.col(c).try_cast(kind), F.col(c).try_cast("double").try_cast(kind))
+
+    return df.withColumns({c: number(c) for c in cols})
 
 
 def binarise(df: DataFrame, col: str, threshold: float = 0, null_label: str = "drop",

@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Soft bound on one micro-batch of a file source, so that no group in it is unbounded.
-BATCH_BYTES = "16g"
+BATCH_BYTES = 16 << 30
 
 
 def stream_lines(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None,
-                 max_bytes_per_trigger: str | None = None) -> DataFrame:
+                 max_bytes_per_trigger: int | None = None) -> DataFrame:
     """New text files of a folder, one row per line in column ``value``."""
     return _limited(spark, max_files_per_trigger, max_bytes_per_trigger).text(folder)
 
 
 def stream_table(spark: SparkSession, folder: str, schema: StructType | str, glob: str = "*.parquet",
                  max_files_per_trigger: int | None = None,
-                 max_bytes_per_trigger: str | None = None) -> DataFrame:
+                 max_bytes_per_trigger: int | None = None) -> DataFrame:
     """New Parquet files of a folder."""
     reader = _limited(spark, max_files_per_trigger, max_bytes_per_trigger)
     return reader.schema(schema).option("pathGlobFilter", glob).parquet(folder)
@@ -48,7 +48,7 @@ def with_arrival_time(stream: DataFrame, name: str = "event_time") -> DataFrame:
     return stream.withColumn(name, F.current_timestamp())
 
 
-def _limited(spark: SparkSession, files: int | None, size: str | None):
+def _limited(spark: SparkSession, files: int | None, size: int | None):
     """Reader bounded by a number of files, or else by bytes (the source takes one of the two)."""
     if files:
         return spark.readStream.option("maxFilesPerTrigger", files)

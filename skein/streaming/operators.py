@@ -8,17 +8,29 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType, TimestampNTZType
 
 from skein.functions.fixed import MATCH_PATTERN, MATCH_WINDOW, WORD_WINDOW
 from skein.operators.words import clean_words, first_letter_count
 
 
-def with_watermark(stream: DataFrame, col: str, delay: str = "0 seconds") -> DataFrame:
-    """Declare event time: rows later than ``delay`` behind the newest may be dropped."""
+def with_watermark(stream: DataFrame, col: str, delay: str | None = "0 seconds") -> DataFrame:
+    """Declare event time: rows later than ``delay`` behind the newest may be dropped.
+
+    Spark takes an instant for that, so a time without zone is read in the session's zone.
+    """
+    if delay is None:
+        return stream
+    if stream.schema[col].dataType == TimestampNTZType():
+        stream = stream.withColumn(col, F.col(col).cast("timestamp"))
     return stream.withWatermark(col, delay)
 
 
+def window_bounds(time: DataType) -> list[Column]:
+    """Start and end of column ``window``, in the type the event time came in."""
+    return [F.col(f"window.{end}").cast(time).alias(f"window_{end}") for end in ("start", "end")]
+
+
 def time_window(time: str, size: str, slide: str | None = None) -> Column:
     """Sliding window, or a tumbling one without ``slide``."""
     return F.window(time, size, slide) if slide else F.window(time, size)
@@ -34,14 +46,11 @@ def windowed_word_count(stream: DataFrame, size: str = WORD_WINDOW[0], slide: st
     """
     time = time_col or "_arrival"
     timed = stream if time_col else stream.withColumn(time, F.current_timestamp())
-    if watermark:
-        timed = timed.withWatermark(time, watermark)
     counted = (
-        clean_words(timed, col, keep=[time])
+        clean_words(with_watermark(timed, time, watermark), col, keep=[time])
         .groupBy(time_window(time, size, slide).alias("window"), "word")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                "word", "n")
+        .select(*window_bounds(timed.schema[time].dataType), "word", "n")
     )
     return counted if watermark else counted.orderBy("window_start", F.col("n").desc(), "word")
 
@@ -75,13 +84,11 @@ def windowed_match_counts(stream: DataFrame, size: str = MATCH_WINDOW[0], slide:
                           watermark: str | None = None, title: str = "title",
                           text: str = "text") -> DataFrame:
     """Rows with a title, and rows whose text fits a LIKE pattern, per window."""
-    timed = stream.withWatermark(time_col, watermark) if watermark else stream
     return (
-        timed.groupBy(time_window(time_col, size, slide).alias("window"))
+        with_watermark(stream, time_col, watermark).groupBy(time_window(time_col, size, slide).alias("window"))
         .agg(F.count(title).alias("total_articles"),
              F.sum(F.col(text).like(pattern).cast("int")).alias("matching_articles"))
-        .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                "total_articles", "matching_articles")
+        .select(*window_bounds(stream.schema[time_col].dataType), "total_articles", "matching_articles")
     )
 
 
