@@ -13,12 +13,15 @@ def project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for old, new in columns.items()])
 
 
+# Kind through which text becomes a whole number; it holds every value of the target exactly.
+# A direct cast of text with a fraction fails, and failing costs an exception per row.
+THROUGH = {"int": "double", "bigint": "decimal(38,9)", "long": "decimal(38,9)"}
+
+
 def try_numeric(df: DataFrame, cols: list[str], kind: str = "double") -> DataFrame:
     """Cast text columns; text that is no number becomes null. Whole kinds cut off a fraction."""
     def number(c: str) -> Column:
-        if kind in ("double", "float"):
-            return F.col(c).try_cast(kind)
-        return F.coalesce(F.col(c).try_cast(kind), F.col(c).try_cast("double").try_cast(kind))
+        return F.col(c).try_cast(THROUGH.get(kind, kind)).try_cast(kind)
 
     return df.withColumns({c: number(c) for c in cols})
 

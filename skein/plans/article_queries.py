@@ -14,7 +14,7 @@ from skein.plans.registry import query
 from skein.plans.sql import CLEAN, COLLIDING, RAW
 from skein.plans.tables import (DEFAULT_NOW, SITE_PREFIX, articles, colliding_articles, raw_articles,
                                 table)
-from skein.session import new_folder
+from skein.session import new_folder, spread
 
 # Layout of the driver's pages.
 PAGE_RULES = {"title": "article h1", "paragraphs": "article p"}
@@ -43,7 +43,7 @@ select url, trim({UNESCAPED.format('title')}) as title,
   0 as comment_count
 from plain""")
 def extract_articles(spark, sf_dir):
-    found = art.extract_articles(table(spark, sf_dir, "pages"), PAGE_RULES)
+    found = art.extract_articles(spread(table(spark, sf_dir, "pages")), PAGE_RULES)
     return found.select(
         "url", "title", F.array_join("text", "\n").alias("text"),
         (F.size("text") - 1).alias("n_paragraphs"), "photo_count", "time", "comment_count")
@@ -55,14 +55,14 @@ LINKS_SQL = """select page_id, unnest(regexp_extract_all(
 
 @query("extract_links", LINKS_SQL)
 def extract_links(spark, sf_dir):
-    return art.extract_links(table(spark, sf_dir, "pages"), PAGE_LINKS)
+    return art.extract_links(spread(table(spark, sf_dir, "pages")), PAGE_LINKS)
 
 
 @query("frontier_anti_join", f"""
 select distinct href from ({LINKS_SQL})
 where href not in (select '/' || word from (select unnest(string_split(text, ' ')) as word from benchmark))""")
 def frontier_anti_join(spark, sf_dir):
-    links = art.extract_links(table(spark, sf_dir, "pages"), PAGE_LINKS)
+    links = art.extract_links(spread(table(spark, sf_dir, "pages")), PAGE_LINKS)
     words = table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", " ")).alias("word"))
     return art.frontier(links, words.select(F.concat(F.lit("/"), "word").alias("url")))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from skein.functions.skew import lookup
 from skein.operators import learn, splits
 from skein.plans.registry import query
 from skein.plans.tables import table
+from skein.session import spread
 
 ROW = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -19,7 +22,7 @@ DELAYS = learn.DelaySpec(
 
 def deliveries(spark, sf_dir):
     """Order lines with the days between order and shipping; pending orders count as cancelled."""
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = spread(table(spark, sf_dir, "lineitem")).select(
         *ROW, "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderpriority", "o_orderstatus")
@@ -34,8 +37,8 @@ def deliveries(spark, sf_dir):
 
 
 def delay_features(spark, sf_dir):
-    DELAYS.keep = F.col("cancelled") == 0
-    return learn.prepare_delay_features([deliveries(spark, sf_dir)], DELAYS, ROW)
+    spec = replace(DELAYS, keep=F.col("cancelled") == 0)
+    return learn.prepare_delay_features([deliveries(spark, sf_dir)], spec, ROW)
 
 
 def ranks(column: str) -> str:

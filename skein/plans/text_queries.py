@@ -9,7 +9,16 @@ from skein.operators import words as w
 from skein.operators.aggregates import in_year
 from skein.plans.registry import query
 from skein.plans.sql import CLEAN, SPACE, clean_words, words
-from skein.plans.tables import articles, table
+from skein.plans import tables
+from skein.plans.tables import table
+from skein.session import spread
+
+
+
+def articles(spark, sf_dir):
+    """Articles on all cores: splitting texts is the heavy part of every query here."""
+    return spread(tables.articles(spark, sf_dir))
+
 
 TOKENS = f"list_filter(regexp_split_to_array(text, '{SPACE}'), lambda x: x <> '')"
 

@@ -59,3 +59,12 @@ def cut(df: DataFrame) -> DataFrame:
     the optimizer real sizes.
     """
     return df.sparkSession.read.schema(df.schema).parquet(write_cut(df))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Hand rows out to all cores when their files split into fewer pieces than that.
+
+    For work that costs much per row. A table of many files comes back as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
