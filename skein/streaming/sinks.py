@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from skein.functions.skew import lookup
 from skein.operators.order import previous_value
 from skein.session import new_folder
 
@@ -127,14 +126,16 @@ def advances_by_batch(stream: DataFrame, path: str, time: str, order: str, key:
         before = F.struct("event_date", "_seen")
         linked = previous_value(rows.withColumn("_now", before), "_now", [order], key, "_before",
                                 **(sizes or {}))
-        last = rows.groupBy(by).agg(F.max_by("event_date", order).alias("last_date"))
+        last = rows.groupBy(F.col(by).alias("_key")).agg(F.max_by("event_date", order).alias("last_date"))
         if batch_id > 0:
             state = spark.read.parquet(f"{path}/state/batch={batch_id - 1}")
             first = linked.filter(F.col("_before").isNull())
             later = linked.filter(F.col("_before").isNotNull())
-            first = first.join(state, F.col(by).eqNullSafe(state[by]), "left").drop(state[by])
+            first = first.join(state, F.col(by).eqNullSafe(F.col("_key")), "left").drop("_key")
             linked = first.unionByName(later.withColumn("last_date", F.lit(None).cast("date")))
-            last = last.unionByName(state.join(last, state[by].eqNullSafe(last[by]), "left_anti"))
+            seen = last.select(F.col("_key").alias("_seen_key"))
+            last = last.unionByName(
+                state.join(seen, F.col("_key").eqNullSafe(F.col("_seen_key")), "left_anti"))
         else:
             linked = linked.withColumn("last_date", F.lit(None).cast("date"))
         previous = F.when(F.col("_before").isNotNull(), F.col("_before.event_date")).otherwise(
