@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from skein.session import cut
 
@@ -21,11 +22,25 @@ HOT_KEYS = 10_000
 NULL_SALTS = 1024
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row: 8 bytes per column of fixed width, the real length of the others."""
+    size = F.lit(0)
+    for column in df.schema:
+        if isinstance(column.dataType, (StringType, BinaryType)):
+            width = F.coalesce(F.octet_length(F.col(column.name)), F.lit(0))
+        elif isinstance(column.dataType, (ArrayType, MapType, StructType)):
+            width = F.coalesce(F.octet_length(F.to_json(F.struct(column.name))), F.lit(0))
+        else:
+            width = F.lit(8)
+        size = size + width
+    return size.cast("bigint")
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure ``df`` with one aggregate: does it stay inside the broadcast bounds?"""
     size = df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b"),
+        F.sum(row_bytes(df)).alias("b"),
     ).first()
     return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
 

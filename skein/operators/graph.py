@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from skein.functions.skew import lookup
 from skein.operators.joins import name_of_top
+from skein.session import cut
 
 
 def degree(lines: DataFrame, col: str = "value", sum_lines: bool = True) -> DataFrame:
@@ -31,7 +32,11 @@ def most_connected(degrees: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def least_connected(degrees: DataFrame, names: DataFrame) -> DataFrame:
-    """Named nodes with the fewest connections, sorted by name."""
+    """Named nodes with the fewest connections, sorted by name.
+
+    The degrees are needed twice, so they are written once: one row per node instead of all lines.
+    """
+    degrees = cut(degrees)
     fewest = degrees.agg(F.min("connections"))
     return degrees.filter(F.col("connections") == fewest.scalar()).join(names, "id").orderBy("name", "id")
 
