@@ -108,7 +108,7 @@ def clean_words(df: DataFrame, col: str, extra_letters: str = CZECH_LETTERS,
                 keep: list[str] | None = None) -> DataFrame:
     """One row per lower-cased word of accepted letters. Works on batch and streaming frames."""
     words = df.select(*(keep or []), F.explode(clean_tokens(col, extra_letters)).alias("word"))
-    return words.filter(is_clean_word("word", extra_letters))
+    return words.filter(is_clean_word("word"))
 
 
 def clean_word_count(df: DataFrame, col: str, extra_letters: str = CZECH_LETTERS) -> DataFrame:

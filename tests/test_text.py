@@ -59,3 +59,5 @@ def test_clean_words(spark):
     rows = spark.createDataFrame([("Ahoj, jak se dneska máš? 4x b2 ß",)], "value string")
     assert sorted(r.word for r in w.clean_words(rows, "value").collect()) == [
         "ahoj", "dneska", "jak", "máš", "se"]
+    assert sorted(r.word for r in w.clean_words(rows, "value", "").collect()) == [
+        "ahoj", "dneska", "jak", "m", "se"]
