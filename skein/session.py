@@ -7,11 +7,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders made by this driver and not yet dropped.
+_MADE: list[str] = []
+
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g",
-                  name: str = "skein") -> SparkSession:
-    """Single-machine session. A cluster brings its own session and settings."""
-    return (
+                  name: str = "skein", **settings: str) -> SparkSession:
+    """Single-machine session with a folder of its own for cuts. A cluster brings its own session."""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(name)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
@@ -19,30 +22,34 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="skein-"))
+        # The tables of the tests are single small files; let Spark split them for all cores.
+        .config("spark.sql.files.maxPartitionBytes", "4m")
+        .config("spark.sql.files.openCostInBytes", "1m")
     )
+    for key, value in settings.items():
+        builder = builder.config(key.replace("__", "."), value)
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
-
-    A local master may fall back to a temporary folder; a cluster may not, because its executors
-    would not see it.
-    """
+    """Folder all executors can reach: ``spark.checkpoint.dir``, else one below the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="skein-"))
-    return context.getCheckpointDir().rstrip("/")
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/skein-cuts"
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _MADE.append(f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def drop_cuts(spark: SparkSession) -> None:
+    """Delete the folders made so far. Call it when the results that read them are written."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    while _MADE:
+        path = hadoop(_MADE.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_cut(df: DataFrame) -> str:
