@@ -7,10 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import bpe, quotient
+from skein.llm import bpe, phrase_index, quotient
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
+# A to Z in lower case; null as empty.
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
 
@@ -28,14 +31,39 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("""
+with words as (select doc_id, regexp_extract_all({body}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents),
+item_words as (select item_id, regexp_extract_all({body}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from benchmark),
+windows as (
+  select distinct item_id, least(len(w), 13) as size, array_to_string(w[i:i + 12], ' ') as phrase
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as i from item_words where len(w) > 0)),
+sizes as (select distinct size from windows),
+places as (
+  select doc_id, size, unnest(range(1, len(w) - size + 2)) as i, w from words, sizes where len(w) >= size),
+found as (
+  select p.doc_id, p.i, p.size, v.item_id
+  from (select doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') as phrase from places) p
+  join windows v on p.phrase = v.phrase and p.size = v.size),
+hits as (
+  select doc_id, count(distinct pos) as n_hit
+  from (select doc_id, unnest(range(i, i + size)) as pos from found) group by doc_id),
+items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as list
+  from (select distinct doc_id, item_id::varchar as item from found) group by doc_id)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(h.n_hit, 0) as n_hit, coalesce(n.n_items, 0) as n_items,
+  sha256(coalesce(n.list, '')) as items_sha256,
+  coalesce(h.n_hit, 0) > 0 and 20 * coalesce(h.n_hit, 0) >= len(d.w) as contaminated
+from words d left join hits h using (doc_id) left join items n using (doc_id)
+""".replace("{body}", LOWER))
+def op2_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_index.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(read(spark, sf_dir, "documents"), WORD_BPE)
 
 
-LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-
-
 @query(f"""
 with n as (select doc_id, sha256({LOWER}) as text_sha256, {LOWER} as body from documents)
 select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
