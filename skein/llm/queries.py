@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import bpe, phrase_index, quotient, simhash
+from skein.llm import bpe, deobfuscate, phrase_index, quotient, simhash
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -59,6 +59,11 @@ def op2_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_index.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query()
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deobfuscate.digest(deobfuscate.find(read(spark, sf_dir, "documents")), deobfuscate.KINDS)
+
+
 @query()
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents"))
