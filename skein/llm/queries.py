@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import bpe, deobfuscate, phrase_index, quotient, simhash
+from skein.llm import bpe, deobfuscate, guess_cost, phrase_index, quotient, simhash
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -69,6 +69,12 @@ def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents"))
 
 
+@query()
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = guess_cost.find(read(spark, sf_dir, "documents"), WORD_BPE)
+    return deobfuscate.digest(found, guess_cost.KINDS)
+
+
 @query()
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(read(spark, sf_dir, "documents"), WORD_BPE)
