@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import bpe, deobfuscate, guess_cost, phrase_index, quotient, simhash
+from skein.llm import bpe, deobfuscate, edit_counts, guess_cost, phrase_index, quotient, simhash, snapshots
 
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 # A to Z in lower case; null as empty.
@@ -69,6 +70,33 @@ def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents"))
 
 
+@query()
+def op5_edited_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after the edits of a clean-up job."""
+    docs = read(spark, sf_dir, "documents").withColumn("edits", edit_counts.house_edits())
+    edited = edit_counts.apply_edits(edit_counts.build(docs, BYTE_RANKS, keep=("edits",)), BYTE_RANKS)
+    return edited.select("doc_id", "n_before", "n_after", "n_encoded")
+
+
+@query("""
+with t as (
+  select conv_id, greatest(floor(coalesce(turn, -1) / 1024), -1)::bigint as part,
+    row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) as k,
+    coalesce(role, '') as role, coalesce(text, '') as text,
+    hash(role is null, text is null) || chr(1) || coalesce(role, '') || chr(2) || coalesce(text, '') || chr(3) as piece
+  from conversations where conv_id is not null),
+p as (select *, string_agg(piece, '') over (partition by conv_id order by k) as prefix,
+        max(k) over (partition by conv_id) as n_turns from t),
+ends as (select min(conv_id) as conv_id, prefix, n_turns, count(*) as n_copies from p where k = n_turns group by prefix, n_turns),
+kept as (select * from ends where prefix not in (select prefix from p where k < n_turns))
+select t.conv_id, t.part, k.n_turns, k.n_copies,
+  string_agg('<|im_start|>' || replace(t.role, '<|', '< |') || chr(10) || replace(t.text, '<|', '< |') || '<|im_end|>' || chr(10), '' order by t.k) as rendered
+from t join kept k using (conv_id) group by t.conv_id, t.part, k.n_turns, k.n_copies
+""")
+def op6_collapsed_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshots.collapse(read(spark, sf_dir, "conversations"))
+
+
 @query()
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = guess_cost.find(read(spark, sf_dir, "documents"), WORD_BPE)
