@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import bpe, deobfuscate, edit_counts, guess_cost, phrase_index, quotient, simhash, snapshots
+from skein.llm import bpe, deobfuscate, edit_counts, guess_cost, phrase_index, quotient, simhash, snapshots, suffix_tree
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -32,6 +32,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(read(spark, sf_dir, "documents"))
+
+
 @query("""
 with words as (select doc_id, regexp_extract_all({body}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents),
 item_words as (select item_id, regexp_extract_all({body}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from benchmark),
