@@ -3,10 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skein.llm import bpe, quotient
+from skein.llm import bpe, cotrain, phrase_index, quotient, simhash
 from skein.llm.queries import WORD_BPE, read
-from skein.session import new_folder
+from skein.llm.rows import without
+from skein.session import cut, new_folder
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifiers hold for good and not toxic."""
+    scored = cotrain.score(docs, read(spark, sf_dir, "labels"), rows=True)
+    return scored.filter(~F.col("rejected")).select("row.*")
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,16 +22,38 @@ def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quotient.exact_groups(docs, rows=True).filter("kept").select("row.*")
 
 
+def keep_one_near_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by fingerprints the row with the smallest doc_id."""
+    return simhash.near_groups(docs, rows=True).filter("kept").select("row.*")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than one word in twenty lies in a window of a benchmark item.
+
+    The decision hangs on the text alone, so it is found and taken by the text's hash; ids may be null or repeat.
+    """
+    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+    found = phrase_index.contamination(docs.select(digest.alias("digest"), "text"), read(spark, sf_dir, "benchmark"), key="digest")
+    dropped = cut(found.filter("contaminated").select("doc_id").distinct())
+    return without(docs, dropped, digest)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token digests of what is left."""
     return bpe.round_trip_digests(docs, WORD_BPE)
 
 
 STAGES = [
+    ("quality", keep_good),
     ("exact dedup", keep_one_copy),
+    ("near dedup", keep_one_near_copy),
+    ("decontamination", drop_contaminated),
     ("bpe", encode),
 ]
 
+# Classifier, components and encoding are beyond SQL; tests compare each stage with a brute-force one.
+ORACLE_SQL = None
+
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; every result is a table in the shared folder that the next one reads."""
@@ -33,6 +63,3 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
     return docs
-
-
-ORACLE_SQL = None

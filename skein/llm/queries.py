@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import bpe, deobfuscate, edit_counts, guess_cost, phrase_index, quotient, simhash, snapshots, suffix_tree
+from skein.llm import bpe, cotrain, deobfuscate, edit_counts, guess_cost, phrase_index, quotient, simhash, snapshots, suffix_tree
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -108,6 +108,11 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deobfuscate.digest(found, guess_cost.KINDS)
 
 
+@query()
+def op8_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query()
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(read(spark, sf_dir, "documents"), WORD_BPE)

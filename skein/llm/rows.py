@@ -45,17 +45,7 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def without(docs: DataFrame, dropped: DataFrame, key: str = "doc_id", dropped_key: str = "doc_id") -> DataFrame:
+def without(docs: DataFrame, dropped: DataFrame, key: Column, dropped_key: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose key is not in ``dropped``; columns of ``docs`` only, null keys compare equal."""
     ids = dropped.select(F.col(dropped_key).alias("__dropped_key"))
-    return docs.join(ids, docs[key].eqNullSafe(ids["__dropped_key"]), "left_anti")
-
-
-def total_bytes(docs: DataFrame, text: str = "text") -> int:
-    """Bytes of all texts, from one aggregate."""
-    return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-
-
-def lower_ascii(text: Column) -> Column:
-    """Letters A to Z in lower case, all else as it is."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return docs.join(ids, key.eqNullSafe(ids["__dropped_key"]), "left_anti")

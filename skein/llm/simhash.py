@@ -37,15 +37,21 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fingerprint`` (a long holding the 64 bits) of every row; no shuffle."""
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                 rows: bool = False) -> DataFrame:
+    """``doc_id, fingerprint`` (a long holding the 64 bits) of every row, with ``rows`` also the row; no shuffle."""
+    named = texts(docs, key, text)
+    if rows:
+        named = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
+                            F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+
     def run(batches):
         for part in slices(batches):
             out = np.array([fingerprint(t, shingle) for t in as_bytes(part.column("text"))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(out)], ["doc_id", "fingerprint"])
+            arrays = [part.column("doc_id"), pa.array(out), *([part.column("row")] if rows else [])]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "fingerprint", "row"][:len(arrays)])
 
-    rows = texts(docs, key, text)
-    return rows.mapInArrow(run, f"doc_id {key_type(rows)}, fingerprint long")
+    return named.mapInArrow(run, f"doc_id {key_type(named)}, fingerprint long" + (f", row {key_type(named, 'row')}" if rows else ""))
 
 
 def segments(limit: int) -> list[tuple[int, int]]:
@@ -104,25 +110,28 @@ def links(values: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                limit: int = LIMIT) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row; fingerprint as 16 hex digits.
+                limit: int = LIMIT, rows: bool = False) -> DataFrame:
+    """``doc_id, fingerprint, component_id, kept`` for every row, with ``rows`` also the row as ``row``.
 
-    Words are runs without ASCII white space, A to Z in lower case; shingles are ``shingle`` words joined by a
-    space, the whole sequence where there are fewer. Texts without words (null, empty) have fingerprint zero and are
-    linked like any other. ``component_id`` is the smallest ``doc_id`` reachable over links, a null ``doc_id`` counting
-    only where there is no other. Repeated rows come out repeated; other columns are not looked at.
+    Fingerprints come as 16 hex digits. Words are runs without ASCII white space, A to Z in lower case; shingles are
+    ``shingle`` words joined by a space, the whole sequence where there are fewer. Texts without words (null, empty)
+    have fingerprint zero and are linked like any other. ``component_id`` is the smallest ``doc_id`` reachable over links,
+    a null one only where there is no other; one row that has it is ``kept``. Repeated rows come out repeated; other
+    columns are not looked at.
 
     Copies are reduced to one fingerprint with a map-side minimum before any comparison, and get their component
     back by a join of two written tables, which Spark splits where one fingerprint owns very many rows.
     """
-    every = cut(fingerprints(docs, key, text, shingle))
-    distinct = cut(every.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
+    every = cut(fingerprints(docs, key, text, shingle, rows).withColumn("tag", F.monotonically_increasing_id()))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "tag"))
+    distinct = cut(every.groupBy("fingerprint").agg(first.alias("first")))
     roots = components(links(distinct.select("fingerprint"), limit))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root"))
-    rooted = cut(rooted)
-    # Every root's least id; a root of very many fingerprints is combined on the map side, then joined back.
-    least = cut(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")))
-    named = cut(rooted.join(least, "root").select("fingerprint", "component_id"))
+    rooted = cut(distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
+        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")))
+    # A root of very many fingerprints is combined on the map side, then joined back to them.
+    least = cut(rooted.groupBy("root").agg(F.min("first").alias("least")))
+    named = cut(rooted.join(least, "root").select(
+        "fingerprint", F.col("least.doc_id").alias("component_id"), F.col("least.tag").alias("kept_tag")))
     return every.join(named, "fingerprint").select(
-        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id",
+        (F.col("tag") == F.col("kept_tag")).alias("kept"), *(["row"] if rows else []))
