@@ -62,7 +62,7 @@ def segments(limit: int) -> list[tuple[int, int]]:
 
 
 def bits_of(value: Column, low: int, width: int) -> Column:
-    return F.shiftrightunsigned(value, low).bitwiseAND((1 << width) - 1)
+    return value if width == BITS else F.shiftrightunsigned(value, low).bitwiseAND((1 << width) - 1)
 
 
 def chain_keys(value: Column, limit: int) -> Column:
