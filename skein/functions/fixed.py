@@ -44,3 +44,7 @@ LINK_SELECTORS = ("[score-type='Article']", "a.art-link", "a.aside")
 DEFAULT_LINE = "To be, or not to be, that is the question"
 
 # --------------------------------------------------------------------------------------------------
+
+# Fahrenheit scale: the freezing point of water, and its 180 degrees to the boiling point over 100 kelvin.
+WATER_FREEZES = 32.0
+DEGREES_PER_KELVIN = 180 / 100

@@ -15,13 +15,6 @@ BROADCAST_BYTES = 32 << 20
 # Rows of one key that a single task may sort or join.
 GROUP_ROWS = 5_000_000
 
-# Upper bound on the number of keys treated as hot, whatever the table size.
-HOT_KEYS = 10_000
-
-# Rows without a key match nothing; they are spread over this many salts.
-NULL_SALTS = 1024
-
-
 def row_bytes(df: DataFrame) -> Column:
     """Size of a row: 8 bytes per column of fixed width, the real length of the others."""
     size = F.lit(0)
@@ -45,57 +38,31 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
     return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
 
 
-def broadcast_if_small(df: DataFrame, **bounds: int) -> DataFrame:
-    """``df`` with a broadcast hint when it was measured to be small, else unchanged."""
-    return F.broadcast(df) if is_small(df, **bounds) else df
-
-
 def hot_keys(df: DataFrame, keys: list[str], group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Keys with more rows than one task should hold, as ``keys + [_n]``.
+    """Keys with more rows than one task should hold, as ``keys + [_n]``, written out.
 
-    The threshold grows with the table, so at most ``HOT_KEYS`` rows come back. Counts are combined
-    on the map side, so measuring a hot key does not itself suffer from it.
+    Counts are combined on the map side, so measuring a hot key does not itself suffer from it. At most one
+    key in ``group_rows`` rows comes back; joins with the written table are planned by its size.
     """
-    threshold = max(group_rows, df.count() // HOT_KEYS)
-    return cut(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > threshold))
+    return cut(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > group_rows))
 
 
-def any_key_null(keys: list[str]) -> Column:
-    """True where at least one of the key columns is null."""
-    test = F.lit(False)
-    for key in keys:
-        test = test | F.col(key).isNull()
-    return test
-
-
-def lookup(rows: DataFrame, per_key: DataFrame, on: str | list[str], how: str = "inner",
-           spread: list[str] | None = None, group_rows: int = GROUP_ROWS, small: bool | None = None,
-           **bounds: int) -> DataFrame:
+def lookup(rows: DataFrame, per_key: DataFrame, on: str | list[str], how: str = "inner", **bounds: int) -> DataFrame:
     """Join ``rows`` to ``per_key`` (one row per key) without letting a hot key pile up in one task.
 
-    A measured-small ``per_key`` is broadcast. Otherwise hot keys get as many salts as they have
-    full groups: their rows are scattered by a hash of ``spread`` and their single ``per_key`` row is
-    copied once per salt. The salt is a function of the row, so a recomputed task repeats it.
-    ``small`` passes on a measurement the caller has made already.
+    A measured-small ``per_key`` is broadcast, and ``rows`` is not shuffled. Otherwise both sides are shuffled once, and
+    Spark's adaptive join splits the pieces of ``rows`` that are too large for a task by bytes, along map outputs, so equal
+    rows are split too (unless they are so few bytes that one task may have them). It can do so when both shuffles feed the join directly; a ``per_key`` that was grouped
+    brings its own shuffle, so it is written first. ``rows`` is read once either way.
     ``how`` is one of inner, left, left_semi, left_anti.
     """
     on = [on] if isinstance(on, str) else list(on)
-    if is_small(per_key, **bounds) if small is None else small:
+    if is_small(per_key, **bounds):
         return rows.join(F.broadcast(per_key), on, how)
-    return salted_join(rows, per_key, on, how, hot_keys(rows, on, group_rows), spread, group_rows)
-
-
-def salted_join(rows: DataFrame, per_key: DataFrame, on: list[str], how: str, hot: DataFrame,
-                spread: list[str] | None = None, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """The shuffled way of :func:`lookup`, for given hot keys (bounded, hence broadcast)."""
-    salts = F.broadcast(hot.select(*on, F.ceil(F.col("_n") / group_rows).cast("int").alias("_salts")))
-    row_hash = F.xxhash64(*[F.col(c) for c in (spread or rows.columns)])
-    scattered = rows.join(salts, on, "left").withColumn(
-        "_salt",
-        F.when(any_key_null(on), F.pmod(row_hash, F.lit(NULL_SALTS)))
-        .otherwise(F.pmod(row_hash, F.coalesce("_salts", F.lit(1)))).cast("int"),
-    ).drop("_salts")
-    copied = per_key.join(salts, on, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
-    ).drop("_salts")
-    return scattered.join(copied, [*on, "_salt"], how).drop("_salt")
+    return rows.join(cut(per_key) if is_shuffled(per_key) else per_key, on, how)
+
+
+def is_shuffled(df: DataFrame) -> bool:
+    """Does the plan end in rows already grouped by a shuffle of its own?"""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return "Aggregate [" in plan or "Window [" in plan or "Join " in plan

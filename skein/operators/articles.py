@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from urllib.parse import unquote
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,27 @@ ARTICLE_SCHEMA = ("url string, title string, text array<string>, tags array<stri
                   "photo_count int, time string, comment_count int")
 
 
+# Bytes of html a Python task takes apart before it hands records on; a larger page is taken alone.
+PIECE_BYTES = 4 << 20
+
+
+def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with at most ``limit`` bytes in a column."""
+    for batch in batches:
+        start = held = 0
+        for at, size in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
+            if at > start and held + size > limit:
+                yield batch.slice(start, at - start)
+                start, held = at, 0
+            held += size
+        if start < batch.num_rows:
+            yield batch.slice(start)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def extract_articles(pages: DataFrame, rules: dict[str, str] | None = None,
                      time_attribute: str = TIME_ATTRIBUTE) -> DataFrame:
     """Article record of every page of ``pages(url, html)``.
@@ -33,7 +55,7 @@ def extract_articles(pages: DataFrame, rules: dict[str, str] | None = None,
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths = {part: steps(selector) for part, selector in rules.items()}
-        for batch in batches:
+        for batch in pieces(batches, "html"):
             records = [
                 article_record(url, pick(html, paths), time_attribute)
                 for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist())
@@ -77,7 +99,7 @@ def extract_links(pages: DataFrame, selectors: tuple[str, ...] = LINK_SELECTORS[
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths = {selector: steps(selector) for selector in selectors}
-        for batch in batches:
+        for batch in pieces(batches, "html"):
             keys, hrefs = [], []
             for at, html in enumerate(batch.column("html").to_pylist()):
                 found = [attrs.get("href") for hits in pick(html, paths).values() for _, attrs in hits]
@@ -100,7 +122,7 @@ def frontier(links: DataFrame, finished: DataFrame, link: str = "href", done: st
 
 def with_category(df: DataFrame, prefix: str, url: str = "url") -> DataFrame:
     """Category = first path segment of urls under ``prefix``, null elsewhere."""
-    path = F.substring(F.col(url), len(prefix) + 1, 1 << 30)
+    path = F.expr(f"substring({quoted(url)}, {len(prefix) + 1})")
     return df.withColumn(
         "category", F.when(F.col(url).startswith(prefix), F.split_part(path, F.lit("/"), F.lit(1))))
 
@@ -129,15 +151,19 @@ def append_articles(new: DataFrame, store: str, order: str, keys: tuple[str, ...
                     partition_by: str | None = None) -> DataFrame:
     """Append the articles not yet in the Parquet store at ``store``; returns what was appended.
 
-    A new article is left out when it shares a key with a stored one or with an earlier new one.
+    A new article is left out when it shares a key with a stored one or with an earlier new one. Of the store only
+    the key columns are read, and only rows that meet a key of the batch go on: a batch measured small is broadcast
+    to that scan, so nothing of the store is shuffled. ``partition_by`` lays the store out in folders.
     """
     marks = {f"_{k}": comparable(k) for k in keys}
     fresh = new.withColumns(marks)
     stored = read_store(new.sparkSession, store)
     if stored is not None:
-        stored = stored.select(*[comparable(k).alias(f"_{k}") for k in keys])
-        for mark in marks:
-            fresh = lookup(fresh, stored.select(mark).distinct(), mark, "left_anti", spread=[order])
+        fresh = cut(fresh)
+        for k, mark in zip(keys, marks):
+            wanted = fresh.select(mark).distinct()
+            known = lookup(stored.select(comparable(k).alias(mark)), wanted, mark, "left_semi").distinct()
+            fresh = lookup(fresh, cut(known), mark, "left_anti")
     kept = cut(dedupe_greedy(fresh.drop(*marks), list(keys), order))
     writer = kept.write.mode("append")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(store)

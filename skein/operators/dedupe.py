@@ -2,40 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.functions.skew import GROUP_ROWS, is_small, lookup
+from skein.functions.skew import lookup
 from skein.session import cut, write_cut
 
-# Rest small enough for one task to finish.
-TAIL_ROWS = 100_000
-
-
 def comparable(key: str) -> Column:
     """Key as text in which a missing value equals another missing value."""
     return F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("-"))
 
 
-def kept_positions(df: DataFrame, keys: list[str], order: str, tail_rows: int = TAIL_ROWS,
-                   group_rows: int = GROUP_ROWS, **bounds: int) -> DataFrame:
+def kept_positions(df: DataFrame, keys: list[str], order: str, **bounds: int) -> DataFrame:
     """Positions kept by a walk in ``order`` that skips a row sharing any key with a kept row.
 
-    ``order`` must be unique. Each round keeps the rows that come first under all of their keys
-    (nothing before them can block them), then removes every row sharing a key with a kept one. The
-    first remaining row is always kept, so the rounds end; their number is the longest chain of rows
-    blocking each other. Firsts are minima combined on the map side and meet on the unique position;
-    removals go through the skew-safe lookup. Each round is written out. Once the rest is measured
-    to be at most ``tail_rows``, one task walks it.
+    ``order`` must be unique. Each round keeps the
+    rows that come first under all of their keys (nothing before them can block them), then removes every row
+    sharing a key with a kept one. The first remaining row is always kept, so the rounds end; their number is
+    the longest chain of rows blocking each other, and each costs by what is left. Keys travel as two hashes of 64 bits
+    each. Firsts are minima combined on the map side and meet on the unique position; removals go through the
+    skew-safe lookup. Each round is written out, so a lost executor repeats one round at most.
     """
     spark = df.sparkSession
-    left = df.select(order, *[comparable(k).alias(k) for k in keys])
+    narrow = [F.struct(F.xxhash64(F.lit(1), comparable(k)).alias("a"), F.xxhash64(F.lit(2), comparable(k)).alias("b")).alias(k)
+              for k in keys]
+    left = cut(df.select(order, *narrow))
     schema = left.schema
-    left = cut(left)
     kept_folders = []
     while True:
         firsts = [
@@ -46,29 +40,11 @@ def kept_positions(df: DataFrame, keys: list[str], order: str, tail_rows: int =
         kept = reduce(lambda one, other: one.join(other.select(order), order, "left_semi"), firsts)
         kept_folders.append(write_cut(kept))
         kept = spark.read.schema(schema).parquet(kept_folders[-1])
-        small = is_small(kept, **bounds)
         for k in keys:  # kept rows never share a key, so each has one row per key
-            left = lookup(left, kept.select(k), k, "left_anti", [order], group_rows, small)
+            left = lookup(left, kept.select(k), k, "left_anti", **bounds)
         left = cut(left)
-        remaining = left.count()
-        if remaining <= tail_rows:
-            break
-    if remaining:
-        kept_folders.append(write_cut(left.coalesce(1).mapInPandas(
-            lambda batches: walk(batches, keys, order), schema)))
-    return spark.read.schema(schema).parquet(*kept_folders).select(order)
-
-
-def walk(batches: Iterator[pd.DataFrame], keys: list[str], order: str) -> Iterator[pd.DataFrame]:
-    """The walk itself, over the few rows that are left."""
-    rows = pd.concat(list(batches)).sort_values(order, ignore_index=True)
-    seen, keep = {k: set() for k in keys}, []
-    for at, values in enumerate(zip(*[rows[k] for k in keys])):
-        if not any(value in seen[k] for k, value in zip(keys, values)):
-            keep.append(at)
-            for k, value in zip(keys, values):
-                seen[k].add(value)
-    yield rows.iloc[keep]
+        if left.isEmpty():
+            return spark.read.schema(schema).parquet(*kept_folders).select(order)
 
 
 def dedupe_greedy(df: DataFrame, keys: list[str], order: str, **sizes: int) -> DataFrame:

@@ -119,27 +119,36 @@ def common_targets(nodes: DataFrame, edges: DataFrame, kind: str, one: Column, o
 
 def match_two_hop(nodes: DataFrame, edges: DataFrame, first: str, second: str, source: Column,
                   middle: Column, second_edge: Column, columns: list[str], measure: str,
+                  source_label: str | None = None, middle_label: str | None = None, target_label: str | None = None,
                   **sizes: int) -> DataFrame:
-    """Middle nodes reached over ``first`` that have a fitting ``second`` edge, best edge first.
+    """Middle nodes reached over ``first`` that have a fitting ``second`` edge into a node, best edge first.
 
     One row per second edge; ``paths`` counts the first edges that lead to its node.
     """
-    reached = edges_from(nodes, edges, first, source, **sizes).groupBy(F.col("dst").alias("id")).agg(
+    reached = edges_from(nodes, edges, first, source, source_label, **sizes).groupBy(F.col("dst").alias("id")).agg(
         F.count(F.lit(1)).alias("paths"))
-    through = nodes.filter(middle).join(reached, "id").select(F.col("id").alias("src"), *columns, "paths")
+    through = with_label(nodes, middle_label).filter(middle).join(reached, "id").select(F.col("id").alias("src"), *columns, "paths")
     onward = edges.filter(F.col("type") == second).filter(second_edge).select("src", "dst", measure)
-    return lookup(onward, through, "src", **sizes).select(*columns, measure, "paths").orderBy(
+    found = lookup(onward, cut(through), "src", **sizes)
+    if target_label is not None:
+        found = lookup(found, with_label(nodes, target_label).select(F.col("id").alias("dst")), "dst", "left_semi", **sizes)
+    return found.select(*columns, measure, "paths").orderBy(
         F.col(measure).desc(), *columns)
 
 
 def label_where_sum(nodes: DataFrame, edges: DataFrame, kind: str, measure: str, threshold: float,
-                    label: str, inclusive: bool = False) -> DataFrame:
-    """Add a label to nodes whose outgoing edges of a type sum up past the threshold."""
-    summed = edges.filter(F.col("type") == kind).groupBy(F.col("src").alias("id")).agg(
-        F.sum(measure).alias("_sum"))
+                    label: str, inclusive: bool = False, source_label: str | None = None,
+                    target_label: str | None = None, **sizes: int) -> DataFrame:
+    """Add a label to nodes (of ``source_label``) whose edges of a type (into ``target_label``) sum up past the threshold."""
+    ends = with_label(nodes, target_label).select(F.col("id").alias("dst"))
+    of_kind = edges.filter(F.col("type") == kind).select("src", "dst", measure)
+    if target_label is not None:
+        of_kind = lookup(of_kind, ends, "dst", "left_semi", **sizes)
+    summed = of_kind.groupBy(F.col("src").alias("id")).agg(F.sum(measure).alias("_sum"))
     passed = F.col("_sum") >= threshold if inclusive else F.col("_sum") > threshold
     chosen = summed.filter(passed).select("id", F.lit(True).alias("_chosen"))
-    labelled = F.when(F.col("_chosen"), F.array_union("labels", F.array(F.lit(label)))).otherwise(
+    fits = F.lit(True) if source_label is None else F.array_contains("labels", source_label)
+    labelled = F.when(F.col("_chosen") & fits, F.array_union("labels", F.array(F.lit(label)))).otherwise(
         F.col("labels"))
     return nodes.join(chosen, "id", "left").withColumn("labels", labelled).drop("_chosen")
 
@@ -147,12 +156,15 @@ def label_where_sum(nodes: DataFrame, edges: DataFrame, kind: str, measure: str,
 def add_nodes(nodes: DataFrame, new: DataFrame, same: list[str], always_new: bool = False) -> DataFrame:
     """Append nodes; unless ``always_new``, one that equals an existing node on ``same`` is reused.
 
-    Labels and the ``same`` columns must both agree. Null-safe, so a missing property is a value.
+    The existing node must have all labels of the new one, and may have more. Null-safe on ``same``, so a missing
+    property is a value.
     """
     if not always_new:
-        known = nodes.select("labels", *same).distinct()
-        equal = [new[c].eqNullSafe(known[c]) for c in ["labels", *same]]
-        new = new.join(known, equal, "left_anti")
+        known = nodes.select(F.col("labels").alias("_labels"), *[F.col(c).alias(f"_{c}") for c in same])
+        fits = F.size(F.array_except(F.coalesce("labels", F.array()), F.coalesce("_labels", F.array()))) == 0
+        for c in same:
+            fits = fits & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        new = new.join(known, fits, "left_anti")
     return nodes.unionByName(new, allowMissingColumns=True)
 
 
@@ -174,21 +186,28 @@ def set_property(nodes: DataFrame, where: Column, key: str, value) -> DataFrame:
     return nodes.withColumn(key, F.when(where, F.lit(value)).otherwise(old))
 
 
-def merge_edge_counter(edges: DataFrame, pairs: DataFrame, kind: str, counter: str,
-                       spread: list[str] | None = None, **sizes: int) -> DataFrame:
+def average_edge(nodes: DataFrame, edges: DataFrame, kind: str, measure: str, name: str, source_label: str | None = None,
+                 target_label: str | None = None, **sizes: int) -> DataFrame:
+    """Average of a measure over the edges of a type between nodes with the labels."""
+    hits = edges.filter(F.col("type") == kind).select("src", "dst", measure)
+    for end, label in (("src", source_label), ("dst", target_label)):
+        if label is not None:
+            hits = lookup(hits, with_label(nodes, label).select(F.col("id").alias(end)), end, "left_semi", **sizes)
+    return hits.agg(F.avg(measure).alias(name))
+
+
+def merge_edge_counter(edges: DataFrame, pairs: DataFrame, kind: str, counter: str) -> DataFrame:
     """Upsert one edge per pair ``(src, dst)``: the counter grows by the number of times it occurs.
 
-    An existing edge starts from its counter (0 if missing), a created one from 0. All parallel
-    edges of a pair grow. Edges of other types pass through untouched.
+    An existing edge starts from its counter (0 if missing), a created one from 0. Edges of a pair are one edge with
+    the sum of their counters. Edges of other types pass through untouched. Old counters and new occurrences meet in
+    one grouped sum, combined on the map side, so a pair with very many views is a row per task.
     """
-    hits = pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_hits"))
-    of_kind = edges.filter(F.col("type") == kind)
-    grown = F.when(F.col("_hits").isNotNull(), F.coalesce(counter, F.lit(0)) + F.col("_hits")).otherwise(
-        F.col(counter))
-    matched = lookup(of_kind, hits, ["src", "dst"], "left", spread, **sizes).withColumn(
-        counter, grown).drop("_hits")
-    existing = of_kind.select("src", "dst").distinct()
-    created = hits.join(existing, ["src", "dst"], "left_anti").select(
-        "src", "dst", F.lit(kind).alias("type"), F.col("_hits").alias(counter))
-    rest = edges.filter(~F.col("type").eqNullSafe(F.lit(kind)))
-    return rest.unionByName(matched).unionByName(created, allowMissingColumns=True)
+    of_kind = F.col("type").eqNullSafe(F.lit(kind))
+    known = edges.filter(of_kind)
+    rest = [c for c in edges.columns if c not in ("src", "dst", "type", counter)]
+    old = known.select("src", "dst", F.coalesce(counter, F.lit(0)).cast("long").alias(counter), *rest)
+    new = pairs.select("src", "dst", F.lit(1).cast("long").alias(counter))
+    merged = old.unionByName(new, allowMissingColumns=True).groupBy("src", "dst").agg(
+        F.sum(counter).cast(edges.schema[counter].dataType).alias(counter), *[F.first(c, ignorenulls=True).alias(c) for c in rest])
+    return edges.filter(~of_kind).unionByName(merged.withColumn("type", F.lit(kind)))

@@ -9,10 +9,9 @@ from skein.functions.skew import lookup
 from skein.operators.aggregates import top_rating_share
 
 
-def join_names(rows: DataFrame, names: DataFrame, on: str | list[str], how: str = "inner",
-               spread: list[str] | None = None, **sizes: int) -> DataFrame:
+def join_names(rows: DataFrame, names: DataFrame, on: str | list[str], how: str = "inner", **sizes: int) -> DataFrame:
     """Rows with the attributes of ``names``, which has one row per key."""
-    return lookup(rows, names, on, how, spread, **sizes)
+    return lookup(rows, names, on, how, **sizes)
 
 
 def hyped_items(ratings: DataFrame, items: DataFrame, top: int = 5, k: int | None = 10,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -33,13 +33,13 @@ def fit_categories(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def index_categories(df: DataFrame, cols: list[str], index: DataFrame | None = None,
-                     suffix: str = "Index", spread: list[str] | None = None) -> DataFrame:
+                     suffix: str = "Index") -> DataFrame:
     """Add an integer index for each text column; values unknown to ``index`` get null."""
     index = fit_categories(df, cols) if index is None else index
     for c in cols:
         known = index.filter(F.col("column") == c).select(
             F.col("value").alias(c), F.col("index").alias(f"{c}{suffix}"))
-        df = lookup(df, known, c, "left", spread)
+        df = lookup(df, known, c, "left")
     return df
 
 
@@ -84,12 +84,11 @@ def accuracy(predictions: DataFrame, label: str = "label", prediction: str = "pr
 class DelaySpec:
     """Columns of a delay table: what must hold, what is measured, what describes a row."""
 
-    delay: str = "ArrDelay"
+    delay: str
+    numeric: list[str]
+    plain: list[str]
+    categories: list[str]
     keep: Column | None = None
-    numeric: list[str] = field(default_factory=lambda: ["CRSElapsedTime", "Distance"])
-    plain: list[str] = field(default_factory=lambda: [
-        "Year", "Month", "DayofMonth", "DayofWeek", "CRSDepTime", "CRSArrTime"])
-    categories: list[str] = field(default_factory=lambda: ["UniqueCarrier", "Origin", "Dest"])
     threshold: float = 0
     null_label: str = "drop"
 
@@ -112,4 +111,5 @@ def prepare_delay_features(frames: list[DataFrame], spec: DelaySpec,
     rows = require_not_null(rows, spec.required).select(*extra, *spec.required)
     rows = binarise(try_numeric(rows, [spec.delay]), spec.delay, spec.threshold, spec.null_label)
     rows = try_numeric(rows, spec.numeric, "int")
-    return index_categories(rows, spec.categories, spread=extra or None).drop(*spec.categories)
+    # The categories are counted and the rows are used more than once, so the joined rows are written first.
+    return index_categories(cut(rows), spec.categories).drop(*spec.categories)

@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
-from skein.functions.skew import GROUP_ROWS, hot_keys, lookup
+from skein.functions.skew import GROUP_ROWS, hot_keys
 from skein.session import cut
 
 # Rows per block when one ordered sequence is cut over many tasks.
 BLOCK_ROWS = 1_000_000
 
-# Ranks up to this stay below the limit Spark pushes into the map side of a ranking window.
-PUSHED_RANK = 1000
-
 
 def top_k(df: DataFrame, measure: str | Column, k: int, ties: list[str | Column]) -> DataFrame:
     """``k`` rows with the greatest measure; equal measures follow ``ties``. No full sort is made."""
@@ -66,7 +64,7 @@ def previous_value(df: DataFrame, value: str, order: list[str], key: str | None
     hot = hot_keys(df, [key], group_rows)
     if hot.isEmpty():
         return df.withColumn(name, F.lag(value).over(plain))
-    hot = F.broadcast(hot.select(F.col(key).alias("_hot")))
+    hot = hot.select(F.col(key).alias("_hot"))
     is_hot = F.col(key).eqNullSafe(F.col("_hot"))
     ordinary = df.join(hot, is_hot, "left_anti").withColumn(name, F.lag(value).over(plain))
     split = _previous_in_blocks(df.join(hot, is_hot, "left_semi"), value, order, key, name, block_rows)
@@ -91,10 +89,17 @@ def _previous_in_blocks(df: DataFrame, value: str, order: list[str], key: str |
     )
 
 
+def day_of(df: DataFrame, time: str, zone: str = "UTC") -> Column:
+    """Calendar day of a time column: of an instant in ``zone``, whatever the session's zone; of a wall time its own."""
+    if df.schema[time].dataType != TimestampType():
+        return F.col(time).cast("date")
+    return F.convert_timezone(F.current_timezone(), F.lit(zone), F.col(time).cast("timestamp_ntz")).cast("date")
+
+
 def advanced_since_previous(df: DataFrame, time: str, order: list[str], key: str | None = None,
-                            name: str = "previous_date", **sizes: int) -> DataFrame:
+                            name: str = "previous_date", zone: str = "UTC", **sizes: int) -> DataFrame:
     """Rows whose calendar day is later than that of the row before, with both days."""
-    dated = df.withColumn("event_date", F.col(time).cast("date"))
+    dated = df.withColumn("event_date", day_of(df, time, zone))
     return previous_value(dated, "event_date", order, key, name, **sizes).filter(
         F.col(name) < F.col("event_date"))
 
@@ -102,14 +107,11 @@ def advanced_since_previous(df: DataFrame, time: str, order: list[str], key: str
 def first_ranks(df: DataFrame, key: str, order: list[str], start: int, stop: int) -> DataFrame:
     """Rows ``start`` to ``stop`` (from 1) of every key.
 
-    The rank filter reaches the map side as a group limit, so a hot key sends at most ``stop`` rows
-    per map task. Beyond Spark's limit for that, ranks come from a global row index.
+    A row's rank is its place in one global row index less that of its key's first row: one range shuffle, which
+    splits any key, whatever ``stop`` is. One row per key is joined back.
     """
-    if stop <= PUSHED_RANK:
-        ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
-    else:
-        indexed = with_row_index(df, [key, *order], "_index")
-        first = cut(indexed.groupBy(key).agg(F.min("_index").alias("_first")))
-        ranked = lookup(indexed, first, key, spread=["_index"]).withColumn(
-            "_rank", F.col("_index") - F.col("_first") + 1).drop("_index", "_first")
-    return ranked.filter((F.col("_rank") <= stop) & (F.col("_rank") >= start))
+    indexed = with_row_index(df, [key, *order], "_index")
+    first = indexed.groupBy(key).agg(F.min("_index").alias("_first")).withColumnRenamed(key, "_key")
+    first = cut(first)
+    rank = F.col("_index") - F.col("_first") + 1
+    return indexed.join(first, F.col(key).eqNullSafe(F.col("_key")) & rank.between(start, stop)).drop("_index", "_first", "_key")

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skein.functions.fixed import DEGREES_PER_KELVIN, WATER_FREEZES
+
 
 def project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Keep the named columns under new names, given as ``old: new``."""
@@ -39,13 +41,13 @@ def binarise(df: DataFrame, col: str, threshold: float = 0, null_label: str = "d
 def to_fahrenheit(tenths: Column | str) -> Column:
     """Tenths of a degree Celsius to degrees Fahrenheit."""
     tenths = F.col(tenths) if isinstance(tenths, str) else tenths
-    return tenths * 0.1 * (9.0 / 5.0) + 32.0
+    return WATER_FREEZES + tenths / 10 * DEGREES_PER_KELVIN
 
 
 def to_celsius(fahrenheit: Column | str) -> Column:
     """Degrees Fahrenheit to degrees Celsius."""
     fahrenheit = F.col(fahrenheit) if isinstance(fahrenheit, str) else fahrenheit
-    return (fahrenheit - 32.0) * 5.0 / 9.0
+    return (fahrenheit - WATER_FREEZES) / DEGREES_PER_KELVIN
 
 
 def require_not_null(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -44,7 +44,7 @@ def leave_n_per_user(df: DataFrame, user: str, order: list[str], start: int, sto
     place = F.struct(*order)
     ranked = cut(first_ranks(df.select(*dict.fromkeys([user, *order])), user, order, start, stop))
     span = ranked.groupBy(user).agg(F.min(place).alias("_from"), F.max(place).alias("_to"))
-    marked = lookup(df, cut(span), user, "left", spread=order)
+    marked = lookup(df, cut(span), user, "left")
     is_test = F.coalesce((place >= F.col("_from")) & (place <= F.col("_to")), F.lit(False))
     if max_test > 0:
         last = with_row_index(ranked.select(*order), order, "_index").filter(

@@ -9,7 +9,7 @@ from skein.functions.fixed import CZECH_LETTERS
 from skein.functions.text import (clean_tokens, initial, is_clean_word, is_letter, letters_in_words,
                                   normal_word, occurrences, token_count, tokens)
 from skein.operators.aggregates import value_counts
-from skein.operators.order import arg_extreme, top_k
+from skein.operators.order import top_k
 
 
 def explode_words(df: DataFrame, col: str, lower: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -27,13 +27,12 @@ def normalised_word_count(df: DataFrame, col: str, n: int | None = 20) -> DataFr
     """Most frequent words after dropping non-ASCII, links and punctuation and lowering the case.
 
     Words are counted raw first and normalised after: the expensive text functions run once per
-    distinct word and task instead of once per word, and the counts of equal results are added.
+    distinct word and task instead of once per word, and the counts of equal results are added. The empty word goes
+    by a condition that also needs the sum, so it cannot be moved below the first count.
     """
     raw = word_count(df, col)
-    counted = (
-        raw.withColumn("word", normal_word("word")).filter(F.col("word") != "")
-        .groupBy("word").agg(F.sum("n").alias("n"))
-    )
+    counted = raw.withColumn("word", normal_word("word")).groupBy("word").agg(F.sum("n").alias("n")).filter(
+        F.when(F.col("word") != "", F.col("n")).isNotNull())
     return counted if n is None else top_k(counted, "n", n, ["word"])
 
 
@@ -80,8 +79,13 @@ def top_by_occurrences(df: DataFrame, phrase: str, k: int, title: str = "title",
 def most_and_least_words(df: DataFrame, col: str, order: str) -> DataFrame:
     """The rows with most and fewest words, marked in column ``which``; the first in order wins ties."""
     counted = df.withColumn("n_words", token_count(col))
-    most, least = arg_extreme(counted, "n_words", "max", order), arg_extreme(counted, "n_words", "min", order)
-    return most.withColumn("which", F.lit("most")).unionByName(least.withColumn("which", F.lit("least")))
+    row, n = F.struct(*counted.columns), F.col("n_words")
+    missing = n.isNull().cast("int")
+    most = F.min_by(row, F.struct(missing, -n, F.col(order)))
+    least = F.min_by(row, F.struct(missing, n, F.col(order)))
+    found = counted.agg(F.array(F.struct(F.lit("most").alias("which"), most.alias("row")),
+                                F.struct(F.lit("least").alias("which"), least.alias("row"))).alias("both"))
+    return found.select(F.inline("both")).filter(F.col("row").isNotNull()).select("row.*", "which")
 
 
 def words_per_row_histogram(df: DataFrame, col: str) -> DataFrame:

@@ -17,7 +17,7 @@ from skein.plans.tables import (DEFAULT_NOW, SITE_PREFIX, articles, colliding_ar
 from skein.session import new_folder, spread
 
 # Layout of the driver's pages.
-PAGE_RULES = {"title": "article h1", "paragraphs": "article p"}
+PAGE_RULES = {"title": "article h1", "paragraphs": "article p", "tags": "nav a"}
 PAGE_LINKS = ("nav a",)
 
 UNESCAPED = ("replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), "
@@ -26,13 +26,16 @@ UNESCAPED = ("replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;',
 
 @query("extract_articles", f"""
 with cut as (
-  select page_id, url, split_part(split_part(html, '<article>', 2), '</article>', 1) as body from pages),
+  select page_id, url, split_part(split_part(html, '<article>', 2), '</article>', 1) as body,
+    list_transform(regexp_extract_all(split_part(split_part(html, '<nav>', 2), '</nav>', 1), '<a href="[^"]*">([^<]*)</a>', 1),
+      lambda t: trim(regexp_replace(t, '\\s+', ' ', 'g'))) as tags
+  from pages),
 parts as (
-  select url, split_part(split_part(body, '<h1>', 2), '</h1>', 1) as title,
+  select url, tags, split_part(split_part(body, '<h1>', 2), '</h1>', 1) as title,
     string_split(body, '<p>')[2:] as pieces
   from cut),
 plain as (
-  select url, title, list_transform(pieces, lambda p:
+  select url, tags, title, list_transform(pieces, lambda p:
     trim(regexp_replace(regexp_replace(regexp_replace(
       split_part(p, '</p>', 1), '\\s+', ' ', 'g'), ' ?<br> ?', chr(10), 'g'), '<[^>]*>', '', 'g'),
       ' ' || chr(10))) as pieces
@@ -40,13 +43,14 @@ plain as (
 select url, trim({UNESCAPED.format('title')}) as title,
   {UNESCAPED.format("chr(10) || array_to_string(pieces, chr(10))")} as text,
   cast(len(pieces) as int) as n_paragraphs, 0 as photo_count, cast(null as varchar) as time,
-  0 as comment_count
+  0 as comment_count, coalesce(array_to_string(tags, chr(10)), '') as tags
 from plain""")
 def extract_articles(spark, sf_dir):
     found = art.extract_articles(spread(table(spark, sf_dir, "pages")), PAGE_RULES)
     return found.select(
         "url", "title", F.array_join("text", "\n").alias("text"),
-        (F.size("text") - 1).alias("n_paragraphs"), "photo_count", "time", "comment_count")
+        (F.size("text") - 1).alias("n_paragraphs"), "photo_count", "time", "comment_count",
+        F.array_join("tags", "\n").alias("tags"))
 
 
 LINKS_SQL = """select page_id, unnest(regexp_extract_all(

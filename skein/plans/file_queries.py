@@ -25,10 +25,10 @@ def read_delimited(spark, sf_dir):
     return files.read_delimited(spark, folder, "id bigint, name string", "|")
 
 
-@query("read_csv_inferred", "select c_custkey::int as c_custkey, c_name, c_nationkey, c_acctbal from customer")
+@query("read_csv_inferred", "select c_custkey::int as c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer")
 def read_csv_inferred(spark, sf_dir):
     folder = new_folder(spark, "csv")
-    table(spark, sf_dir, "customer").drop("c_mktsegment").write.option("header", True).csv(folder)
+    table(spark, sf_dir, "customer").write.option("header", True).csv(folder)
     return files.read_csv(spark, folder)
 
 
@@ -83,6 +83,29 @@ def text_sink(spark, sf_dir):
     return files.read_lines(spark, folder)
 
 
+@query("text_sink_nulls", """
+select '(' || coalesce(nullif(c_mktsegment, 'BUILDING'), 'null') || ',' || c_custkey || ',' ||
+  case when c_acctbal < 0 then 'null' else c_nationkey::varchar end || ')' as value, true as suffixed from customer""")
+def text_sink_nulls(spark, sf_dir):
+    folder = new_folder(spark, "text")
+    rows = table(spark, sf_dir, "customer").select(
+        F.nullif("c_mktsegment", F.lit("BUILDING")), "c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_nationkey")))
+    sinks.write_text(rows, folder, "log")
+    return files.read_lines(spark, folder).select("value", F.endswith(F.input_file_name(), F.lit(".log")).alias("suffixed"))
+
+
+@query("read_json_array", f"with {CLEAN} select pos, title, n_chars from articles join documents on pos = doc_id")
+def read_json_array(spark, sf_dir):
+    """Sixteen files, each one JSON array of objects."""
+    folder = new_folder(spark, "json")
+    rows = articles(spark, sf_dir).join(
+        table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), "n_chars"), "pos")
+    piece = F.col("pos") % 16
+    rows.groupBy(piece.alias("piece")).agg(F.to_json(F.collect_list(F.struct("pos", "title", "n_chars"))).alias("value")).write.partitionBy(
+        "piece").text(folder)
+    return files.read_json_array(spark, folder, "pos bigint, title string, n_chars bigint").drop("piece")
+
+
 @query("lines_first_letters", """
 select letter, count(*) as n from (
   select substr(word, 1, 1) as letter from (

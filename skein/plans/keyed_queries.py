@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from skein.functions.skew import lookup
 from skein.operators import aggregates as agg
 from skein.operators import joins, shape, splits
 from skein.operators.order import advanced_since_previous, first_ranks, with_row_index
@@ -171,7 +172,7 @@ select event_id, try_cast(substr(props, 7) as int) as bad, try_cast(regexp_extra
 from events""")
 def try_cast(spark, sf_dir):
     texts = table(spark, sf_dir, "events").select(
-        "event_id", F.substring("props", 7, 100).alias("bad"), F.regexp_extract("props", "[0-9]+", 0).alias("good"))
+        "event_id", F.expr("substring(props, 7)").alias("bad"), F.regexp_extract("props", "[0-9]+", 0).alias("good"))
     return shape.try_numeric(texts, ["bad", "good"], "int")
 
 
@@ -186,8 +187,10 @@ def binarise(spark, sf_dir):
 select c_custkey, o_orderkey, o_totalprice from customer left join orders on o_custkey = c_custkey
 where o_orderkey is not null and o_totalprice is not null""")
 def require_not_null(spark, sf_dir):
-    joined = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
+    customers = table(spark, sf_dir, "customer").select("c_custkey")
+    without = lookup(customers, orders.select("c_custkey").distinct(), "c_custkey", "left_anti")
+    joined = lookup(orders, customers, "c_custkey").unionByName(without, allowMissingColumns=True)
     return shape.require_not_null(joined, ["o_orderkey", "o_totalprice"]).select(
         "c_custkey", "o_orderkey", "o_totalprice")
 

@@ -10,8 +10,8 @@ from skein.plans.registry import query
 from skein.plans.sql import SPACE, clean_words
 from skein.plans.tables import table
 from skein.session import new_folder
-from skein.sources.files import read_delimited
-from skein.sources.streams import stream_table
+from skein.sources.files import read_delimited, union_all
+from skein.sources.streams import stream_lines, stream_table
 from skein.streaming import operators as op
 from skein.streaming import sinks
 
@@ -162,9 +162,64 @@ def stream_sinks(spark, sf_dir):
     return agg.counts_by(spark.read.parquet(folder), ["sink", "title"])
 
 
+@query("stream_final_match_counts", f"""
+select window_start, window_end, count(event_type) as total_articles,
+  cast(sum(case when props like '%9%' then 1 else 0 end) as bigint) as matching_articles
+from ({windows('events', 60, 10)})
+where window_end <= (select max(ts) - interval '10 minutes' from events) group by 1, 2""")
+def stream_final_match_counts(spark, sf_dir):
+    """Windows are written once, when no row can come for them any more, and leave the state."""
+    counts = op.windowed_match_counts(stream_of(spark, sf_dir, "events"), *MATCH_WINDOW, pattern="%9%", time_col="ts",
+                                      watermark="10 minutes", title="event_type", text="props")
+    folder = new_folder(spark, "final")
+    sinks.finish(sinks.to_csv(counts, folder, availableNow=True))
+    return read_delimited(spark, folder, counts.schema, ";")
+
+
+@query("stream_four_outputs", f"""
+select 'titles' as output, event_type as title, count(*) as n from events group by 2
+union all select 'active', event_type, count(*) from events where cast(props ->> '$.k' as int) > 1 group by 2
+union all select 'advanced', event_type, count(*) from (
+  select event_type, cast(ts as date) as day, lag(cast(ts as date)) over (partition by user_id order by event_id) as before
+  from events) where before < day group by 2
+union all select 'windows', 'final', count(*) from (
+  select distinct window_start from ({windows('events', 60, 10)})
+  where window_end <= (select max(ts) - interval '10 minutes' from events))""")
+def stream_four_outputs(spark, sf_dir):
+    """One source, four jobs: titles, active rows, rows on a later day, and window counts, each to ``;`` files."""
+    def rows():
+        parsed = op.parse_json_stream(stream_of(spark, sf_dir, "events"), "k int", "props", ["event_type", "ts", "user_id", "event_id"])
+        return parsed.withColumnsRenamed({"event_type": "title", "k": "comment_count"})
+
+    counted = rows().withColumn("text", F.lit(""))
+    outputs = {
+        "titles": rows().select("title"),
+        "active": op.active_rows(rows()),
+        "advanced": op.advanced_since_previous_stream(rows(), "user_id", "ts", "event_id", ["title"]),
+        "windows": op.windowed_match_counts(counted, *MATCH_WINDOW, time_col="ts", watermark="10 minutes"),
+    }
+    folder = new_folder(spark, "outputs")
+    running = [sinks.to_csv(frame, f"{folder}/{name}", availableNow=True) for name, frame in outputs.items()]
+    for one in running:
+        sinks.finish(one)
+    title = {"windows": F.lit("final")}
+    read = [read_delimited(spark, f"{folder}/{name}", frame.schema, ";").select(
+        F.lit(name).alias("output"), title.get(name, F.col("title") if name != "windows" else None).alias("title"))
+        for name, frame in outputs.items()]
+    return agg.counts_by(union_all(read), ["output", "title"])
+
+
+@query("stream_text_folder", "select line as value, count(*) as n from ("
+       "select unnest(string_split(text, chr(10))) as line from documents) group by 1")
+def stream_text_folder(spark, sf_dir):
+    folder = new_folder(spark, "incoming")
+    table(spark, sf_dir, "documents").select("text").write.text(folder)
+    return agg.counts_by(run_append(spark, stream_lines(spark, folder)), ["value"])
+
+
 @query("stream_text_sink", "select '(' || event_id || ',' || event_type || ')' as value from events")
 def stream_text_sink(spark, sf_dir):
     folder = new_folder(spark, "text")
     events = stream_of(spark, sf_dir, "events").select("event_id", F.col("event_type"))
-    sinks.finish(sinks.to_text(events, folder, availableNow=True))
-    return spark.read.text(folder)
+    sinks.finish(sinks.to_text(events, folder, suffix="log", availableNow=True))
+    return spark.read.option("pathGlobFilter", "*.log").text(folder)

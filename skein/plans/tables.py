@@ -109,6 +109,21 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return acted.unionAll(contact)
 
 
+def prized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edges, and ones of the same types between nodes of other labels."""
+    lines = table(spark, sf_dir, "lineitem").filter("l_orderkey % 10 = 0")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    nothing = F.lit(None).cast("double").alias("earnings")
+    prizes = lookup(lines.select("l_orderkey", "l_suppkey", "l_extendedprice"), orders, "l_orderkey").select(
+        person_id("l_suppkey").alias("src"), viewer_id("o_custkey").alias("dst"), F.lit("ACTED_IN").alias("type"),
+        (F.col("l_extendedprice") * 2).alias("earnings"))
+    talks = lines.select(movie_id("l_partkey").alias("src"), person_id("l_suppkey").alias("dst"),
+                         F.lit("CONTACT").alias("type"), nothing)
+    loops = lines.select(movie_id("l_partkey").alias("src"), movie_id("l_partkey").alias("dst"),
+                         F.lit("ACTED_IN").alias("type"), (F.col("l_extendedprice") * 100).alias("earnings"))
+    return edges(spark, sf_dir).unionAll(prizes).unionAll(talks).unionAll(loops)
+
+
 def adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One line per order without neighbours, and one per lineitem with its part as neighbour."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("value"))

@@ -6,10 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Soft bound on one micro-batch of a file source, so that no group in it is unbounded.
-BATCH_BYTES = 16 << 30
-
-
 def stream_lines(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None,
                  max_bytes_per_trigger: int | None = None) -> DataFrame:
     """New text files of a folder, one row per line in column ``value``."""
@@ -49,7 +45,7 @@ def with_arrival_time(stream: DataFrame, name: str = "event_time") -> DataFrame:
 
 
 def _limited(spark: SparkSession, files: int | None, size: int | None):
-    """Reader bounded by a number of files, or else by bytes (the source takes one of the two)."""
+    """Reader whose batches are bounded by a number of files or by bytes where one is given (the source takes one)."""
     if files:
         return spark.readStream.option("maxFilesPerTrigger", files)
-    return spark.readStream.option("maxBytesPerTrigger", size or BATCH_BYTES)
+    return spark.readStream.option("maxBytesPerTrigger", size) if size else spark.readStream

@@ -11,6 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import DataType, StructType, TimestampNTZType
 
 from skein.functions.fixed import MATCH_PATTERN, MATCH_WINDOW, WORD_WINDOW
+from skein.operators.order import day_of
 from skein.operators.words import clean_words, first_letter_count
 
 
@@ -93,7 +94,7 @@ def windowed_match_counts(stream: DataFrame, size: str = MATCH_WINDOW[0], slide:
 
 
 def advanced_since_previous_stream(stream: DataFrame, key: str, time: str, order: str,
-                                   columns: list[str] | None = None) -> DataFrame:
+                                   columns: list[str] | None = None, zone: str = "UTC") -> DataFrame:
     """Rows whose calendar day is later than that of the key's row before (append mode).
 
     The last day of each key is kept in the state store. One call sees the rows of one key in one
@@ -102,7 +103,7 @@ def advanced_since_previous_stream(stream: DataFrame, key: str, time: str, order
     :func:`skein.streaming.sinks.advances_by_batch`, which splits such a sequence.
     """
     columns = columns or []
-    narrow = stream.select(key, order, *columns, F.col(time).cast("date").alias("event_date"))
+    narrow = stream.select(key, order, *columns, day_of(stream, time, zone).alias("event_date"))
     fields = {f.name: f.dataType.simpleString() for f in narrow.schema}
     schema = ", ".join(f"`{c}` {fields[c]}" for c in [key, order, *columns, "event_date"])
     names = [key, order, *columns, "event_date", "previous_date"]

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from skein.operators.order import previous_value
-from skein.session import new_folder
+from skein.operators.order import day_of, previous_value
+from skein.session import cut, new_folder
 
 
 def to_console(stream: DataFrame, mode: str = "append", checkpoint: str | None = None,
@@ -26,10 +26,14 @@ def to_csv(stream: DataFrame, path: str, checkpoint: str | None = None, sep: str
                   stream.sparkSession, checkpoint, trigger)
 
 
-def to_text(stream: DataFrame, path: str, checkpoint: str | None = None, **trigger) -> StreamingQuery:
-    """Append rows, written as ``(a,b,…)``, to text files."""
-    return _start(as_text(stream).writeStream.format("text").option("path", path),
-                  stream.sparkSession, checkpoint, trigger)
+def to_text(stream: DataFrame, path: str, checkpoint: str | None = None, suffix: str | None = None,
+            **trigger) -> StreamingQuery:
+    """Append rows, written as ``(a,b,…)``, to text files, whose names end in ``suffix`` (three letters) where given."""
+    if suffix:
+        writer = one_line(as_text(stream)).writeStream.format("csv").options(**PLAIN_LINES, extension=suffix)
+    else:
+        writer = as_text(stream).writeStream.format("text")
+    return _start(writer.option("path", path), stream.sparkSession, checkpoint, trigger)
 
 
 def to_parquet(stream: DataFrame, path: str, checkpoint: str | None = None, **trigger) -> StreamingQuery:
@@ -39,15 +43,30 @@ def to_parquet(stream: DataFrame, path: str, checkpoint: str | None = None, **tr
 
 
 def as_text(df: DataFrame) -> DataFrame:
-    """Each row as one string ``(a,b,…)`` in column ``value``."""
-    values = F.concat_ws(",", *[F.col(c).cast("string") for c in df.columns])
-    return df.select(F.concat(F.lit("("), values, F.lit(")")).alias("value"))
+    """Each row as one string ``(a,b,…)`` in column ``value``; a missing value is written ``null``."""
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in df.columns]
+    return df.select(F.concat(F.lit("("), F.concat_ws(",", *values), F.lit(")")).alias("value"))
+
+
+# The text writer names its files itself; the CSV writer takes a suffix, and with these settings writes plain lines.
+PLAIN_LINES = {"sep": "\x01", "quote": "\x00", "escape": "\x00", "escapeQuotes": "false",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def one_line(rows: DataFrame) -> DataFrame:
+    """Control characters that would end or split a line, written as escapes."""
+    value = F.col("value")
+    for sign, written in (("\n", "\\n"), ("\r", "\\r"), ("\x01", "\\1"), ("\x00", "\\0")):
+        value = F.replace(value, F.lit(sign), F.lit(written))
+    return rows.select(value.alias("value"))
 
 
 def write_text(df: DataFrame, path: str, suffix: str | None = None) -> None:
     """Batch counterpart of :func:`to_text`; ``path`` carries the prefix of the output."""
-    writer = as_text(df).write
-    (writer.option("extension", suffix) if suffix else writer).text(path)
+    if suffix:
+        one_line(as_text(df)).write.options(**PLAIN_LINES, extension=suffix).csv(path)
+    else:
+        as_text(df).write.text(path)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ";") -> None:
@@ -107,7 +126,7 @@ def run_sinks(stream: DataFrame, outputs: dict[str, Callable[[DataFrame], DataFr
 
 def advances_by_batch(stream: DataFrame, path: str, time: str, order: str, key: str | None = None,
                       columns: list[str] | None = None, checkpoint: str | None = None,
-                      sizes: dict | None = None, **trigger) -> StreamingQuery:
+                      sizes: dict | None = None, zone: str = "UTC", **trigger) -> StreamingQuery:
     """Rows whose calendar day is later than that of the row before, written to ``path/rows``.
 
     Inside a batch the previous row comes from the skew-safe batch operator, so neither a hot key nor
@@ -118,7 +137,7 @@ def advances_by_batch(stream: DataFrame, path: str, time: str, order: str, key:
     columns, spark = columns or [], stream.sparkSession
     by = key or "_all"
     narrow = stream.select(
-        *([key] if key else []), order, *columns, F.col(time).cast("date").alias("event_date"),
+        *([key] if key else []), order, *columns, day_of(stream, time, zone).alias("event_date"),
         F.lit(True).alias("_seen"))
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -126,6 +145,7 @@ def advances_by_batch(stream: DataFrame, path: str, time: str, order: str, key:
         before = F.struct("event_date", "_seen")
         linked = previous_value(rows.withColumn("_now", before), "_now", [order], key, "_before",
                                 **(sizes or {}))
+        linked = cut(linked)  # used for the first and for the later rows of a key
         last = rows.groupBy(F.col(by).alias("_key")).agg(F.max_by("event_date", order).alias("last_date"))
         if batch_id > 0:
             state = spark.read.parquet(f"{path}/state/batch={batch_id - 1}")

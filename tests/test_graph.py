@@ -31,7 +31,7 @@ def test_degree(spark):
 
 def test_matching(spark):
     nodes, edges = graph(spark)
-    for sizes in ({}, {"max_rows": 0, "group_rows": 1}):
+    for sizes in ({}, {"max_rows": 0}):
         people = g.match_in(nodes, edges, "ACTED_IN", named("M"), ["name"], "Person", "Movie", **sizes)
         assert [r.name for r in people.collect()] == ["Ann", "Bob", "Bob"]
         films = g.match_out(nodes, edges, "ACTED_IN", named("Bob"), ["name"], "Movie", "Person", **sizes)
@@ -67,7 +67,29 @@ def test_merge_counter(spark):
         [(1, 3, "VIEWED", 4), (2, 3, "VIEWED", None), (1, 2, "CONTACT", None)],
         "src int, dst int, type string, views bigint")
     pairs = spark.createDataFrame([(1, 3), (1, 3), (2, 3), (2, 4), (1, 2)], "src int, dst int")
-    for sizes in ({}, {"max_rows": 0, "group_rows": 1}):
-        merged = g.merge_edge_counter(views, pairs, "VIEWED", "views", **sizes)
-        assert sorted((r.src, r.dst, r.type, r.views or 0) for r in merged.collect()) == [
-            (1, 2, "CONTACT", 0), (1, 2, "VIEWED", 1), (1, 3, "VIEWED", 6), (2, 3, "VIEWED", 1), (2, 4, "VIEWED", 1)]
+    merged = g.merge_edge_counter(views, pairs, "VIEWED", "views")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    assert sorted((r.src, r.dst, r.type, r.views or 0) for r in merged.collect()) == [
+        (1, 2, "CONTACT", 0), (1, 2, "VIEWED", 1), (1, 3, "VIEWED", 6), (2, 3, "VIEWED", 1), (2, 4, "VIEWED", 1)]
+
+
+def test_labels_on_both_ends(spark):
+    nodes, edges = graph(spark)
+    nodes = nodes.union(spark.createDataFrame([(5, ["Prize"], "Gold", None)], nodes.schema))
+    edges = edges.union(spark.createDataFrame([(2, 5, "ACTED_IN", 99.0)], edges.schema))
+    hops = g.match_two_hop(nodes, edges, "CONTACT", "ACTED_IN", named("Ann"), F.col("birth_year") >= 1960,
+                           F.col("earnings") >= 5, ["name"], "earnings", "Person", "Person", "Movie")
+    assert [r.earnings for r in hops.collect()] == [20.0, 5.0]
+    assert g.average_edge(nodes, edges, "ACTED_IN", "earnings", "a", "Person", "Movie").first().a == 9.0
+    rich = g.label_where_sum(nodes, edges, "ACTED_IN", "earnings", 26, "Rich", target_label="Movie")
+    assert rich.filter("array_contains(labels, 'Rich')").count() == 0
+
+
+def test_a_node_with_more_labels_is_reused(spark):
+    nodes, _ = graph(spark)
+    known = g.label_where_sum(*graph(spark), "ACTED_IN", "earnings", 5, "Rich")
+    new = spark.createDataFrame([(9, ["Person"], "Ann")], "id int, labels array<string>, name string")
+    assert g.add_nodes(known, new, ["name"]).count() == nodes.count()
+    more = spark.createDataFrame([(9, ["Person", "Poor"], "Ann")], "id int, labels array<string>, name string")
+    assert g.add_nodes(known, more, ["name"]).count() == nodes.count() + 1

@@ -11,7 +11,7 @@ def delays(spark):
 
 def test_features_and_classifiers(spark):
     rows = delays(spark)
-    spec = learn.DelaySpec(keep=rows["Cancelled"] == 0, numeric=["Distance"], plain=["Year"], categories=["Carrier"])
+    spec = learn.DelaySpec(delay="ArrDelay", keep=rows["Cancelled"] == 0, numeric=["Distance"], plain=["Year"], categories=["Carrier"])
     features = learn.prepare_delay_features([rows.filter("id < 100"), rows.filter("id >= 100")], spec, ["id"])
     assert features.columns == ["id", "Year", "Distance", "ArrDelay", "CarrierIndex"]
     kept = [i for i in range(400) if i % 20 and i % 9]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skein.functions.skew import hot_keys, is_small, lookup
-from skein.operators.order import (advanced_since_previous, arg_extreme, first_ranks, previous_value,
+from skein.operators.order import (advanced_since_previous, arg_extreme, day_of, first_ranks, previous_value,
                                    with_row_index)
 
 
@@ -16,14 +16,44 @@ def skewed(spark, n=300):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_lookup_equals_plain_join(spark, how):
+def test_shuffled_lookup_equals_plain_join(spark, how):
     _, rows = skewed(spark)
     per_key = spark.createDataFrame([(k, f"n{k}") for k in range(0, 40, 2)], "key int, name string")
-    salted = lookup(rows, per_key, "key", how, spread=["pos"], group_rows=10, max_rows=0)
     plain = rows.join(per_key, "key", how)
-    assert salted.columns == plain.columns
     key = lambda r: r.pos
-    assert sorted(salted.collect(), key=key) == sorted(plain.collect(), key=key)
+    for side in (per_key, per_key.groupBy("key").agg(F.max("name").alias("name"))):
+        found = lookup(rows, side, "key", how, max_rows=0)
+        assert found.columns == plain.columns
+        assert sorted(found.collect(), key=key) == sorted(plain.collect(), key=key)
+
+
+def test_lookup_shuffles_rows_once_and_can_be_split(spark):
+    _, rows = skewed(spark)
+    grouped = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = lookup(rows, grouped, "key", max_rows=0)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "Aggregate" not in plan and plan.count("Exchange") == 2 == plan.count("ENSURE_REQUIREMENTS")
+
+
+def test_rows_of_a_hot_key_are_split_at_run_time(spark):
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 400_000, 1, 8).selectExpr("if(id % 4 = 0, id, 7) as key", "xxhash64(id) as load")
+        per_key = spark.range(400_000).selectExpr("id as key", "id as n")
+        joined = lookup(rows, per_key, "key", max_rows=0).groupBy(F.spark_partition_id().alias("at")).agg(
+            F.count(F.lit(1)).alias("n"), F.bit_xor("load"))
+        assert max(r.n for r in joined.collect()) < 200_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_measures(spark):
@@ -70,10 +100,22 @@ def test_first_ranks(spark, start, stop):
     assert sorted(r.pos for r in found.collect()) == expected
 
 
-def test_rank_limit_reaches_the_map_side(spark):
+def test_ranks_need_no_window_over_a_key(spark):
     _, frame = skewed(spark)
     plan = first_ranks(frame, "key", ["pos"], 1, 3)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert "WindowGroupLimit" not in plan and "hashpartitioning(key" not in plan.split("Scan")[0]
+
+
+def test_days_do_not_follow_the_session_zone(spark):
+    rows = spark.createDataFrame([(1, 1_704_063_600)], "pos int, s long").selectExpr("pos", "timestamp_seconds(s) as t")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session in ("UTC", "Asia/Tokyo", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            assert str(rows.select(day_of(rows, "t", "Europe/Prague").alias("d")).first().d) == "2024-01-01"
+            assert str(rows.select(day_of(rows, "t").alias("d")).first().d) == "2023-12-31"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_first_of_tied_rows(spark):

@@ -45,3 +45,14 @@ def test_union(spark):
     other = spark.createDataFrame([(3, 4)], "b int, a int")
     assert sorted(map(tuple, files.union_all([one, other]).collect())) == [(1, 2), (3, 4)]
     assert sorted(map(tuple, files.union_all([one, other], by_name=True).collect())) == [(1, 2), (4, 3)]
+
+
+def test_text_with_nulls_and_suffix(spark, tmp_path):
+    from skein.streaming import sinks
+    rows = spark.createDataFrame([("a", None), (None, 2), (' "b\\" , ', 3)], "x string, n int")
+    wanted = ["( \"b\\\" , ,3)", "(a,null)", "(null,2)"]
+    assert sorted(r.value for r in sinks.as_text(rows).collect()) == wanted
+    sinks.write_text(rows, str(tmp_path / "out"), "log")
+    files = list((tmp_path / "out").glob("part*"))
+    assert files and all(f.name.endswith(".log") for f in files)
+    assert sorted(line for f in files for line in f.read_text().splitlines()) == wanted

@@ -61,3 +61,22 @@ def test_clean_words(spark):
         "ahoj", "dneska", "jak", "máš", "se"]
     assert sorted(r.word for r in w.clean_words(rows, "value", "").collect()) == [
         "ahoj", "dneska", "jak", "m", "se"]
+
+
+def test_words_are_normalised_after_the_first_count(spark):
+    from skein.operators.words import normalised_word_count
+    rows = spark.createDataFrame([("a A, ... http://x b",)], "text string")
+    counted = normalised_word_count(rows, "text", None)
+    plan = counted._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    first = next(at for at, line in enumerate(plan) if "Generate" in line)
+    assert not any("regexp_replace" in line for line in plan[first:])
+    assert sum("Aggregate" in line for line in plan[:first]) == 2
+    assert {r.word: r.n for r in counted.collect()} == {"a": 2, "b": 1}
+
+
+def test_most_and_least_words_in_one_pass(spark):
+    from skein.operators.words import most_and_least_words
+    rows = spark.createDataFrame([(3, "a b"), (1, "c d"), (2, "e"), (4, None)], "pos int, text string")
+    found = most_and_least_words(rows, "text", "pos")
+    assert found._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 1
+    assert {r.which: r.pos for r in found.collect()} == {"most": 1, "least": 4}
