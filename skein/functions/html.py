@@ -50,26 +50,19 @@ def steps(selector: str) -> list[Step]:
     return parts
 
 
-def fits_path(path: list[Step], stack: list[tuple[str, dict]]) -> bool:
-    """Does the innermost open element fit the last step, and its ancestors the steps before?"""
-    if not stack or not path[-1].fits(stack[-1]):
-        return False
-    if len(path) == 1:
-        return True
-    outer = stack[:-1]
-    if path[-1].child:
-        return fits_path(path[:-1], outer)
-    return any(fits_path(path[:-1], outer[:depth]) for depth in range(len(outer), 0, -1))
-
-
 class Picker(HTMLParser):
-    """Collects ``(text, attributes)`` of every element that fits a selector, in page order."""
+    """Collects ``(text, attributes)`` of every element that fits a selector, in page order.
+
+    Every open element carries, per selector, which of its steps end in it and which end in it or above it, as bits,
+    and every tag knows where it is open. So a tag costs by the selectors, however deep a broken page nests.
+    """
 
     def __init__(self, paths: dict[str, list[Step]]):
         super().__init__(convert_charrefs=True)
         self.paths = paths
         self.found = {name: [] for name in paths}
-        self.stack = []
+        self.stack = []  # (tag, bits of steps that end here, bits of steps that end here or above) of open elements
+        self.places = {}  # depths at which a tag is open
         self.open = []  # (stack depth, text pieces) of elements being collected
 
     def handle_starttag(self, tag, attrs):
@@ -79,11 +72,22 @@ class Picker(HTMLParser):
             self.end("p")
         if tag == "li":
             self.end("li", within={"ul", "ol"})
-        self.stack.append((tag, dict(attrs)))
+        element = (tag, dict(attrs))
+        parent, above = self.stack[-1][1:] if self.stack else ({}, {})
+        here, both = {}, {}
         for name, path in self.paths.items():
-            if fits_path(path, self.stack):
+            bits = 0
+            for at, step in enumerate(path):
+                before = (parent if step.child else above).get(name, 0) >> (at - 1) & 1 if at else 1
+                if before and step.fits(element):
+                    bits |= 1 << at
+            here[name], both[name] = bits, bits | above.get(name, 0)
+        self.stack.append((tag, here, both))
+        self.places.setdefault(tag, []).append(len(self.stack))
+        for name, path in self.paths.items():
+            if here[name] >> (len(path) - 1) & 1:
                 pieces = []
-                self.found[name].append((pieces, self.stack[-1][1]))
+                self.found[name].append((pieces, element[1]))
                 self.open.append((len(self.stack), pieces))
         if tag in VOID:
             self.end(tag)
@@ -98,14 +102,14 @@ class Picker(HTMLParser):
 
     def end(self, tag: str, within: set[str] = frozenset()):
         """Close the innermost open ``tag`` and all it contains, not looking beyond ``within``."""
-        for depth in range(len(self.stack), 0, -1):
-            name = self.stack[depth - 1][0]
-            if name == tag:
-                del self.stack[depth - 1:]
-                self.open = [entry for entry in self.open if entry[0] < depth]
-                return
-            if name in within:
-                return
+        depths = self.places.get(tag)
+        if not depths or any(self.places.get(w, [0])[-1:] > depths[-1:] for w in within):
+            return
+        depth = depths[-1]
+        while len(self.stack) >= depth:
+            self.places[self.stack.pop()[0]].pop()
+        while self.open and self.open[-1][0] >= depth:
+            self.open.pop()
 
     def handle_data(self, data, verbatim: bool = False):
         if self.stack and self.stack[-1][0] in HIDDEN:

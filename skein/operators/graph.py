@@ -67,24 +67,16 @@ def edges_into(nodes: DataFrame, edges: DataFrame, kind: str, where: Column,
 def match_in(nodes: DataFrame, edges: DataFrame, kind: str, target: Column, columns: list[str],
              label: str | None = None, target_label: str | None = None, **sizes: int) -> DataFrame:
     """Nodes with an edge of a type into a target, one row per edge, sorted by the columns."""
-    hits = edges_into(nodes, edges, kind, target, target_label, **sizes).groupBy(
-        F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("_edges"))
-    return _per_edge(hits, with_label(nodes, label), columns).orderBy(*columns)
+    hits = edges_into(nodes, edges, kind, target, target_label, **sizes).select(F.col("src").alias("id"))
+    named = with_label(nodes, label).select("id", *columns)
+    return lookup(hits, named, "id", **sizes).select(*columns).orderBy(*columns)
 
 
 def match_out(nodes: DataFrame, edges: DataFrame, kind: str, source: Column, columns: list[str],
               label: str | None = None, source_label: str | None = None, **sizes: int) -> DataFrame:
     """Nodes an edge of a type leads to from a source, one row per edge."""
-    hits = edges_from(nodes, edges, kind, source, source_label, **sizes).groupBy(
-        F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("_edges"))
-    return _per_edge(hits, with_label(nodes, label), columns)
-
-
-def _per_edge(hits: DataFrame, nodes: DataFrame, columns: list[str]) -> DataFrame:
-    """Node columns, each repeated once per edge counted in ``hits`` (one row per node)."""
-    named = hits.join(nodes.select("id", *columns), "id")
-    return named.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_edges")))).select(
-        *columns)
+    hits = edges_from(nodes, edges, kind, source, source_label, **sizes).select(F.col("dst").alias("id"))
+    return lookup(hits, with_label(nodes, label).select("id", *columns), "id", **sizes).select(*columns)
 
 
 def target_count(nodes: DataFrame, edges: DataFrame, kind: str, source: Column,

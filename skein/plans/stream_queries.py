@@ -72,7 +72,10 @@ def stream_tumbling(spark, sf_dir):
 
 @query("stream_word_count", f"select word, count(*) as n from ({clean_words('text', 'documents')}) group by 1")
 def stream_word_count(spark, sf_dir):
-    return run_complete(spark, op.running_word_count(stream_of(spark, sf_dir, "documents"), "text"))
+    folder = new_folder(spark, "update")
+    words = op.running_word_count(stream_of(spark, sf_dir, "documents"), "text", ordered=False)
+    sinks.finish(sinks.write_batches(words, folder, "update", availableNow=True))
+    return sinks.latest_per_key(spark, folder, ["word"])
 
 
 @query("stream_letter_count", f"""

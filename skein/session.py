@@ -44,12 +44,16 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return _MADE[-1]
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder wherever it lies."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_cuts(spark: SparkSession) -> None:
     """Delete the folders made so far. Call it when the results that read them are written."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     while _MADE:
-        path = hadoop(_MADE.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(spark, _MADE.pop())
 
 
 def write_cut(df: DataFrame) -> str:

@@ -56,10 +56,11 @@ def windowed_word_count(stream: DataFrame, size: str = WORD_WINDOW[0], slide: st
     return counted if watermark else counted.orderBy("window_start", F.col("n").desc(), "word")
 
 
-def running_word_count(stream: DataFrame, col: str = "value") -> DataFrame:
-    """Clean words over all rows so far, most frequent first (complete mode)."""
+def running_word_count(stream: DataFrame, col: str = "value", ordered: bool = True) -> DataFrame:
+    """Clean words over all rows so far: most frequent first (complete mode), or, not ``ordered``, only the words
+    that a batch changed (update mode), which is all that is written for it."""
     counted = clean_words(stream, col).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return counted.orderBy(F.col("n").desc(), "word")
+    return counted.orderBy(F.col("n").desc(), "word") if ordered else counted
 
 
 def running_letter_count(stream: DataFrame, col: str = "value") -> DataFrame:

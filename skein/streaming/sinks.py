@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skein.operators.order import day_of, previous_value
-from skein.session import cut, new_folder
+from skein.session import cut, delete_folder, new_folder
 
 
 def to_console(stream: DataFrame, mode: str = "append", checkpoint: str | None = None,
@@ -165,6 +165,8 @@ def advances_by_batch(stream: DataFrame, path: str, time: str, order: str, key:
         advanced.select(*([key] if key else []), order, *columns, "event_date", "previous_date") \
             .write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
         last.write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
+        if batch_id > 1:  # only the batch before can still be asked for
+            delete_folder(spark, f"{path}/state/batch={batch_id - 2}")
 
     return _start(narrow.writeStream.foreachBatch(step), spark, checkpoint, trigger)
 

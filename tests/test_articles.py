@@ -62,3 +62,19 @@ def test_append_articles(spark, tmp_path):
     assert sorted(r.pos for r in art.append_articles(first, store, "pos").collect()) == [0, 2]
     assert [r.pos for r in art.append_articles(second, store, "pos").collect()] == [1]
     assert spark.read.parquet(store).count() == 3
+
+
+def test_broken_pages_take_time_in_proportion(spark):
+    import time
+
+    from skein.functions.html import pick, steps
+    path = {"a": steps("article > div p"), "b": steps("span")}
+
+    def seconds(n):
+        page = "<article><div>" + "<i>" * n + "<p>x</p></b></u>" * n
+        start = time.perf_counter()
+        assert len(pick(page, path)["a"]) == n
+        return time.perf_counter() - start
+
+    seconds(500)
+    assert seconds(16_000) < 40 * max(seconds(2_000), 0.01)
