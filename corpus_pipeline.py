@@ -23,8 +23,8 @@ def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def keep_one_near_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by fingerprints the row with the smallest doc_id."""
-    return simhash.near_groups(docs, rows=True).filter("kept").select("row.*")
+    """Of each group linked by fingerprints, or by 0.8 of their shingles of five words, the row with the smallest doc_id."""
+    return simhash.near_groups(docs, rows=True, similar=0.8).filter("kept").select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,42 +16,119 @@ SHINGLE = 3
 LIMIT = 2
 SEED = 42
 BITS = 64
-# Shingles hashed and counted in one step.
+# Shingles counted in one step.
 STEP = 1 << 14
+# Parts of a set of shingles that are looked up.
+PARTS = 64
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """64 bits, each set if it is set in over half of the shingles' hashes; 0 without words."""
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """Hashes of all runs of ``shingle`` words joined by a space, of the whole sequence where there are fewer words."""
     found = text.lower().split()
     if not found:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(found)
     stops = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
     starts = np.append(0, stops[:-1] + 1)
     size = min(shingle, len(found))
-    begin, end = starts[:len(found) - size + 1].tolist(), stops[size - 1:].tolist()
-    n, digest, ones = len(begin), xxhash.xxh64_intdigest, np.zeros(BITS, np.int64)
-    for at in range(0, n, STEP):
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(begin[at:at + STEP], end[at:at + STEP])], "<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(
+        starts[:len(found) - size + 1].tolist(), stops[size - 1:].tolist())], "<u8")
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """64 bits, each set if it is set in over half of the shingles' hashes; 0 without words."""
+    hashes = shingle_hashes(text, shingle)
+    ones = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), STEP):
+        ones += np.unpackbits(hashes[at:at + STEP].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(
+            axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def parts(hashes: np.ndarray) -> np.ndarray:
+    """Fingerprints of parts of a set of shingles, for finding sets that are nearly the same.
+
+    The set is dealt by the hashes' low bits into classes of four to eight shingles on average; a part is the sum of
+    a class, and only the first ``PARTS`` classes count. Sets whose similarity is 0.8 share most shingles in every class and
+    some classes as a whole. The number of classes doubles with the size of the set; a set not far below a
+    doubling is also dealt as one above it, so sets of nearly equal size have one number in common.
+    """
+    level, over = divmod(float(np.log2(max(len(hashes) / 4, 1))), 1)
+    out = []
+    for depth in (int(level), int(level) + 1)[:1 + (over > 0.67)]:
+        part = hashes & np.uint64((1 << depth) - 1)
+        part, inside = part[part < PARTS], hashes[part < PARTS]
+        order = np.argsort(part, kind="stable")
+        part, inside = part[order], inside[order]
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+        if not len(first):
+            continue
+        sizes = np.diff(np.append(first, len(part)))
+        sums = np.add.reduceat(inside * np.uint64(0x9E3779B97F4A7C15), first)
+        sums ^= (part[first] + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(depth)
+        out.append(sums[sizes >= (3 if len(hashes) >= 24 else 1)])
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                 rows: bool = False) -> DataFrame:
-    """``doc_id, fingerprint`` (a long holding the 64 bits) of every row, with ``rows`` also the row; no shuffle."""
+                 rows: bool = False, sets: int = 0) -> DataFrame:
+    """``doc_id, fingerprint`` (a long holding the 64 bits) of every row; no shuffle.
+
+    With ``sets`` also the row's set of shingles of so many words: ``parts``, and ``hashes``, 32 bits of each, sorted. With
+    ``rows`` also the row as ``row``.
+    """
     named = texts(docs, key, text)
     if rows:
         named = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
                             F.struct(*[docs[c] for c in docs.columns]).alias("row"))
 
     def run(batches):
-        for part in slices(batches):
-            out = np.array([fingerprint(t, shingle) for t in as_bytes(part.column("text"))], np.uint64).view(np.int64)
-            arrays = [part.column("doc_id"), pa.array(out), *([part.column("row")] if rows else [])]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "fingerprint", "row"][:len(arrays)])
+        for piece in slices(batches):
+            contents = as_bytes(piece.column("text"))
+            out = np.array([fingerprint(t, shingle) for t in contents], np.uint64).view(np.int64)
+            columns = {"doc_id": piece.column("doc_id"), "fingerprint": pa.array(out)}
+            if sets:
+                unique = [np.unique(shingle_hashes(t, sets)) for t in contents]
+                columns["parts"] = pa.array([parts(h).view(np.int64) for h in unique], pa.list_(pa.int64()))
+                columns["hashes"] = pa.array([np.unique((h >> np.uint64(32)).astype("<u4")).tobytes() for h in unique], pa.binary())
+            if rows:
+                columns["row"] = piece.column("row")
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    return named.mapInArrow(run, f"doc_id {key_type(named)}, fingerprint long" + (", parts array<long>, hashes binary" if sets else "")
+                            + (f", row {key_type(named, 'row')}" if rows else ""))
+
+
+def similar_links(every: DataFrame, least: float) -> DataFrame:
+    """``one, two``: fingerprints of rows whose sets of shingles have a Jaccard similarity of ``least`` or more.
+
+    ``every`` has ``tag, fingerprint, parts, hashes``. Rows that share a part are compared with the first row that has it, on
+    their whole sets. A row has up to 64 parts or more, so in a large group it is compared through many first rows; a
+    part never makes pairs of all that share it. Rows in no shared part are not compared and not shuffled again.
+    """
+    keyed = cut(every.select("tag", "fingerprint", F.explode("parts").alias("part")))
+    first = keyed.groupBy("part").agg(F.min("tag").alias("first"), F.max("tag").alias("last")).filter("first != last")
+    first = cut(first.select("part", "first"))
+    pairs = cut(keyed.join(first, "part").filter("tag != first").select("tag", "first").distinct())
+    sets = every.select("tag", "fingerprint", "hashes")
+    one = cut(pairs.join(sets, "tag").select("first", F.col("fingerprint").alias("two"), F.col("hashes").alias("other")))
+    both = one.join(sets.select(F.col("tag").alias("first"), F.col("fingerprint").alias("one"), "hashes"), "first").filter("one != two")
+
+    def run(batches):
+        for batch in batches:
+            good = []
+            for a, b in zip(batch.column("hashes").to_pylist(), batch.column("other").to_pylist()):
+                x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
+                if min(len(x), len(y)) < least * max(len(x), len(y)):
+                    good.append(False)
+                    continue
+                shared = np.intersect1d(x, y, assume_unique=True).size
+                good.append(shared >= least * (len(x) + len(y) - shared) and shared > 0)
+            kept = batch.filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column("one"), kept.column("two")], ["one", "two"])
 
-    return named.mapInArrow(run, f"doc_id {key_type(named)}, fingerprint long" + (f", row {key_type(named, 'row')}" if rows else ""))
+    return both.select("one", "two", "hashes", "other").mapInArrow(run, "one long, two long")
 
 
 def segments(limit: int) -> list[tuple[int, int]]:
@@ -110,7 +187,7 @@ def links(values: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                limit: int = LIMIT, rows: bool = False) -> DataFrame:
+                limit: int = LIMIT, rows: bool = False, similar: float | None = None, similar_shingle: int = 5) -> DataFrame:
     """``doc_id, fingerprint, component_id, kept`` for every row, with ``rows`` also the row as ``row``.
 
     Fingerprints come as 16 hex digits. Words are runs without ASCII white space, A to Z in lower case; shingles are
@@ -119,13 +196,20 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     a null one only where there is no other; one row that has it is ``kept``. Repeated rows come out repeated; other
     columns are not looked at.
 
+    With ``similar``, rows are also linked whose sets of shingles of ``similar_shingle`` words are at least so similar: 64 bits
+    of which two may differ tell only the closest of such copies. See :func:`similar_links`.
+
     Copies are reduced to one fingerprint with a map-side minimum before any comparison, and get their component
     back by a join of two written tables, which Spark splits where one fingerprint owns very many rows.
     """
-    every = cut(fingerprints(docs, key, text, shingle, rows).withColumn("tag", F.monotonically_increasing_id()))
+    sets = similar_shingle if similar is not None else 0
+    every = cut(fingerprints(docs, key, text, shingle, rows, sets).withColumn("tag", F.monotonically_increasing_id()))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "tag"))
     distinct = cut(every.groupBy("fingerprint").agg(first.alias("first")))
-    roots = components(links(distinct.select("fingerprint"), limit))
+    found = links(distinct.select("fingerprint"), limit)
+    if similar is not None:
+        found = found.union(similar_links(every, similar))
+    roots = components(found)
     rooted = cut(distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
         "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")))
     # A root of very many fingerprints is combined on the map side, then joined back to them.

@@ -52,6 +52,43 @@ def test_near_copies_against_brute_force(spark):
     assert sum(r.kept for r in rows) == len(set(wanted.values()))
 
 
+def similarity(one, two):
+    sets = [{tuple(ws[at:at + 5]) for at in range(max(1, len(ws) - 4))} for ws in (lower(t).split() for t in (one, two))]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1]) if one.strip() and two.strip() else 0
+
+
+def test_similar_texts_are_linked_and_others_not(spark):
+    draw = random.Random(15)
+    words = ["".join(draw.choices("abcdefgh", k=draw.randint(2, 7))) for _ in range(900)]
+    passage, docs = draw.choices(words, k=60), []
+    for base in range(30):
+        text = draw.choices(words, k=draw.choice([12, 30, 80, 400, 1500])) + passage * (base % 2)
+        for _ in range(12):
+            copy = list(text)
+            for _ in range(draw.randint(0, max(1, len(copy) // 40))):
+                at = draw.randrange(len(copy))
+                copy[at:at + draw.choice([0, 1])] = [draw.choice(words)]
+            docs.append((len(docs), " ".join(copy)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    rows = {r.doc_id: r for r in simhash.near_groups(frame, similar=0.8).collect()}
+    prints = {k: brute_fingerprint(t) for k, t in docs}
+    pairs = [(a, b) for a, b in itertools.combinations(range(len(docs)), 2) if similarity(docs[a][1], docs[b][1]) >= 0.8]
+    assert len(pairs) > 300
+    found = sum(rows[a].component_id == rows[b].component_id for a, b in pairs)
+    assert found >= 0.95 * len(pairs)
+    near = pairs + [(a, b) for a, b in itertools.combinations(prints, 2) if (prints[a] ^ prints[b]).bit_count() <= 2]
+    wanted = joined(prints, near)
+    assert all(wanted[r.doc_id] == wanted[r.component_id] for r in rows.values())  # no link that is not one
+
+
+def test_similar_on_a_messy_table(spark):
+    rows = simhash.near_groups(messy(spark), similar=0.8).collect()
+    assert len(rows) == len(messy_rows())
+    by_id = {r.doc_id: r.component_id for r in rows}
+    assert by_id[3] == by_id[4] == by_id[5] and by_id[7] == by_id[8] and by_id[9] != by_id[3]
+    assert simhash.near_groups(messy(spark, 0), similar=0.8).collect() == []
+
+
 def test_messy_table(spark):
     rows = simhash.near_groups(messy(spark)).collect()
     prints = {brute_fingerprint(t) for _, t, *_ in messy_rows()}
