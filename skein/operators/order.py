@@ -105,7 +105,7 @@ def advanced_since_previous(df: DataFrame, time: str, order: list[str], key: str
 
 
 def first_ranks(df: DataFrame, key: str, order: list[str], start: int, stop: int) -> DataFrame:
-    """Rows ``start`` to ``stop`` (from 1) of every key.
+    """Rows ``start`` to ``stop`` (from 1) of every key, with their rank as ``_rank``.
 
     A row's rank is its place in one global row index less that of its key's first row: one range shuffle, which
     splits any key, whatever ``stop`` is. One row per key is joined back.
@@ -114,4 +114,5 @@ def first_ranks(df: DataFrame, key: str, order: list[str], start: int, stop: int
     first = indexed.groupBy(key).agg(F.min("_index").alias("_first")).withColumnRenamed(key, "_key")
     first = cut(first)
     rank = F.col("_index") - F.col("_first") + 1
-    return indexed.join(first, F.col(key).eqNullSafe(F.col("_key")) & rank.between(start, stop)).drop("_index", "_first", "_key")
+    joined = indexed.join(first, F.col(key).eqNullSafe(F.col("_key")))
+    return joined.withColumn("_rank", rank).filter(F.col("_rank").between(start, stop)).drop("_index", "_first", "_key")

@@ -271,7 +271,7 @@ select user, item, l_orderkey, l_linenumber, rank from (
 where rank <= 3""")
 def ranks(spark, sf_dir):
     rows = ratings(spark, sf_dir).select("user", "item", "l_orderkey", "l_linenumber")
-    return first_ranks(rows, "user", RATING_ORDER, 1, 3).withColumnRenamed("_rank", "rank")
+    return first_ranks(rows, "user", RATING_ORDER, 1, 3).withColumn("rank", F.col("_rank").cast("int")).drop("_rank")
 
 
 @query("random_split", """
