@@ -33,7 +33,7 @@ LEAST_COST = 4.5
 # Longest word looked up in a value.
 WORD_LENGTH = 24
 # Values are compared with cost rules piece by piece; a piece of this length is settled before the next.
-PIECE = 256
+PIECE = 64
 
 # Signs written for letters, and the rows of a keyboard.
 LEET = str.maketrans("430157@$!8", "aeoistasib")
