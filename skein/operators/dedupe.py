@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.functions.skew import lookup
 from skein.session import cut, write_cut
 
 def comparable(key: str) -> Column:
@@ -15,15 +14,16 @@ def comparable(key: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("-"))
 
 
-def kept_positions(df: DataFrame, keys: list[str], order: str, **bounds: int) -> DataFrame:
+def kept_positions(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Positions kept by a walk in ``order`` that skips a row sharing any key with a kept row.
 
     ``order`` must be unique. Each round keeps the
     rows that come first under all of their keys (nothing before them can block them), then removes every row
     sharing a key with a kept one. The first remaining row is always kept, so the rounds end; their number is
     the longest chain of rows blocking each other, and each costs by what is left. Keys travel as two hashes of 64 bits
-    each. Firsts are minima combined on the map side and meet on the unique position; removals go through the
-    skew-safe lookup. Each round is written out, so a lost executor repeats one round at most.
+    each. Firsts are minima combined on the map side and meet on the unique position. Each round is written out, so a lost
+    executor repeats one round at most, and removals join two written tables: Spark broadcasts the kept keys by the
+    size of their files, or shuffles both sides once and splits a key with very many rows.
     """
     spark = df.sparkSession
     narrow = [F.struct(F.xxhash64(F.lit(1), comparable(k)).alias("a"), F.xxhash64(F.lit(2), comparable(k)).alias("b")).alias(k)
@@ -41,19 +41,18 @@ def kept_positions(df: DataFrame, keys: list[str], order: str, **bounds: int) ->
         kept_folders.append(write_cut(kept))
         kept = spark.read.schema(schema).parquet(kept_folders[-1])
         for k in keys:  # kept rows never share a key, so each has one row per key
-            left = lookup(left, kept.select(k), k, "left_anti", **bounds)
+            left = left.join(kept.select(k), k, "left_anti")
         left = cut(left)
         if left.isEmpty():
             return spark.read.schema(schema).parquet(*kept_folders).select(order)
 
 
-def dedupe_greedy(df: DataFrame, keys: list[str], order: str, **sizes: int) -> DataFrame:
+def dedupe_greedy(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Whole rows of :func:`kept_positions`."""
-    return df.join(kept_positions(df, keys, order, **sizes), order, "left_semi")
+    return df.join(kept_positions(df, keys, order), order, "left_semi")
 
 
-def duplicate_count(df: DataFrame, keys: list[str], order: str, name: str = "n_duplicates",
-                    **sizes: int) -> DataFrame:
+def duplicate_count(df: DataFrame, keys: list[str], order: str, name: str = "n_duplicates") -> DataFrame:
     """Rows that the greedy walk skips."""
-    kept = kept_positions(df, keys, order, **sizes).agg(F.count(F.lit(1)))
+    kept = kept_positions(df, keys, order).agg(F.count(F.lit(1)))
     return df.agg((F.count(F.lit(1)) - kept.scalar()).alias(name))
