@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.rows import key_type, slices
+from skein.llm.rows import key_type, slices, with_text
 from skein.session import cut
 
 # Labelled rows the classifiers are fitted on at most, and unlabelled ones they teach each other with. Rows beyond are
@@ -220,11 +220,11 @@ def sample_rows(docs: DataFrame, labels: DataFrame, key: str, label_key: str) ->
     return cut(rows.join(drawn, "k").dropDuplicates(["k"]).withColumn("held", held))
 
 
-def measures(part: pa.RecordBatch) -> tuple[list[set[str]], np.ndarray, list[list[str]]]:
-    """Text features, shapes and metadata features of a slice of rows."""
+def measures(part: pa.RecordBatch, wanted: frozenset[str]) -> tuple[list[set[str]], np.ndarray, list[list[str]]]:
+    """Wanted text features, shapes and metadata features of a slice of rows."""
     contents = [t or "" for t in part.column("text").to_pylist()]
     metadata = [metadata_features(*r) for r in zip(*(part.column(c).to_pylist() for c in ("lang", "source", "n_chars")))]
-    return [text_features(t) for t in contents], np.array([shape(t) for t in contents]).reshape(-1, len(SHAPES)), metadata
+    return [text_features(t) & wanted for t in contents], np.array([shape(t) for t in contents]).reshape(-1, len(SHAPES)), metadata
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label_key: str = "doc_id") -> dict[str, Classifier | float]:
@@ -238,10 +238,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label_key: str
 
     def run(batches):
         for part in slices(batches):
-            found, shapes, metadata = measures(part)
+            found, shapes, metadata = measures(part, wanted)
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(c) for c in ("draw", "held", "quality", "toxic")),
-                 pa.array([sorted(f & wanted) for f in found], pa.list_(pa.string())),
+                 pa.array([sorted(f) for f in found], pa.list_(pa.string())),
                  pa.array(shapes.tolist(), pa.list_(pa.float64())), pa.array(metadata, pa.list_(pa.string()))],
                 ["draw", "held", "quality", "toxic", "found", "shapes", "metadata"])
 
@@ -270,13 +270,14 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label_key: st
     chance of being toxic or of not being good. Whole texts are scored where they are read, without a shuffle.
     """
     models = fit(docs, labels, key, label_key)
-    extra = [F.struct(*[docs[c] for c in docs.columns]).alias("row")] if rows else []
-    named = docs.select(F.col(key).alias("doc_id"), F.col("text").cast("string").alias("text"),
-                        F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"),
-                        F.col("n_chars").cast("long").alias("n_chars"), *extra)
+    wanted = frozenset(f for m in models.values() if isinstance(m, Classifier) for f in m.features)
+    metadata = [F.col(c).cast(kind).alias(c) for c, kind in (("lang", "string"), ("source", "string"), ("n_chars", "long"))]
+    content = F.struct(*[docs[c] for c in docs.columns]).alias("row") if rows else F.col("text").cast("string").alias("text")
+    named = docs.select(F.col(key).alias("doc_id"), content, *metadata)
+
     def run(batches):
-        for part in slices(batches):
-            seen = measures(part)
+        for part in slices(with_text(batches, "text") if rows else batches):
+            seen = measures(part, wanted)
             chances = [np.full(part.num_rows, m) if isinstance(m, float) else m.chance(*seen)
                        for m in (models["quality"], models["toxic"])]
             rejected = (chances[0] < REJECT) | (chances[1] > REJECT)

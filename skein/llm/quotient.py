@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.rows import as_bytes, key_type, slices, texts
+from skein.llm.rows import as_bytes, key_type, slices, texts, whole_rows, with_text
 from skein.session import cut
 
 # Quotients of the filters (top bits of a 64-bit fingerprint); each is merged on its own.
@@ -117,15 +117,12 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", rows:
     so a text owning a third of all rows is one row per task. The text of each class is then joined back
     to its rows; both sides come straight from tables, so Spark splits a class that is too large for a task.
     """
-    named = texts(docs, key, text)
-    if rows:
-        named = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
-                            F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    bits = repeated_bits(merged(filters(named)))
+    bits = repeated_bits(merged(filters(texts(docs, key, text))))
+    named = whole_rows(docs, key) if rows else texts(docs, key, text)
 
     def run(batches):
         at = 64 - ROUTE_BITS
-        for part in slices(batches):
+        for part in slices(with_text(batches, text) if rows else batches):
             hashes, routed = [], []
             for content in as_bytes(part.column("text")):
                 digest = hashlib.sha256(content := normal(content))

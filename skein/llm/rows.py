@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Bytes of text one step of a Python task works on; a longer text is a step of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -19,6 +19,18 @@ def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
 
+def whole_rows(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``doc_id`` and the whole row as ``row``; its text travels once and is taken out by :func:`with_text`."""
+    return docs.select(F.col(key).alias("doc_id"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+
+
+def with_text(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """Batches with the text of their rows as a column of its own, which shares the rows' memory."""
+    for batch in batches:
+        rows = batch.column("row")
+        yield batch.append_column("text", rows.field(rows.type.get_field_index(text)).cast(pa.string()))
+
+
 def key_type(df: DataFrame, key: str = "doc_id") -> str:
     """Type of a column, as text for a schema."""
     return df.schema[key].dataType.simpleString()

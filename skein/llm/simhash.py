@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.components import components
-from skein.llm.rows import as_bytes, key_type, slices, texts
+from skein.llm.rows import as_bytes, key_type, slices, texts, whole_rows, with_text
 from skein.session import cut
 
 SHINGLE = 3
@@ -78,13 +78,10 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
     With ``sets`` also the row's set of shingles of so many words: ``parts``, and ``hashes``, 32 bits of each, sorted. With
     ``rows`` also the row as ``row``.
     """
-    named = texts(docs, key, text)
-    if rows:
-        named = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
-                            F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    named = whole_rows(docs, key) if rows else texts(docs, key, text)
 
     def run(batches):
-        for piece in slices(batches):
+        for piece in slices(with_text(batches, text) if rows else batches):
             contents = as_bytes(piece.column("text"))
             out = np.array([fingerprint(t, shingle) for t in contents], np.uint64).view(np.int64)
             columns = {"doc_id": piece.column("doc_id"), "fingerprint": pa.array(out)}
