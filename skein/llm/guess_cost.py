@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 import re
+from operator import eq
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,8 +33,8 @@ EDGES = ".,;:!?()[]{}<>\"'`*"
 LEAST_COST = 4.5
 # Longest word looked up in a value.
 WORD_LENGTH = 24
-# Values are compared with cost rules piece by piece; a piece of this length is settled before the next.
-PIECE = 64
+# Longest unit of a repeat.
+UNIT_LENGTH = 16
 
 # Signs written for letters, and the rows of a keyboard.
 LEET = str.maketrans("430157@$!8", "aeoistasib")
@@ -44,7 +45,6 @@ SLANT = (0.0, 1.5, 1.75, 2.25)
 DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])"
                   r"|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)?\d\d"
                   r"|(?:0[1-9]|1[0-2])([-/._]?)(?:0[1-9]|[12]\d|3[01])\3(?:19|20)?\d\d|(?:19|20)\d\d")
-REPEAT = re.compile(r"(.{1,16}?)\1+")
 LOG2 = math.log10(2)
 
 
@@ -80,51 +80,71 @@ class GuessCost:
         """One character by brute force: the logarithm of its class's size."""
         return 1.0 if c.isdigit() else math.log10(26) if c.isascii() and c.isalpha() else math.log10(33) if c.isascii() else 2.0
 
+    def unit_cost(self, unit: str) -> float:
+        """What is repeated: its characters by brute force, or a word of the list."""
+        return min(sum(map(self.per_character, unit)), math.log10(self.ranks.get(unit.lower(), 10 ** 9)))
+
     def cost(self, value: str) -> float:
         """Minimum over all segmentations; a new segment costs a factor of two.
 
         ``best[i]`` is the least cost of the first ``i`` characters. It follows from an earlier place by a word of the
-        list (rank, times two for capitals and two for signs in place of letters), a date, a unit repeated, a walk over
-        neighbouring keys, or one character more by brute force. Longer values are settled piece by piece; the sum of
-        the pieces is what they cost.
+        list (rank, times two for capitals and two for signs in place of letters), a date, a unit of up to 16 characters repeated, a
+        walk over neighbouring keys, or one character more by brute force. Repeats and walks are maximal runs found
+        beforehand. In a walk the best start so far is carried along. Of the starts of a repeat one that is no better than an
+        earlier one can be forgotten: the logarithm of the times grows slower for the earlier one from then on.
         """
-        if len(value) > PIECE:
-            return sum(self.cost(value[at:at + PIECE]) for at in range(0, len(value), PIECE))
         n = len(value)
         plain, lower = value.lower().translate(LEET), value.lower()
         if len(lower) != n or len(plain) != n:  # a letter whose lower case is longer
             lower = plain = value
-        steps: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
+        keys = lower.translate(SHIFTED)
+        dates: dict[int, list[tuple[int, float]]] = {}
         for start in range(n):
-            for end in range(start + 3, min(n, start + WORD_LENGTH) + 1):
-                for form, extra in ((lower, 0.0), (plain, LOG2)):
-                    rank = self.ranks.get(form[start:end])
-                    if rank:
-                        capitals = value[start:end]
-                        extra += LOG2 * (capitals != capitals.lower())
-                        steps[end].append((start, math.log10(rank) + extra))
-                        break
             m = DATE.match(value, start)
             if m:
                 year_only = m.end() - m.start() == 4
-                steps[m.end()].append((start, math.log10(150) if year_only else math.log10(365 * 150)))
-            m = REPEAT.match(value, start)
-            if m:
-                unit = m[1]
-                cost = min(sum(map(self.per_character, unit)), math.log10(self.ranks.get(unit.lower(), 10 ** 9)))
-                for times in range(2, (m.end() - start) // len(unit) + 1):
-                    steps[start + times * len(unit)].append((start, cost + math.log10(times)))
-            end = start + 1
-            keys = lower.translate(SHIFTED)
-            while end < n and keys[end] in self.near.get(keys[end - 1], ()):
-                end += 1
-                if end - start >= 3:
-                    steps[end].append((start, math.log10(47) + (end - start - 1) * LOG2))
+                dates.setdefault(m.end(), []).append((start, math.log10(150) if year_only else math.log10(365 * 150)))
+        repeats: dict[int, list[tuple[int, int]]] = {}  # by end: length of the unit, start of the run
+        for size in range(1, min(UNIT_LENGTH, n // 2) + 1):
+            for m in re.finditer(b"\x01{%d,}" % size, bytes(map(eq, value, value[size:]))):
+                for end in range(m.start() + 2 * size, m.end() + size + 1):
+                    repeats.setdefault(end, []).append((size, m.start()))
+        starts: dict[tuple[int, int, int], tuple[float, list[int]]] = {}
         best = [0.0] + [math.inf] * n  # ending with a finished segment
-        brute = [math.inf] * (n + 1)  # ending inside brute force
+        brute = math.inf  # ending inside brute force
+        walk, walked = math.inf, 0  # least of a start's cost less its place, in the walk that began there
         for at in range(1, n + 1):
-            brute[at] = min(brute[at - 1], best[at - 1] + LOG2) + self.per_character(value[at - 1])
-            best[at] = min([brute[at], *(best[start] + cost + LOG2 for start, cost in steps[at])])
+            brute = min(brute, best[at - 1] + LOG2) + self.per_character(value[at - 1])
+            least = brute
+            for start in range(max(0, at - WORD_LENGTH), at - 2):
+                for form, extra in ((lower, LOG2), (plain, 2 * LOG2)):
+                    rank = self.ranks.get(form[start:at])
+                    if rank:
+                        capitals = value[start:at]
+                        extra += LOG2 * (capitals != capitals.lower())
+                        least = min(least, best[start] + math.log10(rank) + extra)
+                        break
+            for start, cost in dates.get(at, ()):
+                least = min(least, best[start] + cost + LOG2)
+            for size, first in repeats.get(at, ()):
+                chain = (size, first, at % size)
+                if chain not in starts:
+                    starts[chain] = self.unit_cost(value[at - size:at]), []
+                cost, held = starts[chain]
+                lowest, good = math.inf, []
+                for start in (*held, at - 2 * size):
+                    sum_ = best[start] + math.log10((at - start) // size)
+                    if sum_ < lowest:
+                        lowest = sum_
+                        good.append(start)
+                held[:] = good
+                least = min(least, lowest + cost + LOG2)
+            if at > 1 and keys[at - 1] not in self.near.get(keys[at - 2], ()):
+                walk, walked = math.inf, at - 1
+            if at - walked >= 3:
+                walk = min(walk, best[at - 3] - (at - 3) * LOG2)
+                least = min(least, walk + at * LOG2 + math.log10(47))
+            best[at] = least
         return best[n]
 
 

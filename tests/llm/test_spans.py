@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -124,6 +125,19 @@ def test_no_segmentation_is_cheaper(secrets):
             assert cost(value) <= cost(value[:at]) + cost(value[at:]) + 1e-9
 
 
+def test_long_values_are_not_cut(secrets):
+    cost = secrets.guess.cost
+    for name in ("Token", "Credentials"):
+        for rule in ("-" * 60, "-" * 65, "=" * 400):
+            assert [x for x in secrets.spans(f"{name}\n{rule}\nand so on") if x[3]] == []
+    assert cost("-" * 100) == pytest.approx(math.log10(33) + 2 + math.log10(2))
+    assert cost("abc-" * 40) == pytest.approx(cost("abc-" * 4) + 1)
+    for before in range(56, 64):
+        assert cost("-" * before + "password") <= cost("-" * before) + cost("password") + 1e-9
+    walk = "qwertyuiop" + "oiuytrewq" + ("wertyuiop" + "oiuytrewq") * 4
+    assert cost(walk) <= math.log10(47) + len(walk) * math.log10(2) + 1e-9
+
+
 @pytest.mark.parametrize("module, brute", [(deobfuscate, brute_personal), (guess_cost, brute_secrets)])
 def test_messy_table(spark, module, brute):
     extra = [] if module is deobfuscate else [WORDS]
