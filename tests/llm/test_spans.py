@@ -110,6 +110,20 @@ def test_prose_in_context_is_no_secret(secrets, text):
     assert [x for x in secrets.spans(text) if x[3]] == []
 
 
+@pytest.mark.parametrize("text, part", [
+    ("pwd: qzvkxwjpth", "qzvkxwjpth"), ("the passphrase is xkqjzvbwpt.", "xkqjzvbwpt"), ("bearer QZVKXWJPTHMB", "QZVKXWJPTHMB"),
+    ("pin code: Wqxzkvjbnt ok", "Wqxzkvjbnt")])
+def test_random_letters_in_context(secrets, text, part):
+    assert [(k, text[s:e], new) for k, s, e, new, _ in secrets.spans(text)] == [("assign", part, True)]
+
+
+@pytest.mark.parametrize("text", [
+    "credentials required", "the passphrase is unavailable", "pwd: administrator", "bearer authentication", "Passwort vergessen",
+    "mot de passe obligatoire", "contraseña incorrecta", "PASSWORD REQUIRED", "token 这是一个非常长的句子"])
+def test_words_in_context_are_no_secrets(secrets, text):
+    assert [x for x in secrets.spans(text) if x[3]] == []
+
+
 def test_costs_follow_the_patterns(secrets):
     cost = secrets.guess.cost
     assert cost("qwertyuiop") < cost("qwzrtpuiop") and cost("aaaaaaaa") < cost("aebcadfh")
