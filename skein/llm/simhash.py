@@ -8,6 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skein.functions.skew import lookup
 from skein.llm.components import components
 from skein.llm.rows import as_bytes, key_type, slices, texts, whole_rows, with_text
 from skein.session import cut
@@ -18,8 +19,15 @@ SEED = 42
 BITS = 64
 # Shingles counted in one step.
 STEP = 1 << 14
-# Parts of a set of shingles that are looked up.
-PARTS = 64
+# Bits of a shingle that tell its place in the table of how common shingles are; the table orders, it leaves nothing out.
+RARITY_BITS = 18
+# Bytes kept of a shingle's hash in a set, and buckets in which sets are counted before they are compared whole.
+KEPT_BYTES = 5
+BUCKETS = 256
+# How often a row is compared with one drawn under each of its rarest shingles before all that are left are compared.
+DRAWS = 3
+# For comparisons of shares with counts.
+SLACK = 1e-9
 
 
 def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
@@ -46,37 +54,11 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def parts(hashes: np.ndarray) -> np.ndarray:
-    """Fingerprints of parts of a set of shingles, for finding sets that are nearly the same.
-
-    The set is dealt by the hashes' low bits into classes of four to eight shingles on average; a part is the sum of
-    a class, and only the first ``PARTS`` classes count. Sets whose similarity is 0.8 share most shingles in every class and
-    some classes as a whole. The number of classes doubles with the size of the set; a set not far below a
-    doubling is also dealt as one above it, so sets of nearly equal size have one number in common.
-    """
-    level, over = divmod(float(np.log2(max(len(hashes) / 4, 1))), 1)
-    out = []
-    for depth in (int(level), int(level) + 1)[:1 + (over > 0.67)]:
-        part = hashes & np.uint64((1 << depth) - 1)
-        part, inside = part[part < PARTS], hashes[part < PARTS]
-        order = np.argsort(part, kind="stable")
-        part, inside = part[order], inside[order]
-        first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
-        if not len(first):
-            continue
-        sizes = np.diff(np.append(first, len(part)))
-        sums = np.add.reduceat(inside * np.uint64(0x9E3779B97F4A7C15), first)
-        sums ^= (part[first] + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(depth)
-        out.append(sums[sizes >= (3 if len(hashes) >= 24 else 1)])
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
-
-
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                  rows: bool = False, sets: int = 0) -> DataFrame:
     """``doc_id, fingerprint`` (a long holding the 64 bits) of every row; no shuffle.
 
-    With ``sets`` also the row's set of shingles of so many words: ``parts``, and ``hashes``, 32 bits of each, sorted. With
-    ``rows`` also the row as ``row``.
+    With ``sets`` also the row's set of shingles of so many words as ``hashes``, sorted. With ``rows`` also the row as ``row``.
     """
     named = whole_rows(docs, key) if rows else texts(docs, key, text)
 
@@ -86,46 +68,160 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
             out = np.array([fingerprint(t, shingle) for t in contents], np.uint64).view(np.int64)
             columns = {"doc_id": piece.column("doc_id"), "fingerprint": pa.array(out)}
             if sets:
-                unique = [np.unique(shingle_hashes(t, sets)) for t in contents]
-                columns["parts"] = pa.array([parts(h).view(np.int64) for h in unique], pa.list_(pa.int64()))
-                columns["hashes"] = pa.array([np.unique((h >> np.uint64(32)).astype("<u4")).tobytes() for h in unique], pa.binary())
+                columns["hashes"] = pa.array([packed(shingle_hashes(t, sets)) for t in contents], pa.binary())
             if rows:
                 columns["row"] = piece.column("row")
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return named.mapInArrow(run, f"doc_id {key_type(named)}, fingerprint long" + (", parts array<long>, hashes binary" if sets else "")
+    return named.mapInArrow(run, f"doc_id {key_type(named)}, fingerprint long" + (", hashes binary" if sets else "")
                             + (f", row {key_type(named, 'row')}" if rows else ""))
 
 
-def similar_links(every: DataFrame, least: float) -> DataFrame:
-    """``one, two``: fingerprints of rows whose sets of shingles have a Jaccard similarity of ``least`` or more.
+def packed(hashes: np.ndarray) -> bytes:
+    """A set as bytes: the upper five of each hash, sorted."""
+    kept = np.unique(hashes >> np.uint64(8 * (8 - KEPT_BYTES))).astype("<u8")
+    return kept.view(np.uint8).reshape(-1, 8)[:, :KEPT_BYTES].tobytes()
+
+
+def unpacked(kept: bytes) -> np.ndarray:
+    out = np.zeros((len(kept) // KEPT_BYTES, 8), np.uint8)
+    out[:, :KEPT_BYTES] = np.frombuffer(kept, np.uint8).reshape(-1, KEPT_BYTES)
+    return out.view("<u8").reshape(-1)
+
+
+def place(hashes: np.ndarray) -> np.ndarray:
+    """Where :func:`rarity` counts a shingle."""
+    return (hashes >> np.uint64(8 * KEPT_BYTES - RARITY_BITS)).astype(np.int64)
 
-    ``every`` has ``tag, fingerprint, parts, hashes``. Rows that share a part are compared with the first row that has it, on
-    their whole sets. A row has up to 64 parts or more, so in a large group it is compared through many first rows; a
-    part never makes pairs of all that share it. Rows in no shared part are not compared and not shuffled again.
+
+def rarity(every: DataFrame) -> np.ndarray:
+    """For each value of a shingle's upper bits the logarithm of how many shingles of all rows have it."""
+    def run(batches):
+        held = np.zeros(1 << RARITY_BITS, np.int64)
+        for piece in slices(batches, "hashes"):
+            held += np.bincount(place(unpacked(b"".join(piece.column("hashes").to_pylist()))), minlength=len(held))
+        used = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(held[used])], ["place", "n"])
+
+    counted = every.select("hashes").mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << RARITY_BITS, np.uint8)
+    out[np.asarray(counted["place"])] = np.log2(np.maximum(np.asarray(counted["n"], np.int64), 1)).astype(np.uint8)
+    return out
+
+
+def prefix(hashes: np.ndarray, rare: np.ndarray, least: float) -> np.ndarray:
+    """The rarest shingles of a set, so many that two sets with a Jaccard similarity of ``least`` have one in common.
+
+    Similar sets share at least ``least`` of the larger one, so not all of the ``n - least * n + 1`` that come first in
+    one order of all shingles can be missing in the other, nor outside the other's first. Any order will do.
     """
-    keyed = cut(every.select("tag", "fingerprint", F.explode("parts").alias("part")))
-    first = keyed.groupBy("part").agg(F.min("tag").alias("first"), F.max("tag").alias("last")).filter("first != last")
-    first = cut(first.select("part", "first"))
-    pairs = cut(keyed.join(first, "part").filter("tag != first").select("tag", "first").distinct())
-    sets = every.select("tag", "fingerprint", "hashes")
-    one = cut(pairs.join(sets, "tag").select("first", F.col("fingerprint").alias("two"), F.col("hashes").alias("other")))
-    both = one.join(sets.select(F.col("tag").alias("first"), F.col("fingerprint").alias("one"), "hashes"), "first").filter("one != two")
+    size = len(hashes) - int(np.ceil(least * len(hashes) - SLACK)) + 1
+    return hashes[np.lexsort((hashes, rare[place(hashes)]))[:size]]
+
+
+def postings(every: DataFrame, rare: np.ndarray, least: float) -> DataFrame:
+    """``tag, fingerprint, shingle, n, rest``: every row under its rarest shingles.
+
+    ``n`` is the size of its set, ``rest`` how many of its shingles come from this one on.
+    """
+    def run(batches):
+        for piece in slices(batches, "hashes"):
+            sets = [unpacked(x) for x in piece.column("hashes").to_pylist()]
+            firsts = [prefix(x, rare, least) for x in sets]
+            lengths, sizes = np.array([len(x) for x in firsts]), np.array([len(x) for x in sets])
+            row = np.repeat(np.arange(len(sets)), lengths)
+            at = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("tag").take(pa.array(row)), piece.column("fingerprint").take(pa.array(row)),
+                 pa.array(np.concatenate(firsts).view(np.int64)), pa.array(sizes[row].astype(np.int32)),
+                 pa.array((sizes[row] - at).astype(np.int32))], ["tag", "fingerprint", "shingle", "n", "rest"])
+
+    return every.select("tag", "fingerprint", "hashes").mapInArrow(run, "tag long, fingerprint long, shingle long, n int, rest int")
+
+
+def may_be_similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Pairs less those whose sets differ in more shingles than similar sets can.
+
+    In each bucket the sets differ by at least the difference of their counts, also where these are kept as a byte.
+    """
+    def count(batches):
+        for piece in slices(batches, "hashes"):
+            found = [unpacked(x) for x in piece.column("hashes").to_pylist()]
+            counts = [np.bincount((x % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS).astype(np.uint8).tobytes() for x in found]
+            yield pa.RecordBatch.from_arrays([piece.column("tag"), pa.array([len(x) for x in found], pa.int32()),
+                                              pa.array(counts, pa.binary())], ["tag", "n", "counts"])
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BUCKETS) for c in ("counts_a", "counts_b"))
+            differ = np.abs((a - b).view(np.int8).astype(np.int16)).sum(axis=1)
+            room = (np.asarray(batch.column("n_a")) + np.asarray(batch.column("n_b"))) * (1 - least) / (1 + least)
+            kept = batch.filter(pa.array(differ <= room + SLACK))
+            yield pa.RecordBatch.from_arrays([kept.column("tag"), kept.column("other")], ["tag", "other"])
+
+    counted = cut(sets.mapInArrow(count, "tag long, n int, counts binary"))
+    both = pairs.join(counted.select("tag", F.col("n").alias("n_a"), F.col("counts").alias("counts_a")), "tag")
+    both = both.join(counted.select(F.col("tag").alias("other"), F.col("n").alias("n_b"), F.col("counts").alias("counts_b")), "other")
+    return both.select("tag", "other", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(run, "tag long, other long")
+
+
+def verified(pairs: DataFrame, every: DataFrame, least: float) -> DataFrame:
+    """``one, two``: fingerprints of those pairs of tags (``tag, other``) whose whole sets are similar."""
+    met = cut(pairs.select("tag").union(pairs.select("other")).distinct())
+    sets = cut(lookup(every.select("tag", "fingerprint", "hashes"), met, "tag", "left_semi"))
+    pairs = cut(may_be_similar(pairs, sets, least))
+    one = pairs.join(sets, "tag").select(F.col("other").alias("tag"), F.col("fingerprint").alias("one"), F.col("hashes").alias("first"))
+    both = one.join(sets.withColumnRenamed("fingerprint", "two"), "tag").filter("one != two")
 
     def run(batches):
         for batch in batches:
             good = []
-            for a, b in zip(batch.column("hashes").to_pylist(), batch.column("other").to_pylist()):
-                x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-                if min(len(x), len(y)) < least * max(len(x), len(y)):
-                    good.append(False)
-                    continue
+            for a, b in zip(batch.column("first").to_pylist(), batch.column("hashes").to_pylist()):
+                x, y = unpacked(a), unpacked(b)
                 shared = np.intersect1d(x, y, assume_unique=True).size
-                good.append(shared >= least * (len(x) + len(y) - shared) and shared > 0)
+                good.append(0 < shared >= least * (len(x) + len(y) - shared) - SLACK)
             kept = batch.filter(pa.array(good, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column("one"), kept.column("two")], ["one", "two"])
 
-    return both.select("one", "two", "hashes", "other").mapInArrow(run, "one long, two long")
+    return both.select("one", "two", "first", "hashes").mapInArrow(run, "one long, two long")
+
+
+def similar_links(every: DataFrame, least: float, known: DataFrame) -> DataFrame:
+    """``one, two``: ``known`` links, and such that connect all rows whose sets have a Jaccard similarity of ``least`` or more.
+
+    ``every`` has ``tag, fingerprint, hashes``. Similar rows share one of their rarest shingles (see :func:`prefix`). Each row
+    is first compared with one row drawn under each of its own, a few times, on their whole sets; that joins nearly all of a large group
+    without making its pairs. Then rows under one shingle that are still in different components are compared, all with
+    all, where the sizes and the shingles that come later leave room for the similarity. Rows that share none of their rarest shingles
+    are not compared and not shuffled again.
+    """
+    side = lambda df, name: df.select("shingle", *[F.col(c).alias(f"{c}_{name}") for c in df.columns if c != "shingle"])
+    room = F.least("rest_a", "rest_b") * (1 + least) >= (F.col("n_a") + F.col("n_b")) * least - SLACK
+    like = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * least - SLACK
+    tags = [F.least("tag_a", "tag_b").alias("tag"), F.greatest("tag_a", "tag_b").alias("other")]
+    posted = postings(every, rarity(every), least)
+    shared = posted.groupBy("shingle").agg(F.min("fingerprint").alias("low"), F.max("fingerprint").alias("high"))
+    posted = cut(lookup(posted, cut(shared.filter("low != high").select("shingle")), "shingle"))
+    rooted = posted.withColumn("root", F.col("fingerprint"))
+    for turn in range(DRAWS):
+        drawn = F.struct(F.xxhash64(F.lit(turn), "shingle", "tag"), *[F.col(c).alias(f"{c}_b") for c in ("tag", "root", "n", "rest")])
+        drawn = cut(rooted.groupBy("shingle").agg(F.min(drawn).alias("drawn")).select(
+            "shingle", "drawn.tag_b", "drawn.root_b", "drawn.n_b", "drawn.rest_b"))
+        tried = lookup(side(rooted, "a"), drawn, "shingle").filter("root_a != root_b").filter(like)
+        known = cut(known.union(verified(cut(tried.select(tags).distinct()), every, least)))
+        roots = components(known).withColumnRenamed("node", "fingerprint")
+        rooted = cut(lookup(rooted.drop("root"), roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint")))
+        mixed = cut(rooted.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("shingle"))
+        rooted = cut(lookup(rooted, mixed, "shingle"))
+    groups = cut(rooted.groupBy("shingle", "root").agg(F.min("n").alias("low"), F.max("n").alias("high")))
+    met = cut(side(groups, "a").join(side(groups, "b"), "shingle").filter(
+        (F.col("root_a") < F.col("root_b")) & (F.col("high_a") >= F.col("low_b") * least - SLACK)
+        & (F.col("high_b") >= F.col("low_a") * least - SLACK)).select("shingle", "root_a", "root_b"))
+    half = cut(met.join(side(rooted, "a"), ["shingle", "root_a"]).drop("root_a"))
+    pairs = cut(half.join(side(rooted, "b"), ["shingle", "root_b"]).filter(room).select(tags).distinct())
+    return known.union(verified(pairs, every, least))
 
 
 def segments(limit: int) -> list[tuple[int, int]]:
@@ -205,7 +301,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     distinct = cut(every.groupBy("fingerprint").agg(first.alias("first")))
     found = links(distinct.select("fingerprint"), limit)
     if similar is not None:
-        found = found.union(similar_links(every, similar))
+        found = similar_links(every, similar, found)
     roots = components(found)
     rooted = cut(distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
         "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")))

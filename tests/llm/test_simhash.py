@@ -81,6 +81,39 @@ def test_similar_texts_are_linked_and_others_not(spark):
     assert all(wanted[r.doc_id] == wanted[r.component_id] for r in rows.values())  # no link that is not one
 
 
+def test_isolated_similar_pairs_are_all_found(spark):
+    draw = random.Random(21)
+    words = ["".join(draw.choices("abcdefghij", k=8)) for _ in range(50_000)]
+    docs, wanted = [], {}
+    for size in range(9, 61):
+        for turn in range(6):
+            text = draw.choices(words, k=size)
+            more = draw.choices(words, k=max(1, (size - 4) // 4))
+            copy = text + more if turn % 2 else more + text
+            while turn > 3 and len(copy) > size and similarity(" ".join(text), " ".join(copy)) < 0.95:
+                copy = copy[1:]
+            for t in (text, copy):
+                docs.append((len(docs), " ".join(t)))
+            if similarity(*(t for _, t in docs[-2:])) >= 0.8:
+                wanted[len(docs) - 1] = len(docs) - 2
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    rows = {r.doc_id: r.component_id for r in simhash.near_groups(frame, similar=0.8).collect()}
+    assert len(wanted) > 200 and {two: rows[two] for two in wanted} == wanted
+
+
+def test_similar_pairs_behind_a_common_shingle(spark):
+    """Rows of which each is similar to one other only, while all share a shingle that is among their rarest."""
+    draw = random.Random(22)
+    words = ["".join(draw.choices("abcdefghij", k=8)) for _ in range(50_000)]
+    docs, common = [], draw.choices(words, k=5)
+    for _ in range(60):
+        text = common + draw.choices(words, k=4)
+        docs += [(len(docs), " ".join(text)), (len(docs) + 1, " ".join(text + draw.choices(words, k=1)))]
+    rows = {r.doc_id: r.component_id for r in simhash.near_groups(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3), similar=0.8).collect()}
+    assert rows == {key: key - key % 2 for key, _ in docs}
+
+
 def test_similar_on_a_messy_table(spark):
     rows = simhash.near_groups(messy(spark), similar=0.8).collect()
     assert len(rows) == len(messy_rows())
