@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import bpe, cotrain, deobfuscate, edit_counts, guess_cost, phrase_index, quotient, simhash, snapshots, suffix_tree
+from skein.llm import (bpe, cotrain, deobfuscate, edit_counts, guess_cost, phrase_index, prefix_trie, quotient, simhash, snapshots,
+                       suffix_tree)
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -15,6 +16,12 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 # A to Z in lower case; null as empty.
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# CRC-32 of a text of ASCII characters, bit by bit.
+CRC32 = """xor(4294967295, list_reduce(
+  list_prepend(4294967295::bigint, list_transform(range(1, length({s}) + 1), lambda i: ascii(({s})[i])::bigint)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(0, 8)),
+                           lambda x, i: xor(x >> 1, case when x % 2 = 1 then 3988292384 else 0 end))))"""
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
 
@@ -126,3 +133,38 @@ from n window w as (partition by body)
 """)
 def op10_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotient.exact_groups(read(spark, sf_dir, "documents"))
+
+
+@query("""
+with t as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as k
+  from conversations where conv_id is not null),
+c as (select conv_id, conv_id - conv_id % 20 as donor, {crc} % 4 as h from t group by conv_id),
+built as (
+  select c.conv_id, t.k, t.role, t.text from c join t on t.conv_id = c.donor and t.k <= c.h
+  union all select t.conv_id, t.k, t.role, t.text from c join t on t.conv_id = c.conv_id and t.k > c.h),
+d as (select conv_id, row_number() over (partition by conv_id order by k) as depth, role, text from built),
+p as (
+  select conv_id, depth, list([role, text]) over (partition by conv_id order by depth) as prefix,
+    len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) as words from d),
+n as (select depth, prefix, min(conv_id) as node, count(*) as n_convs, min(words) as words from p group by depth, prefix),
+m as (
+  select p.conv_id, p.depth, n.node from p join n on p.depth = n.depth and p.prefix = n.prefix
+  union all select conv_id, 0, (select min(conv_id) from c) from c),
+nodes as (
+  select n.node as conv_id, n.depth, m.node as parent_conv_id, n.n_convs, n.words from n join m on m.conv_id = n.node and m.depth = n.depth - 1
+  union all select min(conv_id), 0, null, count(*), 0 from c having count(*) > 0),
+kids as (select parent_conv_id as conv_id, depth - 1 as depth, count(*) as n_children from nodes where depth > 0 group by all),
+whole as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join kids using (conv_id, depth)),
+sums as (
+  select m.node as conv_id, m.depth, count(*) filter (w.n_children = 0) as n_leaves, sum((w.n_convs - 1) * w.words)::bigint as saved_tokens
+  from whole w join m on m.conv_id = w.conv_id and m.depth <= w.depth group by m.node, m.depth),
+ends as (
+  select node as conv_id, depth, string_agg(member::varchar, ',' order by member) as list
+  from (select conv_id as member, arg_max(node, depth) as node, max(depth) as depth from m group by conv_id) group by node, depth)
+select w.conv_id, w.depth, w.parent_conv_id, w.n_convs, w.n_children, s.n_leaves, s.saved_tokens, sha256(coalesce(e.list, '')) as ends_sha256
+from whole w join sums s using (conv_id, depth) left join ends e using (conv_id, depth)
+""".replace("{crc}", CRC32.replace("{s}", "conv_id::varchar")))
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read(spark, sf_dir, "conversations"))
