@@ -26,16 +26,19 @@ def arg_extreme(df: DataFrame, measure: str | Column, how: str, tie_order: str)
     return df.orderBy(direction, tie_order).limit(1)
 
 
-def with_row_index(df: DataFrame, order: list[str | Column], name: str = "row_index") -> DataFrame:
+def with_row_index(df: DataFrame, order: list[str | Column], name: str = "row_index",
+                   keep: list[str] | None = None) -> DataFrame:
     """Number all rows from 0 in the given total order, without a single-task window.
 
+    ``keep`` names the columns still wanted once the order is settled; all by default.
+
     One range shuffle places and sorts the rows, the placed table is written, and each partition then
     adds the row count of the partitions before it. The offsets hold one row per partition, so
     broadcasting them is bounded by the shuffle width.
     """
     placed = cut(
         df.orderBy(*order).select(
-            "*",
+            *(keep or ["*"]),
             F.spark_partition_id().alias("_part"),
             F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_row"),
         )
