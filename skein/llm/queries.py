@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from skein.llm import (bpe, cotrain, deobfuscate, edit_counts, guess_cost, phrase_index, prefix_trie, quotient, simhash, snapshots,
-                       suffix_tree)
+                       suffix_tree, turn_repair)
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -168,3 +168,55 @@ from whole w join sums s using (conv_id, depth) left join ends e using (conv_id,
 """.replace("{crc}", CRC32.replace("{s}", "conv_id::varchar")))
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(read(spark, sf_dir, "conversations"))
+
+
+# The cheapest edits so far, by the state they end in, as (c: cost, a: letters, r: lines that stay); far is out of reach.
+_FAR = "{'c': 1000000000, 'a': '', 'r': []::varchar[]}"
+_DELETE = lambda v: f"{{'c': {v}.c + 4, 'a': {v}.a || 'D', 'r': {v}.r}}"
+_INSERT = lambda v, role: f"{{'c': {v}.c + 3, 'a': {v}.a || 'I', 'r': list_append({v}.r, '{role}:')}}"
+_KEEP = lambda v, x: (f"case when not x.gone and x.initial = '{x}' then {{'c': {v}.c + x.add, 'a': {v}.a || 'K', "
+                      f"'r': list_append({v}.r, x.role || ':' || x.text)}} else {_FAR} end")
+_REROLE = lambda v, role: (f"case when not x.gone then {{'c': {v}.c + x.add + 3, 'a': {v}.a || 'R', "
+                           f"'r': list_append({v}.r, '{role}:' || x.text)}} else {_FAR} end")
+_BEST = lambda *options: f"list_sort([{', '.join(options)}])[1]"
+_REPAIRS = f"""
+dp as (
+  select conv, 0::bigint as k, {{'c': 0, 'a': '', 'r': []::varchar[]}} as n, {_FAR} as s, {{'c': 3, 'a': 'I', 'r': ['user:']}} as u,
+    {{'c': 6, 'a': 'II', 'r': ['user:', 'assistant:']}} as a from ids
+  union all
+  select conv, k, n, s, {_BEST('u', _INSERT('a0', 'user'))}, {_BEST('a0', _INSERT('u', 'assistant'))} from (
+    select conv, k, n, s, {_BEST('u0', _INSERT('n', 'user'), _INSERT('s', 'user'), _INSERT('a0', 'user'))} as u, a0 from (
+      select conv, x.k, {_DELETE('n')} as n, {_BEST(_DELETE('s'), _KEEP('n', 's'))} as s,
+        {_BEST(_DELETE('u'), *[f(v, x) for v in ('n', 's', 'a') for f, x in ((_KEEP, 'u'), (_REROLE, 'user'))])} as u0,
+        {_BEST(_DELETE('a'), _KEEP('u', 'a'), _REROLE('u', 'assistant'))} as a0
+      from dp join marked x using (conv) where x.k = dp.k + 1)))"""
+
+
+@query("""
+with recursive raw as (
+  select conv_id, coalesce(conv_id::varchar, ' ') as conv, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as name from conversations),
+drawn as (select *, {crc} % 20 as draw from raw),
+hurt as (
+  select conv, turn, case when draw = 4 then 'user' else role end as role,
+    case draw when 1 then '' when 2 then translate(text, '.!?', '') else text end as text, unnest(range(case when draw = 3 then 2 else 1 end)) as copy
+  from drawn where draw != 0),
+placed as (select *, row_number() over (partition by conv order by turn nulls first, role, text) as k from hurt),
+numbered as (select *, row_number() over (partition by conv, role, text order by k) as nth, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as body from placed),
+fault as (select *, case when body = '' then 'blank' when nth > 1 then 'duplicate' when body[-1] not in ('.', '!', '?') then 'truncated' else '' end as fault,
+    role[1] as initial, lag(role[1]) over (partition by conv order by k) as before from numbered),
+marked as (select *, fault in ('blank', 'duplicate') as gone, case when fault = 'truncated' then 3 else 0 end as add from fault),
+ids as (select distinct conv_id, conv from raw),
+{repairs},
+sums as (
+  select conv, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+    count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal, max(k) as n from marked group by conv),
+ends as (select conv, list_sort([dp.n, dp.a])[1] as best from dp left join sums using (conv) where dp.k = coalesce(sums.n, 0))
+select conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, best.c::bigint as cost, best.a as audit,
+  sha256(array_to_string(best.r, chr(10))) as repaired_sha256
+from ids join ends using (conv) left join sums using (conv)
+""".replace("{crc}", CRC32.replace("{s}", "name")).replace("{repairs}", _REPAIRS))
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.audit(read(spark, sf_dir, "conversations"))
