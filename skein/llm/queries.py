@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import (bpe, cotrain, deobfuscate, edit_counts, guess_cost, phrase_index, prefix_trie, quotient, simhash, snapshots,
+from skein.llm import (arc, bpe, cotrain, deobfuscate, edit_counts, guess_cost, phrase_index, prefix_trie, quotient, simhash, snapshots,
                        suffix_tree, turn_repair)
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -220,3 +220,19 @@ from ids join ends using (conv) left join sums using (conv)
 """.replace("{crc}", CRC32.replace("{s}", "name")).replace("{repairs}", _REPAIRS))
 def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.audit(read(spark, sf_dir, "conversations"))
+
+
+# Twenty bits in hex as four signs of base 32.
+_BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, {at}, 5))::bigint >> {shift}) & 31)::int + 1, 1)"
+                      for at in range(1, 41, 5) for shift in (15, 10, 5, 0))
+
+
+@query(f"""
+with p as (select page_id, coalesce(html, '') as body, encode(coalesce(html, '')) as data, sha1(coalesce(html, '')) as h from pages)
+select page_id, octet_length(data)::bigint as payload_bytes, {_BASE32} as payload_digest,
+  case when page_id = max(page_id) over w then 'response' else 'revisit' end as record_type,
+  case when page_id != max(page_id) over w then max(page_id) over w end as refers_to
+from p window w as (partition by body)
+""")
+def op13_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc.convert_pages(read(spark, sf_dir, "pages"))
