@@ -153,7 +153,8 @@ class Codec:
     Normalising and cutting a text into words is the tokenizer file's definition; chunks between white
     space never influence each other. A word is encoded once and remembered. All new words are cut greedily into the longest tokens, side by side along a trie. That cut is what
     merging gives exactly if no merge ever crosses a border between neighbours, which is tested for all
-    new pairs at once. Only words with a failing pair are merged.
+    new pairs at once. Only words with a failing pair are merged, and words of more than ``ARRAY_SYMBOLS`` characters, which
+    would hold up all others in the cut.
     """
 
     def __init__(self, tables: Tables):
@@ -263,6 +264,10 @@ class Codec:
         if len(self.words) > CACHE_ENTRIES:
             self.words.clear()
         new = [w for w in wanted if w not in self.words]
+        # The greedy cut walks all words side by side, as many steps as the longest has bytes: very long ones are merged alone.
+        for word in [w for w in new if len(w) > ARRAY_SYMBOLS]:
+            self.words[word] = self.merge_long(word.encode())
+        new = [w for w in new if len(w) <= ARRAY_SYMBOLS]
         if not new:
             return
         joined = ("\0".join(new) + "\0").encode()

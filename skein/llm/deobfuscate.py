@@ -103,7 +103,8 @@ def plain_spans(text: str) -> list[Span]:
                 found.append(("email", start, m.end()))
                 done = m.end()
     for m in IP.finditer(text):
-        if all(int(part) <= 255 for part in m[0].split(".")):
+        # A part of thousands of digits is no number to Python; leading zeros say nothing.
+        if all(len(digits) <= 3 and int(digits or "0") <= 255 for digits in (part.lstrip("0") for part in m[0].split("."))):
             found.append(("ip", *m.span()))
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 14:

@@ -17,7 +17,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 # Characters from which a leaf ends at the next border, and from which a leaf grown by edits is cut anew.
 LEAF, GROWN = 512, 4096
 # A border between pre-tokens whatever stands around it: no pre-token goes on from a sign or letter to white space.
-LEAF_END = re.compile(rf"(?s).{{{LEAF}}}.*?[!-~À-ÖØ-öø-ɏ](?=[ \n])")
+LEAF_END = re.compile(r"[!-~À-ÖØ-öø-ɏ](?=[ \n])")
 
 TREE = "struct<sizes:array<int>,sums:array<int>>"
 
@@ -34,7 +34,9 @@ class Counter:
 
     def leaves(self, text: str) -> list[str]:
         """A text cut into leaves of about ``LEAF`` characters; only one without borders can be longer."""
-        ends = [0, *(m.end() for m in LEAF_END.finditer(text))]
+        ends = [0]
+        while found := LEAF_END.search(text, ends[-1] + LEAF):
+            ends.append(found.end())
         out = [text[a:b] for a, b in zip(ends, ends[1:])]
         return [*out, text[ends[-1]:]] if ends[-1] < len(text) or not out else out
 

@@ -47,9 +47,11 @@ KEYBOARD = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 SHIFTED = str.maketrans("~!@#$%^&*()_+{}|:\"<>?", r"`1234567890-=[]\;',./")
 SLANT = (0.0, 1.5, 1.75, 2.25)
 
-DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])"
-                  r"|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)?\d\d"
-                  r"|(?:0[1-9]|1[0-2])([-/._]?)(?:0[1-9]|[12]\d|3[01])\3(?:19|20)?\d\d|(?:19|20)\d\d")
+# Every way to write a date, each tried at every place: a longer one must not hide a shorter one.
+_YEAR, _MONTH, _DAY = r"(?:19|20)\d\d", "(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12]\d|3[01])"
+DATES = [re.compile(form) for form in (
+    _YEAR, *(rf"{one}([-/._]?){two}\1{three}" for one, two, three in (
+        (_YEAR, _MONTH, _DAY), (_DAY, _MONTH, _YEAR), (_DAY, _MONTH, r"\d\d"), (_MONTH, _DAY, _YEAR), (_MONTH, _DAY, r"\d\d"))))]
 LOG2 = math.log10(2)
 
 
@@ -105,10 +107,9 @@ class GuessCost:
         keys = lower.translate(SHIFTED)
         dates: dict[int, list[tuple[int, float]]] = {}
         for start in range(n):
-            m = DATE.match(value, start)
-            if m:
-                year_only = m.end() - m.start() == 4
-                dates.setdefault(m.end(), []).append((start, math.log10(150) if year_only else math.log10(365 * 150)))
+            for form in DATES if value[start].isdigit() else ():
+                if m := form.match(value, start):
+                    dates.setdefault(m.end(), []).append((start, math.log10(150) if form is DATES[0] else math.log10(365 * 150)))
         repeats: dict[int, list[tuple[int, int]]] = {}  # by end: length of the unit, start of the run
         for size in range(1, min(UNIT_LENGTH, n // 2) + 1):
             for m in re.finditer(b"\x01{%d,}" % size, bytes(map(eq, value, value[size:]))):
@@ -174,8 +175,8 @@ def latin(value: str) -> str:
 class Finder:
     """Plain spans and costly values in credential context."""
 
-    def __init__(self, ranks: dict[str, int]):
-        self.guess = GuessCost(ranks)
+    def __init__(self, ranks: dict[str, int], plain_costs: bool = True):
+        self.guess, self.plain_costs = GuessCost(ranks), plain_costs
 
     def costly(self, value: str, cost: float) -> bool:
         if mixed(value):
@@ -187,8 +188,10 @@ class Finder:
     def spans(self, text: str) -> list[tuple[str, int, int, bool, float]]:
         out, covered = [], []
         for kind, start, end in plain_spans(text):
-            value = ASSIGN.match(text, start)[2] if kind == "assign" else text[start:end]
-            out.append((kind, start, end, False, self.guess.cost(value)))
+            cost = None
+            if self.plain_costs:
+                cost = self.guess.cost(ASSIGN.match(text, start)[2] if kind == "assign" else text[start:end])
+            out.append((kind, start, end, False, cost))
             covered.append((start, end))
         if not CLUE.search(text):
             return out
@@ -217,11 +220,12 @@ SPANS_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()),
                                   ("added", pa.bool_()), ("guesses_log10", pa.float64())]))
 
 
-def find(docs: DataFrame, words: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def find(docs: DataFrame, words: str, key: str = "doc_id", text: str = "text", plain_costs: bool = True) -> DataFrame:
     """``doc_id, spans`` for every row: secrets in the whole text, by start and then by kind as in ``KINDS``.
 
     Spans count characters of the text, the end exclusive; an added span is the bare value, of kind ``assign``.
-    ``guesses_log10`` is the cost of the value (for ``assign`` without its name). ``words`` is the file of a public
+    ``guesses_log10`` is the cost of the value (for ``assign`` without its name); plain spans, which are found
+    whatever they cost, have none without ``plain_costs``. ``words`` is the file of a public
     vocabulary whose words count as guessable. Null and empty texts have none; repeated rows come out repeated; other
     columns are not looked at. No shuffle.
     """
@@ -229,7 +233,7 @@ def find(docs: DataFrame, words: str, key: str = "doc_id", text: str = "text") -
     order = {kind: at for at, kind in enumerate(KINDS)}
 
     def run(batches):
-        finder = Finder(ranks)
+        finder = Finder(ranks, plain_costs)
         for part in slices(batches):
             out = []
             for content in part.column("text").to_pylist():

@@ -111,7 +111,7 @@ def op6_collapsed_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = guess_cost.find(read(spark, sf_dir, "documents"), WORD_BPE)
+    found = guess_cost.find(read(spark, sf_dir, "documents"), WORD_BPE, plain_costs=False)
     return deobfuscate.digest(found, guess_cost.KINDS)
 
 

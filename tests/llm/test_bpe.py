@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -62,3 +63,10 @@ def test_encode_then_decode(spark, library):
     texts = {(r.doc_id, r.text) for r in bpe.decode(encoded, PATH).collect()}
     assert texts == {(k, library.decode(library.encode(t or "", add_special_tokens=False).ids, skip_special_tokens=False))
                      for k, t, *_ in messy_rows()}
+
+
+def test_a_very_long_word_is_merged_alone(codec, library):
+    start = time.time()
+    for text in ("x" * 200_000, "語" * 60_000, "ab" * 40 + " " + "y" * 65):
+        assert next(codec.encode_batch([text])) == library.encode(text, add_special_tokens=False).ids
+    assert time.time() - start < 20

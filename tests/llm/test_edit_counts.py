@@ -1,4 +1,5 @@
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -76,3 +77,10 @@ def test_house_edits_on_messy_rows(spark, counter):
     docs = messy(spark).withColumn("edits", edit_counts.house_edits())
     rows = edit_counts.apply_edits(edit_counts.build(docs, PATH, keep=("edits",)), PATH).collect()
     assert all(row.n_after == counter.count(row.text) for row in rows)
+
+
+def test_a_text_without_borders_is_cut_in_linear_time(counter):
+    start = time.time()
+    assert counter.leaves("x" * 200_000) == ["x" * 200_000]
+    assert "".join(counter.leaves("日本語" * 70_000)) == "日本語" * 70_000
+    assert time.time() - start < 5

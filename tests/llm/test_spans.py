@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import public_tokenizers
 import pytest
@@ -163,3 +164,50 @@ def test_messy_table(spark, module, brute):
         assert [row[f"n_{k}"] for k in module.KINDS] == [sum(x[0] == k for x in plain) for k in module.KINDS]
         assert row.base_sha256 == hashlib.sha256(",".join("%s:%d:%d" % x for x in plain).encode()).hexdigest()
     assert module.find(messy(spark, 0), *extra).collect() == []
+
+
+def exhaustive(guess, value):
+    """Least sum over all ways to cut a value into segments, each priced on its own."""
+    date = (r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])", r"(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\1(?:19|20)?\d\d",
+            r"(?:0[1-9]|1[0-2])([-/._]?)(?:0[1-9]|[12]\d|3[01])\1(?:19|20)?\d\d")
+
+    def price(part):
+        options = [sum(map(guess.per_character, part))]
+        lower, plain, n = part.lower(), part.lower().translate(guess_cost.LEET), len(part)
+        if 3 <= n <= guess_cost.WORD_LENGTH:
+            capitals = math.log10(2) * (part != lower)
+            form, more = (lower, 0) if guess.ranks.get(lower) else (plain, math.log10(2))
+            if guess.ranks.get(form):
+                options.append(math.log10(guess.ranks[form]) + more + capitals)
+        if re.fullmatch(r"(?:19|20)\d\d", part):
+            options.append(math.log10(150))
+        if any(re.fullmatch(form, part) for form in date):
+            options.append(math.log10(365 * 150))
+        for size in range(1, min(guess_cost.UNIT_LENGTH, n // 2) + 1):
+            if n % size == 0 and part == part[:size] * (n // size):
+                options.append(guess.unit_cost(part[:size]) + math.log10(n // size))
+        keys = lower.translate(guess_cost.SHIFTED)
+        if n >= 3 and all(b in guess.near.get(a, ()) for a, b in zip(keys, keys[1:])):
+            options.append((n - 1) * math.log10(2) + math.log10(47))
+        return min(options) + math.log10(2)
+
+    best = [0.0]
+    for end in range(1, len(value) + 1):
+        best.append(min(best[start] + price(value[start:end]) for start in range(end)))
+    return best[-1]
+
+
+def test_the_cost_is_the_least_of_all_cuts(secrets):
+    draw, pieces = random.Random(11), ["2019", "123123", "20190102", "0102", "31-12-99", "abc", "password", "Summer", "qwerty", "p4ss", "zz", "7", "#", "lol"]
+    values = ["2019123123", "1201201999", "20201231122020"] + ["".join(draw.choice(pieces) for _ in range(draw.randint(1, 4))) for _ in range(400)]
+    for value in values:
+        assert secrets.guess.cost(value) == pytest.approx(exhaustive(secrets.guess, value), abs=1e-9), value
+
+
+def test_odd_texts_neither_fail_nor_stall(secrets):
+    start = time.time()
+    assert deobfuscate.plain_spans("1.2.3." + "9" * 5000) == []
+    assert deobfuscate.plain_spans("see 1.2.3." + "0" * 5000 + "7 now")[0][0] == "ip"
+    plain = guess_cost.Finder(secrets.guess.ranks, plain_costs=False)
+    assert [s[:3] for s in plain.spans("token = " + "-" * 200_000)] == [("assign", 0, 200_008)]
+    assert time.time() - start < 5
