@@ -9,9 +9,9 @@ from skein.operators import words as w
 from skein.operators.aggregates import counts_by, value_counts
 from skein.plans.registry import query
 from skein.plans.sql import CLEAN
-from skein.plans.tables import articles, ratings, table
+from skein.plans.tables import DEFAULT_NOW, SITE_PREFIX, articles, ratings, raw_articles, table
 from skein.session import new_folder
-from skein.sources import files
+from skein.sources import files, store
 from skein.streaming import sinks
 
 ARTICLE_JSON = ("pos bigint, url string, title string, text string, photo_count int, comment_count int, "
@@ -94,13 +94,42 @@ def text_sink_nulls(spark, sf_dir):
     return files.read_lines(spark, folder).select("value", F.endswith(F.input_file_name(), F.lit(".log")).alias("suffixed"))
 
 
+def rolled_lines(spark, folder: str, name: str, max_rows: int, max_bytes: int):
+    """Lines of rolled files, with whether their file's name fits and whether it keeps both bounds."""
+    lines = files.read_lines(spark, folder).withColumn("file", F.input_file_name())
+    sizes = lines.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("value") + 1).alias("bytes"))
+    return lines.join(sizes, "file").select(
+        "value", F.element_at(F.split("file", "/"), -1).rlike(f"^{name}$").alias("named"),
+        ((F.col("rows") <= max_rows) & (F.col("bytes") <= max_bytes)).alias("bounded"))
+
+
+@query("rolled_text", "select '(' || c_custkey || ',' || c_name || ')' as value, true as named, true as bounded from customer")
+def rolled_text(spark, sf_dir):
+    folder = new_folder(spark, "rolled")
+    sinks.write_rolled(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), folder, "customer", ".txt",
+                       max_rows=500, max_bytes=8_000)
+    return rolled_lines(spark, folder, r"customer-0-\d+-\d+\.txt", 500, 8_000)
+
+
+@query("rewrite_store", f"with {CLEAN} select pos, url, title, text, photo_count, comment_count, time, category from articles")
+def rewrite_store(spark, sf_dir):
+    """The store of articles as collected is read, cleaned and rewritten where it lies."""
+    folder = new_folder(spark, "store")
+    raw = raw_articles(spark, sf_dir)
+    store.rewrite_store(raw, folder)
+    stored = store.read_store(spark, folder, raw.schema)
+    clean = art.normalise_time(art.with_category(stored, SITE_PREFIX), DEFAULT_NOW)
+    store.rewrite_store(clean, folder)
+    return store.read_store(spark, folder, clean.schema)
+
+
 @query("read_json_array", f"with {CLEAN} select pos, title, n_chars from articles join documents on pos = doc_id")
 def read_json_array(spark, sf_dir):
-    """Sixteen files, each one JSON array of objects."""
+    """Files of one JSON array of objects each, with at most 10,000 articles; their number grows with the table."""
     folder = new_folder(spark, "json")
     rows = articles(spark, sf_dir).join(
         table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), "n_chars"), "pos")
-    piece = F.col("pos") % 16
+    piece = F.floor(F.col("pos") / 10_000)
     rows.groupBy(piece.alias("piece")).agg(F.to_json(F.collect_list(F.struct("pos", "title", "n_chars"))).alias("value")).write.partitionBy(
         "piece").text(folder)
     return files.read_json_array(spark, folder, "pos bigint, title string, n_chars bigint").drop("piece")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from skein.functions.fixed import MATCH_WINDOW, WORD_WINDOW
@@ -10,7 +12,8 @@ from skein.plans.registry import query
 from skein.plans.sql import SPACE, clean_words
 from skein.plans.tables import table
 from skein.session import new_folder
-from skein.sources.files import read_delimited, union_all
+from skein.plans.file_queries import rolled_lines
+from skein.sources.files import read_delimited
 from skein.sources.streams import stream_lines, stream_table
 from skein.streaming import operators as op
 from skein.streaming import sinks
@@ -33,6 +36,20 @@ def run_append(spark, stream):
     return spark.read.schema(stream.schema).parquet(folder)
 
 
+def run_changes(spark, stream, keys, **source):
+    folder = new_folder(spark, "changes")
+    sinks.finish(sinks.write_changes(stream, folder, keys, availableNow=True, **source))
+    return sinks.read_changes(spark, folder, keys, stream.schema)
+
+
+def in_files(spark, sf_dir: str, name: str, number, n_files: int):
+    """The table as a stream of ``n_files`` files, in the order of their number, one to a batch."""
+    rows, folder = table(spark, sf_dir, name), new_folder(spark, "files")
+    for at in range(n_files):
+        rows.filter(number == at).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 def windows(table: str, size: int, slide: int) -> str:
     """One row per event and sliding window that holds it."""
     return f"""select *, time_bucket(interval '{slide} seconds', ts) - k * interval '{slide} seconds' as window_start,
@@ -72,10 +89,7 @@ def stream_tumbling(spark, sf_dir):
 
 @query("stream_word_count", f"select word, count(*) as n from ({clean_words('text', 'documents')}) group by 1")
 def stream_word_count(spark, sf_dir):
-    folder = new_folder(spark, "update")
-    words = op.running_word_count(stream_of(spark, sf_dir, "documents"), "text", ordered=False)
-    sinks.finish(sinks.write_batches(words, folder, "update", availableNow=True))
-    return sinks.latest_per_key(spark, folder, ["word"])
+    return run_changes(spark, op.running_word_count(stream_of(spark, sf_dir, "documents"), "text", ordered=False), ["word"])
 
 
 @query("stream_letter_count", f"""
@@ -84,10 +98,7 @@ select letter, count(*) as n from (
     select unnest(regexp_split_to_array(lower(text), '{SPACE}')) as word from documents))
 where regexp_matches(letter, '^\\p{{L}}$') group by 1""")
 def stream_letter_count(spark, sf_dir):
-    folder = new_folder(spark, "update")
-    letters = op.running_letter_count(stream_of(spark, sf_dir, "documents"), "text")
-    sinks.finish(sinks.write_batches(letters, folder, "update", availableNow=True))
-    return sinks.latest_per_key(spark, folder, ["letter"])
+    return run_changes(spark, op.running_letter_count(stream_of(spark, sf_dir, "documents"), "text"), ["letter"])
 
 
 @query("stream_json", """
@@ -180,36 +191,69 @@ def stream_final_match_counts(spark, sf_dir):
 
 
 @query("stream_four_outputs", f"""
-select 'titles' as output, event_type as title, count(*) as n from events group by 2
-union all select 'active', event_type, count(*) from events where cast(props ->> '$.k' as int) > 1 group by 2
-union all select 'advanced', event_type, count(*) from (
-  select event_type, cast(ts as date) as day, lag(cast(ts as date)) over (partition by user_id order by event_id) as before
-  from events) where before < day group by 2
-union all select 'windows', 'final', count(*) from (
-  select distinct window_start from ({windows('events', 60, 10)})
-  where window_end <= (select max(ts) - interval '10 minutes' from events))""")
+with parsed as (select *, cast(props ->> '$.k' as int) as comment_count from events)
+select 'titles' as output, event_type as title, null::int as comment_count, null::bigint as user_id, null::bigint as event_id,
+  null::date as event_date, null::date as previous_date, null::timestamp as window_start, null::timestamp as window_end,
+  null::bigint as total_articles, null::bigint as matching_articles from parsed
+union all select 'active', event_type, comment_count, null, null, null, null, null, null, null, null from parsed where comment_count > 1
+union all select 'advanced', event_type, null, user_id, event_id, day, before, null, null, null, null from (
+  select *, cast(ts as date) as day, lag(cast(ts as date)) over (partition by user_id order by event_id) as before
+  from events) where before < day
+union all select 'windows', null, null, null, null, null, null, window_start, window_end, count(event_type),
+  cast(sum(case when props like '%9%' then 1 else 0 end) as bigint) from ({windows('events', 60, 10)})
+  where window_end <= (select max(ts) - interval '10 minutes' from events) group by window_start, window_end""")
 def stream_four_outputs(spark, sf_dir):
-    """One source, four jobs: titles, active rows, rows on a later day, and window counts, each to ``;`` files."""
+    """The source is read once, into a log; four jobs follow it: titles, active rows, rows on a later day, window counts, each to ``;`` files."""
+    parsed = op.parse_json_stream(stream_of(spark, sf_dir, "events"), "k int", "props", ["event_type", "ts", "user_id", "event_id", "props"])
+    parsed = parsed.withColumnsRenamed({"event_type": "title", "k": "comment_count"})
+    folder = new_folder(spark, "outputs")
+    sinks.finish(sinks.tee(parsed, f"{folder}/log", availableNow=True))
+
     def rows():
-        parsed = op.parse_json_stream(stream_of(spark, sf_dir, "events"), "k int", "props", ["event_type", "ts", "user_id", "event_id"])
-        return parsed.withColumnsRenamed({"event_type": "title", "k": "comment_count"})
+        return sinks.follow(spark, f"{folder}/log", parsed.schema)
 
-    counted = rows().withColumn("text", F.lit(""))
     outputs = {
         "titles": rows().select("title"),
         "active": op.active_rows(rows()),
         "advanced": op.advanced_since_previous_stream(rows(), "user_id", "ts", "event_id", ["title"]),
-        "windows": op.windowed_match_counts(counted, *MATCH_WINDOW, time_col="ts", watermark="10 minutes"),
+        "windows": op.windowed_match_counts(rows(), *MATCH_WINDOW, pattern="%9%", time_col="ts", watermark="10 minutes", text="props"),
     }
-    folder = new_folder(spark, "outputs")
     running = [sinks.to_csv(frame, f"{folder}/{name}", availableNow=True) for name, frame in outputs.items()]
     for one in running:
         sinks.finish(one)
-    title = {"windows": F.lit("final")}
-    read = [read_delimited(spark, f"{folder}/{name}", frame.schema, ";").select(
-        F.lit(name).alias("output"), title.get(name, F.col("title") if name != "windows" else None).alias("title"))
-        for name, frame in outputs.items()]
-    return agg.counts_by(union_all(read), ["output", "title"])
+    read = [read_delimited(spark, f"{folder}/{name}", frame.schema, ";").withColumn("output", F.lit(name)) for name, frame in outputs.items()]
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), read)
+
+
+@query("stream_late_rows", """
+with numbered as (select *, event_id * 31 % 5 as file from events),
+marks as (select file + 1 as file, max(max(ts)) over (order by file) - interval '2 days' as mark from numbered group by file)
+select event_id, ts, coalesce(ts < mark, false) as late,
+  sum(case when coalesce(ts < mark, false) then 1 else 0 end) over ()::bigint as counted_late, count(*) over () as counted
+from numbered left join marks using (file)""")
+def stream_late_rows(spark, sf_dir):
+    """Every row, told whether it came behind the watermark, with the totals that were counted on the way."""
+    events = in_files(spark, sf_dir, "events", F.col("event_id") * 31 % 5, 5)
+    folder = new_folder(spark, "late")
+    sinks.finish(sinks.split_late(events, folder, "ts", "2 days", availableNow=True))
+    counts = spark.read.parquet(f"{folder}/counts").agg(F.sum("n_late").alias("counted_late"), F.sum("n").alias("counted"))
+    rows = spark.read.parquet(f"{folder}/rows").select("event_id", "ts", (F.col("part") == "late").alias("late"))
+    return rows.select("*", counts.select("counted_late").scalar().alias("counted_late"), counts.select("counted").scalar().alias("counted"))
+
+
+@query("stream_word_count_in_batches", f"select word, count(*) as n from ({clean_words('text', 'documents')}) group by 1")
+def stream_word_count_in_batches(spark, sf_dir):
+    """The running count over eleven batches, merged every four: one snapshot and three batches of changes are read."""
+    docs = in_files(spark, sf_dir, "documents", F.col("doc_id") % 11, 11)
+    return run_changes(spark, op.running_word_count(docs, "text", ordered=False), ["word"], every=4)
+
+
+@query("stream_rolled_text", "select '(' || event_id || ',' || event_type || ')' as value, true as named, true as bounded from events")
+def stream_rolled_text(spark, sf_dir):
+    folder = new_folder(spark, "rolled")
+    events = stream_of(spark, sf_dir, "events").select("event_id", "event_type")
+    sinks.finish(sinks.to_rolled(events, folder, "events", ".log", bounds={"max_rows": 1000, "max_bytes": 12_000}, availableNow=True))
+    return rolled_lines(spark, folder, r"events-0-\d+-\d+\.log", 1000, 12_000)
 
 
 @query("stream_text_folder", "select line as value, count(*) as n from ("
