@@ -2,7 +2,9 @@ import random
 
 import pytest
 
-from skein.operators.dedupe import dedupe_greedy, duplicate_count
+from skein.operators import dedupe
+from skein.operators.dedupe import dedupe_greedy, duplicate_count, kept_positions
+from skein.session import write_cut
 
 
 def sequential(rows):
@@ -35,3 +37,21 @@ def test_long_chain_and_empty(spark):
     frame = spark.createDataFrame(chain, "pos int, url string, title string")
     assert sorted(r.pos for r in dedupe_greedy(frame, ["url", "title"], "pos").collect()) == sequential(chain)
     assert dedupe_greedy(frame.filter("pos < 0"), ["url", "title"], "pos").count() == 0
+
+
+@pytest.mark.parametrize("seed,hot", [(4, 0.0), (5, 0.3), (6, 0.8)])
+def test_chains_are_settled_from_the_first_round(spark, seed, hot):
+    rows = random_rows(seed, 80, hot)
+    frame = spark.createDataFrame(rows, "pos int, url string, title string")
+    kept = kept_positions(frame, ["url", "title"], "pos", plain_rounds=0)
+    assert sorted(r.pos for r in kept.collect()) == sequential(rows)
+
+
+def test_a_chain_of_a_hundred_thousand_rows_takes_logarithmic_rounds(spark, monkeypatch):
+    n, written = 100_000, []
+    monkeypatch.setattr(dedupe, "write_cut", lambda df: written.append(df) or write_cut(df))
+    # Row i shares its url with one neighbour and its title with the other.
+    frame = spark.range(n).selectExpr("id * 3 as pos", "concat('u', id div 2) as url", "concat('t', (id + 1) div 2) as title")
+    kept = kept_positions(frame, ["url", "title"], "pos")
+    assert kept.count() == n // 2 and kept.filter("pos % 6 != 0").count() == 0
+    assert len(written) <= 6
