@@ -1,9 +1,10 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from skein.functions.skew import hot_keys, is_small, lookup
+from skein.functions.skew import hot_keys, is_shuffled, is_small, lookup
 from skein.operators.order import (advanced_since_previous, arg_extreme, day_of, first_ranks, previous_value,
                                    with_row_index)
 
@@ -122,3 +123,29 @@ def test_first_of_tied_rows(spark):
     rows = spark.createDataFrame([(3, 9), (1, 9), (2, 5), (4, None)], "pos int, n int")
     assert arg_extreme(rows, "n", "max", "pos").first().pos == 1
     assert arg_extreme(rows, "n", "min", "pos").first().pos == 2
+
+
+def test_a_probe_ends_early_on_a_large_side(spark):
+    start = time.time()
+    assert not is_small(spark.range(10**11))
+    wide = spark.range(10**10).selectExpr("repeat('x', 100000) as x")
+    assert not is_small(wide, max_rows=10**9)
+    assert time.time() - start < 20
+    assert is_small(spark.range(0)) and is_small(spark.range(9), max_rows=9) and not is_small(spark.range(10), max_rows=9)
+
+
+def test_large_files_are_not_opened(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(200_000).selectExpr("id", "xxhash64(id) as h").write.parquet(path)
+    rows = spark.read.parquet(path)
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    assert not is_small(rows.select("id"), max_bytes=1000)
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    assert is_small(rows.filter("id < 5"), max_bytes=1000)
+
+
+def test_shuffling_steps_are_told_by_the_plan(spark):
+    rows = spark.range(5).selectExpr("id", "'Join (Aggregate [Window [' as text")
+    assert not is_shuffled(rows) and not is_shuffled(rows.filter("text = 'Join '"))
+    assert is_shuffled(rows.groupBy("text").count()) and is_shuffled(rows.distinct()) and is_shuffled(rows.join(rows.select("id"), "id"))
