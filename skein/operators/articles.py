@@ -86,10 +86,14 @@ def article_record(url: str, parts: dict[str, list], time_attribute: str) -> dic
     }
 
 
-def first_number(texts: list[str]) -> int:
-    """First run of digits, 0 when there is none."""
+def first_number(texts: list[str]) -> int | None:
+    """First run of digits, 0 when there is none, null when it is beyond the range of an int."""
     digits = re.search(r"\d+", " ".join(texts))
-    return int(digits.group()) if digits else 0
+    if not digits:
+        return 0
+    # Thousands of digits are no number to Python, so length is looked at first.
+    shorter = re.sub(r"^0+(?=\d)", "", digits.group())
+    return int(shorter) if len(shorter) <= 10 and int(shorter) < 1 << 31 else None
 
 
 def extract_links(pages: DataFrame, selectors: tuple[str, ...] = LINK_SELECTORS[:1],
