@@ -114,8 +114,9 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", rows:
 
     Fingerprints are counted in quotient filters per partition. Only rows whose fingerprint may occur
     twice move at all: their whole texts are grouped, with the copies of a task combined before the shuffle,
-    so a text owning a third of all rows is one row per task. The text of each class is then joined back
-    to its rows; both sides come straight from tables, so Spark splits a class that is too large for a task.
+    so a text owning a third of all rows is one row per task. Size and kept row of a class are then counted and joined back
+    by digest, without the texts; only rows whose digest turned out to stand for several texts go by the text itself.
+    Both sides come straight from tables, so Spark splits a class that is too large for a task.
     """
     bits = repeated_bits(merged(filters(texts(docs, key, text))))
     named = whole_rows(docs, key) if rows else texts(docs, key, text)
@@ -139,13 +140,25 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", rows:
         schema += f", row {key_type(named, 'row')}"
     marked = cut(named.mapInArrow(run, schema).withColumn("tag", F.monotonically_increasing_id()))
     payload = ["row"] if rows else []
+    slim = ["doc_id", "text_sha256", "tag", *payload]
     single = marked.filter("routed is null").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256", *payload)
     many = marked.filter("routed is not null")
-    classes = cut(many.groupBy("text_sha256", "routed").agg(
-        F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "tag")).alias("keep")))
-    verified = many.join(classes, ["text_sha256", "routed"]).select(
-        "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
-        (F.col("tag") == F.col("keep.tag")).alias("kept"), "text_sha256", *payload)
+    # Bytes decide: a digest that stands for several texts is looked up by its texts, all others by the digest alone.
+    several = cut(many.groupBy("text_sha256", "routed").agg(F.count(F.lit(1)).alias("n")).groupBy("text_sha256").agg(
+        F.count(F.lit(1)).alias("n")).filter("n > 1").select("text_sha256"))
+    collided = not several.isEmpty()
+    plain = many.join(several, "text_sha256", "left_anti") if collided else many
+    verified = _classed(plain, ["text_sha256"], slim)
+    if collided:
+        verified = verified.unionByName(_classed(many.join(several, "text_sha256", "left_semi"), ["text_sha256", "routed"], slim))
     return single.unionByName(verified)
+
+
+def _classed(rows: DataFrame, same: list[str], slim: list[str]) -> DataFrame:
+    """Size and kept row of the class of every row; texts are read only where ``same`` names them."""
+    classes = cut(rows.groupBy(*same).agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "tag")).alias("keep")))
+    return rows.select(*dict.fromkeys([*slim, *same])).join(classes, same).select(
+        "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
+        (F.col("tag") == F.col("keep.tag")).alias("kept"), "text_sha256", *[c for c in slim if c == "row"])
