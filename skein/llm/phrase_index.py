@@ -17,7 +17,9 @@ from skein.session import cut
 
 WINDOW = 13
 # Bytes of text in one segment of the index; a longer document is a segment of its own.
-SEGMENT_BYTES = 6 << 20
+SEGMENT_BYTES = 2 << 20
+# Postings of a segment that are handed to Spark at once; a more frequent term comes alone.
+PIECE_POSTINGS = 1 << 16
 # Free positions between documents, so that no phrase runs from one into the next.
 GAP = 256
 # Words of queries searched for in one pass over the index; it bounds what is sent to the tasks.
@@ -72,10 +74,15 @@ def build(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         yield pa.RecordBatch.from_arrays(
             [pa.array([number], pa.int64()), pa.nulls(1, pa.string()), pa.nulls(1, pa.list_(pa.int32())),
              pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), held).cast(doc_type)], names)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(ids), number)), pa.array(list(ids), pa.binary()).cast(pa.string()),
-             pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(gaps, pa.int32())),
-             pa.nulls(len(ids), doc_type)], names)
+        spelled = list(ids)
+        pieces = np.append(0, np.flatnonzero(np.diff(bounds[1:] // PIECE_POSTINGS)) + 1)
+        for first, last in zip(pieces, np.append(pieces[1:], len(ids))):
+            n, part_bounds = last - first, bounds[first:last + 1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, number)), pa.array(spelled[first:last], pa.binary()).cast(pa.string()),
+                 pa.ListArray.from_arrays(pa.array(part_bounds - part_bounds[0], pa.int32()),
+                                          pa.array(gaps[part_bounds[0]:part_bounds[-1]], pa.int32())),
+                 pa.nulls(n, doc_type)], names)
 
     return cut(rows.mapInArrow(run, schema))
 
