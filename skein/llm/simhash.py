@@ -1,14 +1,15 @@
-"""SimHash near-duplicates: pigeonring filter over segments, then links without pairs."""
+"""SimHash near-duplicates: pigeonring chains over segments, then the whole distance."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.functions.skew import lookup
 from skein.llm.components import components
 from skein.llm.rows import as_bytes, key_type, slices, texts, whole_rows, with_text
 from skein.session import cut
@@ -19,15 +20,8 @@ SEED = 42
 BITS = 64
 # Shingles counted in one step.
 STEP = 1 << 14
-# Bits of a shingle that tell its place in the table of how common shingles are; the table orders, it leaves nothing out.
-RARITY_BITS = 18
-# Bytes kept of a shingle's hash in a set, and buckets in which sets are counted before they are compared whole.
-KEPT_BYTES = 5
-BUCKETS = 256
-# How often a row is compared with one drawn under each of its rarest shingles before all that are left are compared.
-DRAWS = 3
-# For comparisons of shares with counts.
-SLACK = 1e-9
+# Values under one key that are compared with each other; larger groups are split by further bits first.
+PAIRED = 64
 
 
 def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
@@ -55,11 +49,8 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                 rows: bool = False, sets: int = 0) -> DataFrame:
-    """``doc_id, fingerprint`` (a long holding the 64 bits) of every row; no shuffle.
-
-    With ``sets`` also the row's set of shingles of so many words as ``hashes``, sorted. With ``rows`` also the row as ``row``.
-    """
+                 rows: bool = False) -> DataFrame:
+    """``doc_id, fingerprint`` (a long holding the 64 bits) of every row, with ``rows`` also the row as ``row``; no shuffle."""
     named = whole_rows(docs, key) if rows else texts(docs, key, text)
 
     def run(batches):
@@ -67,163 +58,14 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
             contents = as_bytes(piece.column("text"))
             out = np.array([fingerprint(t, shingle) for t in contents], np.uint64).view(np.int64)
             columns = {"doc_id": piece.column("doc_id"), "fingerprint": pa.array(out)}
-            if sets:
-                columns["hashes"] = pa.array([packed(shingle_hashes(t, sets)) for t in contents], pa.binary())
             if rows:
                 columns["row"] = piece.column("row")
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return named.mapInArrow(run, f"doc_id {key_type(named)}, fingerprint long" + (", hashes binary" if sets else "")
+    return named.mapInArrow(run, f"doc_id {key_type(named)}, fingerprint long"
                             + (f", row {key_type(named, 'row')}" if rows else ""))
 
 
-def packed(hashes: np.ndarray) -> bytes:
-    """A set as bytes: the upper five of each hash, sorted."""
-    kept = np.unique(hashes >> np.uint64(8 * (8 - KEPT_BYTES))).astype("<u8")
-    return kept.view(np.uint8).reshape(-1, 8)[:, :KEPT_BYTES].tobytes()
-
-
-def unpacked(kept: bytes) -> np.ndarray:
-    out = np.zeros((len(kept) // KEPT_BYTES, 8), np.uint8)
-    out[:, :KEPT_BYTES] = np.frombuffer(kept, np.uint8).reshape(-1, KEPT_BYTES)
-    return out.view("<u8").reshape(-1)
-
-
-def place(hashes: np.ndarray) -> np.ndarray:
-    """Where :func:`rarity` counts a shingle."""
-    return (hashes >> np.uint64(8 * KEPT_BYTES - RARITY_BITS)).astype(np.int64)
-
-
-def rarity(every: DataFrame) -> np.ndarray:
-    """For each value of a shingle's upper bits the logarithm of how many shingles of all rows have it."""
-    def run(batches):
-        held = np.zeros(1 << RARITY_BITS, np.int64)
-        for piece in slices(batches, "hashes"):
-            held += np.bincount(place(unpacked(b"".join(piece.column("hashes").to_pylist()))), minlength=len(held))
-        used = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(held[used])], ["place", "n"])
-
-    counted = every.select("hashes").mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << RARITY_BITS, np.uint8)
-    out[np.asarray(counted["place"])] = np.log2(np.maximum(np.asarray(counted["n"], np.int64), 1)).astype(np.uint8)
-    return out
-
-
-def prefix(hashes: np.ndarray, rare: np.ndarray, least: float) -> np.ndarray:
-    """The rarest shingles of a set, so many that two sets with a Jaccard similarity of ``least`` have one in common.
-
-    Similar sets share at least ``least`` of the larger one, so not all of the ``n - least * n + 1`` that come first in
-    one order of all shingles can be missing in the other, nor outside the other's first. Any order will do.
-    """
-    size = len(hashes) - int(np.ceil(least * len(hashes) - SLACK)) + 1
-    return hashes[np.lexsort((hashes, rare[place(hashes)]))[:size]]
-
-
-def postings(every: DataFrame, rare: np.ndarray, least: float) -> DataFrame:
-    """``tag, fingerprint, shingle, n, rest``: every row under its rarest shingles.
-
-    ``n`` is the size of its set, ``rest`` how many of its shingles come from this one on.
-    """
-    def run(batches):
-        for piece in slices(batches, "hashes"):
-            sets = [unpacked(x) for x in piece.column("hashes").to_pylist()]
-            firsts = [prefix(x, rare, least) for x in sets]
-            lengths, sizes = np.array([len(x) for x in firsts]), np.array([len(x) for x in sets])
-            row = np.repeat(np.arange(len(sets)), lengths)
-            at = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("tag").take(pa.array(row)), piece.column("fingerprint").take(pa.array(row)),
-                 pa.array(np.concatenate(firsts).view(np.int64)), pa.array(sizes[row].astype(np.int32)),
-                 pa.array((sizes[row] - at).astype(np.int32))], ["tag", "fingerprint", "shingle", "n", "rest"])
-
-    return every.select("tag", "fingerprint", "hashes").mapInArrow(run, "tag long, fingerprint long, shingle long, n int, rest int")
-
-
-def may_be_similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """Pairs less those whose sets differ in more shingles than similar sets can.
-
-    In each bucket the sets differ by at least the difference of their counts, also where these are kept as a byte.
-    """
-    def count(batches):
-        for piece in slices(batches, "hashes"):
-            found = [unpacked(x) for x in piece.column("hashes").to_pylist()]
-            counts = [np.bincount((x % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS).astype(np.uint8).tobytes() for x in found]
-            yield pa.RecordBatch.from_arrays([piece.column("tag"), pa.array([len(x) for x in found], pa.int32()),
-                                              pa.array(counts, pa.binary())], ["tag", "n", "counts"])
-
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BUCKETS) for c in ("counts_a", "counts_b"))
-            differ = np.abs((a - b).view(np.int8).astype(np.int16)).sum(axis=1)
-            room = (np.asarray(batch.column("n_a")) + np.asarray(batch.column("n_b"))) * (1 - least) / (1 + least)
-            kept = batch.filter(pa.array(differ <= room + SLACK))
-            yield pa.RecordBatch.from_arrays([kept.column("tag"), kept.column("other")], ["tag", "other"])
-
-    counted = cut(sets.mapInArrow(count, "tag long, n int, counts binary"))
-    both = pairs.join(counted.select("tag", F.col("n").alias("n_a"), F.col("counts").alias("counts_a")), "tag")
-    both = both.join(counted.select(F.col("tag").alias("other"), F.col("n").alias("n_b"), F.col("counts").alias("counts_b")), "other")
-    return both.select("tag", "other", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(run, "tag long, other long")
-
-
-def verified(pairs: DataFrame, every: DataFrame, least: float) -> DataFrame:
-    """``one, two``: fingerprints of those pairs of tags (``tag, other``) whose whole sets are similar."""
-    met = cut(pairs.select("tag").union(pairs.select("other")).distinct())
-    sets = cut(lookup(every.select("tag", "fingerprint", "hashes"), met, "tag", "left_semi"))
-    pairs = cut(may_be_similar(pairs, sets, least))
-    one = pairs.join(sets, "tag").select(F.col("other").alias("tag"), F.col("fingerprint").alias("one"), F.col("hashes").alias("first"))
-    both = one.join(sets.withColumnRenamed("fingerprint", "two"), "tag").filter("one != two")
-
-    def run(batches):
-        for batch in batches:
-            good = []
-            for a, b in zip(batch.column("first").to_pylist(), batch.column("hashes").to_pylist()):
-                x, y = unpacked(a), unpacked(b)
-                shared = np.intersect1d(x, y, assume_unique=True).size
-                good.append(0 < shared >= least * (len(x) + len(y) - shared) - SLACK)
-            kept = batch.filter(pa.array(good, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([kept.column("one"), kept.column("two")], ["one", "two"])
-
-    return both.select("one", "two", "first", "hashes").mapInArrow(run, "one long, two long")
-
-
-def similar_links(every: DataFrame, least: float, known: DataFrame) -> DataFrame:
-    """``one, two``: ``known`` links, and such that connect all rows whose sets have a Jaccard similarity of ``least`` or more.
-
-    ``every`` has ``tag, fingerprint, hashes``. Similar rows share one of their rarest shingles (see :func:`prefix`). Each row
-    is first compared with one row drawn under each of its own, a few times, on their whole sets; that joins nearly all of a large group
-    without making its pairs. Then rows under one shingle that are still in different components are compared, all with
-    all, where the sizes and the shingles that come later leave room for the similarity. Rows that share none of their rarest shingles
-    are not compared and not shuffled again.
-    """
-    side = lambda df, name: df.select("shingle", *[F.col(c).alias(f"{c}_{name}") for c in df.columns if c != "shingle"])
-    room = F.least("rest_a", "rest_b") * (1 + least) >= (F.col("n_a") + F.col("n_b")) * least - SLACK
-    like = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * least - SLACK
-    tags = [F.least("tag_a", "tag_b").alias("tag"), F.greatest("tag_a", "tag_b").alias("other")]
-    posted = postings(every, rarity(every), least)
-    shared = posted.groupBy("shingle").agg(F.min("fingerprint").alias("low"), F.max("fingerprint").alias("high"))
-    posted = cut(lookup(posted, cut(shared.filter("low != high").select("shingle")), "shingle"))
-    rooted = posted.withColumn("root", F.col("fingerprint"))
-    for turn in range(DRAWS):
-        drawn = F.struct(F.xxhash64(F.lit(turn), "shingle", "tag"), *[F.col(c).alias(f"{c}_b") for c in ("tag", "root", "n", "rest")])
-        drawn = cut(rooted.groupBy("shingle").agg(F.min(drawn).alias("drawn")).select(
-            "shingle", "drawn.tag_b", "drawn.root_b", "drawn.n_b", "drawn.rest_b"))
-        tried = lookup(side(rooted, "a"), drawn, "shingle").filter("root_a != root_b").filter(like)
-        known = cut(known.union(verified(cut(tried.select(tags).distinct()), every, least)))
-        roots = components(known).withColumnRenamed("node", "fingerprint")
-        rooted = cut(lookup(rooted.drop("root"), roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint")))
-        mixed = cut(rooted.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("shingle"))
-        rooted = cut(lookup(rooted, mixed, "shingle"))
-    groups = cut(rooted.groupBy("shingle", "root").agg(F.min("n").alias("low"), F.max("n").alias("high")))
-    met = cut(side(groups, "a").join(side(groups, "b"), "shingle").filter(
-        (F.col("root_a") < F.col("root_b")) & (F.col("high_a") >= F.col("low_b") * least - SLACK)
-        & (F.col("high_b") >= F.col("low_a") * least - SLACK)).select("shingle", "root_a", "root_b"))
-    half = cut(met.join(side(rooted, "a"), ["shingle", "root_a"]).drop("root_a"))
-    pairs = cut(half.join(side(rooted, "b"), ["shingle", "root_b"]).filter(room).select(tags).distinct())
-    return known.union(verified(pairs, every, least))
-
-
 def segments(limit: int) -> list[tuple[int, int]]:
     """The ring: ``limit + 1`` segments of nearly equal width, as (lowest bit, width)."""
     count = limit + 1
@@ -231,56 +73,92 @@ def segments(limit: int) -> list[tuple[int, int]]:
     return [(low, high - low) for low, high in zip(edges, edges[1:])]
 
 
-def bits_of(value: Column, low: int, width: int) -> Column:
-    return value if width == BITS else F.shiftrightunsigned(value, low).bitwiseAND((1 << width) - 1)
+def signed(mask: int) -> int:
+    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
+
 
+def ones(low: int, width: int) -> int:
+    return ((1 << width) - 1) << low
 
-def chain_keys(value: Column, limit: int) -> Column:
-    """Keys of which two fingerprints at ``limit`` or fewer differing bits share at least one.
 
-    By the pigeonring principle some segment starts a chain in which each run of ``l`` segments differs in at
-    most ``l * limit / (limit + 1)`` bits, rounded down to ``l - 1``: the first segment is equal, and the first two
-    differ in one bit at most, so one half of the second is equal too. A key holds the chain's start, the half,
-    the first segment and that half: half of all bits for ``limit`` 2.
+def chain_masks(limit: int) -> list[int]:
+    """Bits of which two fingerprints at ``limit`` or fewer differing bits agree in at least one set.
+
+    By the pigeonring principle some segment starts a chain in which each run of ``l`` segments differs in at most
+    ``l * limit / (limit + 1)`` bits, rounded down: the first segment is equal, and the first two differ in one bit at
+    most, so one half of the second is equal too. A set is the first segment and that half.
     """
     ring = segments(limit)
-    keys = []
-    for at, (low, width) in enumerate(ring):
-        next_low, next_width = ring[(at + 1) % len(ring)]
-        first = bits_of(value, low, width)
-        parts = [(next_low, next_width // 2), (next_low + next_width // 2, next_width - next_width // 2)]
-        for half, (part_low, part_width) in enumerate(parts if limit else [(0, 0)]):
-            rest = bits_of(value, part_low, part_width) if part_width else F.lit(0).cast("long")
-            keys.append(F.xxhash64(F.lit(2 * at + half), first, rest) if width + part_width > 56 else
-                        F.shiftleft(F.shiftleft(first, part_width).bitwiseOR(rest), 6).bitwiseOR(F.lit(2 * at + half)))
-    return F.array(*keys)
+    if len(ring) == 1:
+        return [ones(*ring[0])]
+    masks = []
+    for at, first in enumerate(ring):
+        low, width = ring[(at + 1) % len(ring)]
+        masks += [ones(*first) | ones(low, width // 2), ones(*first) | ones(low + width // 2, width - width // 2)]
+    return list(dict.fromkeys(masks))
+
+
+def finer_masks(mask: int, limit: int) -> list[int]:
+    """The bits outside a mask, cut into ``limit + 1`` parts of which two close values agree in one; each added to the mask."""
+    rest = [bit for bit in range(BITS) if not mask >> bit & 1]
+    count = limit + 1
+    parts = [rest[len(rest) * at // count:len(rest) * (at + 1) // count] for at in range(count)]
+    return [mask | sum(1 << bit for bit in part) for part in parts if part]
 
 
-def links(values: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """``one, two``: links that connect all distinct ``fingerprint`` values at ``limit`` or fewer differing bits.
+def in_budget(differ: Column, limit: int) -> Column:
+    """Does some chain of consecutive segments stay within its budgets, all the way round, which is the whole distance?"""
+    counts = [F.bit_count(differ.bitwiseAND(F.lit(signed(ones(*segment))))) for segment in segments(limit)]
+    n = len(counts)
+    chains = []
+    for start in range(n):
+        within, total = [], F.lit(0)
+        for length in range(1, n + 1):
+            total = total + counts[(start + length - 1) % n]
+            within.append(total <= length * limit // n)
+        chains.append(reduce(Column.__and__, within))
+    return reduce(Column.__or__, chains)
+
 
-    Values that share no chain key with another value go first. Two that remain are within ``limit`` bits exactly if
-    some value is within half of that of both (``limit`` is even). So each survivor is written under itself and its
-    neighbours at up to ``limit / 2`` bits, and all that meet under one value are linked to the least of them: for
-    ``limit`` 2 at most 65 meet, whatever the groups, and no pairs are made.
+def links(values: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """``one, two``: all pairs of distinct ``fingerprint`` values at ``limit`` or fewer differing bits.
+
+    Values meet under the keys of :func:`chain_masks`. Under a key of up to ``PAIRED`` values each two are tested: the
+    differences of some chain of consecutive segments must stay within its budgets, the last of which is the whole distance;
+    only pairs that pass leave the task. A key with more values is split: its values meet again under the key and one part more of the other
+    bits, of which close values agree in one. That ends, as ``n`` free bits tell at most ``2 ** n`` values apart, so
+    no group is ever paired that is larger, however many values share a key, and none is left out. A value has
+    few others within ``limit`` bits (2,080 for 2), which bounds the links.
     """
-    if limit < 0 or limit % 2:
-        raise ValueError("limit must be even")
-    keyed = values.select("fingerprint", F.explode(F.array_distinct(chain_keys(F.col("fingerprint"), limit))).alias("chain"))
-    shared = keyed.groupBy("chain").agg(F.min("fingerprint").alias("low"), F.max("fingerprint").alias("high"))
-    shared = cut(shared.filter("low != high").select("chain"))
-    met = cut(keyed.join(shared, "chain", "left_semi").select("fingerprint").distinct()).withColumn("meet", F.col("fingerprint"))
-    flips = [F.lit(1 << bit if bit < 63 else -(1 << 63)) for bit in range(BITS)]
-    for step in range(limit // 2):
-        here = F.col("meet")
-        met = met.select("fingerprint", F.explode(F.array(here, *[here.bitwiseXOR(f) for f in flips])).alias("meet"))
-        met = met.distinct() if step else met
-    met = met.groupBy("meet").agg(F.collect_set("fingerprint").alias("all")).filter(F.size("all") > 1)
-    return met.select(F.array_min("all").alias("one"), F.explode("all").alias("two")).filter("one != two")
+    if limit < 0:
+        raise ValueError("limit must not be negative")
+    spark, masks = values.sparkSession, chain_masks(limit)
+    # A larger group has more than ``limit`` free bits, so every part of them holds one.
+    paired = max(PAIRED, 1 << limit)
+    met = values.select("fingerprint", F.explode(F.array(*[F.lit(signed(m)) for m in masks])).alias("mask"))
+    found = []
+    while masks:
+        met = met.withColumn("part", F.col("fingerprint").bitwiseAND(F.col("mask")))
+        sizes = cut(met.groupBy("mask", "part").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+        few = met.join(sizes.filter(F.col("n") <= paired).drop("n"), ["mask", "part"]).groupBy("mask", "part").agg(
+            F.collect_list("fingerprint").alias("all"))
+        close = lambda a, b: (b > a) & in_budget(a.bitwiseXOR(b), limit)
+        pairs = F.flatten(F.transform("all", lambda a: F.transform(
+            F.filter("all", lambda b: close(a, b)), lambda b: F.struct(a.alias("one"), b.alias("two")))))
+        found.append(cut(few.select(F.explode(pairs).alias("x")).select("x.*")))
+        many = sizes.filter(F.col("n") > paired).drop("n")
+        finer = [(m, f) for m in masks for f in finer_masks(m, limit)]
+        masks = list(dict.fromkeys(f for _, f in finer)) if not many.isEmpty() else []
+        if masks:
+            # As many rows as there are ways to choose bits, whatever the data.
+            steps = spark.createDataFrame([(signed(m), signed(f)) for m, f in finer], "mask long, finer long")
+            met = cut(met.join(many, ["mask", "part"]).join(F.broadcast(steps), "mask").select(
+                "fingerprint", F.col("finer").alias("mask")).distinct())
+    return reduce(DataFrame.union, found)
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                limit: int = LIMIT, rows: bool = False, similar: float | None = None, similar_shingle: int = 5) -> DataFrame:
+                limit: int = LIMIT, rows: bool = False) -> DataFrame:
     """``doc_id, fingerprint, component_id, kept`` for every row, with ``rows`` also the row as ``row``.
 
     Fingerprints come as 16 hex digits. Words are runs without ASCII white space, A to Z in lower case; shingles are
@@ -289,20 +167,13 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     a null one only where there is no other; one row that has it is ``kept``. Repeated rows come out repeated; other
     columns are not looked at.
 
-    With ``similar``, rows are also linked whose sets of shingles of ``similar_shingle`` words are at least so similar: 64 bits
-    of which two may differ tell only the closest of such copies. See :func:`similar_links`.
-
     Copies are reduced to one fingerprint with a map-side minimum before any comparison, and get their component
     back by a join of two written tables, which Spark splits where one fingerprint owns very many rows.
     """
-    sets = similar_shingle if similar is not None else 0
-    every = cut(fingerprints(docs, key, text, shingle, rows, sets).withColumn("tag", F.monotonically_increasing_id()))
+    every = cut(fingerprints(docs, key, text, shingle, rows).withColumn("tag", F.monotonically_increasing_id()))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "tag"))
     distinct = cut(every.groupBy("fingerprint").agg(first.alias("first")))
-    found = links(distinct.select("fingerprint"), limit)
-    if similar is not None:
-        found = similar_links(every, similar, found)
-    roots = components(found)
+    roots = components(links(distinct.select("fingerprint"), limit))
     rooted = cut(distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
         "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")))
     # A root of very many fingerprints is combined on the map side, then joined back to them.

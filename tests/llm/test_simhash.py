@@ -52,76 +52,6 @@ def test_near_copies_against_brute_force(spark):
     assert sum(r.kept for r in rows) == len(set(wanted.values()))
 
 
-def similarity(one, two):
-    sets = [{tuple(ws[at:at + 5]) for at in range(max(1, len(ws) - 4))} for ws in (lower(t).split() for t in (one, two))]
-    return len(sets[0] & sets[1]) / len(sets[0] | sets[1]) if one.strip() and two.strip() else 0
-
-
-def test_similar_texts_are_linked_and_others_not(spark):
-    draw = random.Random(15)
-    words = ["".join(draw.choices("abcdefgh", k=draw.randint(2, 7))) for _ in range(900)]
-    passage, docs = draw.choices(words, k=60), []
-    for base in range(30):
-        text = draw.choices(words, k=draw.choice([12, 30, 80, 400, 1500])) + passage * (base % 2)
-        for _ in range(12):
-            copy = list(text)
-            for _ in range(draw.randint(0, max(1, len(copy) // 40))):
-                at = draw.randrange(len(copy))
-                copy[at:at + draw.choice([0, 1])] = [draw.choice(words)]
-            docs.append((len(docs), " ".join(copy)))
-    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    rows = {r.doc_id: r for r in simhash.near_groups(frame, similar=0.8).collect()}
-    prints = {k: brute_fingerprint(t) for k, t in docs}
-    pairs = [(a, b) for a, b in itertools.combinations(range(len(docs)), 2) if similarity(docs[a][1], docs[b][1]) >= 0.8]
-    assert len(pairs) > 300
-    found = sum(rows[a].component_id == rows[b].component_id for a, b in pairs)
-    assert found >= 0.95 * len(pairs)
-    near = pairs + [(a, b) for a, b in itertools.combinations(prints, 2) if (prints[a] ^ prints[b]).bit_count() <= 2]
-    wanted = joined(prints, near)
-    assert all(wanted[r.doc_id] == wanted[r.component_id] for r in rows.values())  # no link that is not one
-
-
-def test_isolated_similar_pairs_are_all_found(spark):
-    draw = random.Random(21)
-    words = ["".join(draw.choices("abcdefghij", k=8)) for _ in range(50_000)]
-    docs, wanted = [], {}
-    for size in range(9, 61):
-        for turn in range(6):
-            text = draw.choices(words, k=size)
-            more = draw.choices(words, k=max(1, (size - 4) // 4))
-            copy = text + more if turn % 2 else more + text
-            while turn > 3 and len(copy) > size and similarity(" ".join(text), " ".join(copy)) < 0.95:
-                copy = copy[1:]
-            for t in (text, copy):
-                docs.append((len(docs), " ".join(t)))
-            if similarity(*(t for _, t in docs[-2:])) >= 0.8:
-                wanted[len(docs) - 1] = len(docs) - 2
-    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
-    rows = {r.doc_id: r.component_id for r in simhash.near_groups(frame, similar=0.8).collect()}
-    assert len(wanted) > 200 and {two: rows[two] for two in wanted} == wanted
-
-
-def test_similar_pairs_behind_a_common_shingle(spark):
-    """Rows of which each is similar to one other only, while all share a shingle that is among their rarest."""
-    draw = random.Random(22)
-    words = ["".join(draw.choices("abcdefghij", k=8)) for _ in range(50_000)]
-    docs, common = [], draw.choices(words, k=5)
-    for _ in range(60):
-        text = common + draw.choices(words, k=4)
-        docs += [(len(docs), " ".join(text)), (len(docs) + 1, " ".join(text + draw.choices(words, k=1)))]
-    rows = {r.doc_id: r.component_id for r in simhash.near_groups(
-        spark.createDataFrame(docs, "doc_id long, text string").repartition(3), similar=0.8).collect()}
-    assert rows == {key: key - key % 2 for key, _ in docs}
-
-
-def test_similar_on_a_messy_table(spark):
-    rows = simhash.near_groups(messy(spark), similar=0.8).collect()
-    assert len(rows) == len(messy_rows())
-    by_id = {r.doc_id: r.component_id for r in rows}
-    assert by_id[3] == by_id[4] == by_id[5] and by_id[7] == by_id[8] and by_id[9] != by_id[3]
-    assert simhash.near_groups(messy(spark, 0), similar=0.8).collect() == []
-
-
 def test_messy_table(spark):
     rows = simhash.near_groups(messy(spark)).collect()
     prints = {brute_fingerprint(t) for _, t, *_ in messy_rows()}
@@ -135,20 +65,38 @@ def test_messy_table(spark):
     assert whole.select("row.*").columns == messy(spark).columns
 
 
-def test_chain_keys_lose_no_pair_within_the_limit(spark):
+def close_pairs(values, limit):
+    return {(a, b) for a, b in itertools.combinations(sorted(values), 2) if ((a ^ b) & (1 << 64) - 1).bit_count() <= limit}
+
+
+def test_masks_and_budgets_lose_no_pair_within_the_limit(spark):
     draw = random.Random(9)
-    for limit in (0, 2, 4):
+    for limit in (0, 1, 2, 4):
         pairs = []
         for _ in range(300):
-            one, two = draw.getrandbits(64), None
-            two = one
-            for bit in draw.sample(range(64), limit):
+            one = two = draw.getrandbits(64)
+            for bit in draw.sample(range(64), limit + draw.randint(0, 1)):
                 two ^= 1 << bit
-            pairs.append(tuple(x - (1 << 64) if x >> 63 else x for x in (one, two)))
-        frame = spark.createDataFrame(pairs, "one long, two long")
-        keys = [simhash.chain_keys(frame[c], limit) for c in ("one", "two")]
-        from pyspark.sql import functions as F
-        assert frame.filter(~F.arrays_overlap(*keys)).count() == 0
+            pairs.append((one, two))
+            if (one ^ two).bit_count() <= limit:
+                masks = [m for m in simhash.chain_masks(limit) if (one ^ two) & m == 0]
+                assert masks
+                for m in masks:
+                    assert any((one ^ two) & f == 0 for f in simhash.finer_masks(m, limit)) or m == (1 << 64) - 1
+        sign = lambda x: x - (1 << 64) if x >> 63 else x
+        frame = spark.createDataFrame([(sign(a ^ b),) for a, b in pairs], "differ long")
+        within = [r[0] for r in frame.select(simhash.in_budget(frame["differ"], limit)).collect()]
+        assert within == [(a ^ b).bit_count() <= limit for a, b in pairs]
+
+
+def test_a_key_of_very_many_values_is_split(spark, monkeypatch):
+    """All values agree in 40 bits, a third of them in 54, and every pair within the limit is still found."""
+    draw = random.Random(6)
+    values = {7 << 50 | draw.getrandbits(24) for _ in range(600)} | {draw.getrandbits(10) | 7 << 50 for _ in range(400)} | {-1, -2, -4}
+    frame = spark.createDataFrame([(v,) for v in values], "fingerprint long").repartition(3)
+    for paired in (2, 64):
+        monkeypatch.setattr(simhash, "PAIRED", paired)
+        assert {tuple(r) for r in simhash.links(frame, 2).collect()} == close_pairs(values, 2)
 
 
 def test_links_of_a_wider_limit(spark):
@@ -158,8 +106,9 @@ def test_links_of_a_wider_limit(spark):
         for _ in range(3):
             values.add(value ^ sum(1 << b for b in draw.sample(range(63), 4)))
     frame = spark.createDataFrame([(v,) for v in values], "fingerprint long")
-    found = joined(values, [tuple(r) for r in simhash.links(frame, 4).collect()])
-    assert found == joined(values, [(a, b) for a, b in itertools.combinations(values, 2) if (a ^ b).bit_count() <= 4])
+    for limit in (3, 4):
+        assert {tuple(r) for r in simhash.links(frame, limit).collect()} == close_pairs(values, limit)
+    assert simhash.links(frame, 0).collect() == []
 
 
 def test_components_of_chains_stars_and_loops(spark):
