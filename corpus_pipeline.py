@@ -12,25 +12,38 @@ from skein.session import cut, new_folder
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifiers hold for good and not toxic."""
+    """Documents that the classifiers hold for good and not toxic.
+
+    Every row is judged by its own text and metadata, null, empty, repeated and very long ones too; a null id is judged but not
+    learnt from. No rows give no rows; columns of any name go through as they are.
+    """
     scored = cotrain.score(docs, read(spark, sf_dir, "labels"), rows=True)
     return scored.filter(~F.col("rejected")).select("row.*")
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id."""
+    """Of equal texts the row with the largest doc_id.
+
+    A null text equals an empty one; a null id stays only where its group has no other; of rows that repeat the id that stays, one does. No rows
+    give no rows; columns of any name go through as they are.
+    """
     return quotient.exact_groups(docs, rows=True).filter("kept").select("row.*")
 
 
 def keep_one_near_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by fingerprints, or by 0.8 of their shingles of five words, the row with the smallest doc_id."""
-    return simhash.near_groups(docs, rows=True, similar=0.8).filter("kept").select("row.*")
+    """Of each group linked by fingerprints of three-word shingles at two or fewer differing bits, the row with the smallest doc_id.
+
+    A null ``doc_id`` stays only where its group has no other; of rows that repeat the id that stays, one does. Texts without words
+    (null, empty) are one group. No rows give no rows; columns of any name go through as they are.
+    """
+    return simhash.near_groups(docs, rows=True).filter("kept").select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than one word in twenty lies in a window of a benchmark item.
 
-    The decision hangs on the text alone, so it is found and taken by the text's hash; ids may be null or repeat.
+    The decision hangs on the text alone, so it is found and taken by the text's hash; ids may be null or repeat. A null or empty text
+    has no words and stays. No rows give no rows; columns of any name go through as they are.
     """
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
     found = phrase_index.contamination(docs.select(digest.alias("digest"), "text"), read(spark, sf_dir, "benchmark"), key="digest")
@@ -39,7 +52,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token digests of what is left."""
+    """Token digests of what is left, a row per row; a null text is encoded as an empty one, other columns end here."""
     return bpe.round_trip_digests(docs, WORD_BPE)
 
 
