@@ -66,11 +66,14 @@ def metadata_features(lang: str | None, source: str | None, n_chars: int | None)
 class Sparse:
     """Rows of features as index pairs, with a column of ones and dense columns after the sparse ones."""
 
-    def __init__(self, rows: list[list[int]], width: int, dense: np.ndarray):
-        self.row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        self.column = np.fromiter((c for r in rows for c in r), np.int64, len(self.row))
-        self.width, self.n = width, len(rows)
-        self.dense = np.hstack([dense, np.ones((len(rows), 1))])
+    def __init__(self, row: np.ndarray, column: np.ndarray, width: int, dense: np.ndarray):
+        self.row, self.column, self.width, self.n = row, column, width, len(dense)
+        self.dense = np.hstack([dense, np.ones((len(dense), 1))])
+
+    @classmethod
+    def of(cls, rows: list[list[int]], width: int, dense: np.ndarray) -> Sparse:
+        row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        return cls(row, np.fromiter((c for r in rows for c in r), np.int64, len(row)), width, dense)
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, weights=w[self.column], minlength=self.n) + self.dense @ w[self.width:]
@@ -116,7 +119,7 @@ class Classifier:
     def text_rows(self, found: list, shapes: np.ndarray) -> Sparse:
         """``found`` holds text features, of which only those of this classifier count."""
         rows = [[self.features[f] for f in features if f in self.features] for features in found]
-        return Sparse(rows, len(self.features), (shapes - self.centre) / self.scale)
+        return Sparse.of(rows, len(self.features), (shapes - self.centre) / self.scale)
 
     def metadata_odds(self, rows: list[list[str]]) -> np.ndarray:
         return np.array([sum(self.metadata.get(f, 0.0) for f in r) + self.metadata_constant for r in rows])
@@ -171,9 +174,13 @@ def fit_one(sample: dict, features: list[str], y: np.ndarray, labelled: np.ndarr
     found, shapes, metadata = sample["found"], sample["shapes"], sample["metadata"]
     train, pool = labelled & ~held, ~labelled
     fitted = Classifier({f: i for i, f in enumerate(features)}, shapes[train].mean(axis=0), shapes[train].std(axis=0) + 1e-9, None, {}, 0.0, None)
-    x_text = fitted.text_rows(found, shapes)
+    # Features are numbered over both labels; those of this one are picked out.
+    number = np.full(len(sample["wanted"]) + 1, -1, np.int64)
+    number[[sample["wanted"][f] for f in features]] = np.arange(len(features))
+    own = number[found[1]] >= 0
+    x_text = Sparse(found[0][own], number[found[1][own]], len(features), (shapes - fitted.centre) / fitted.scale)
     names = {f: i for i, f in enumerate(sorted({f for i in np.flatnonzero(train) for f in metadata[i]}))}
-    x_meta = Sparse([[names[f] for f in r if f in names] for r in metadata], len(names), np.zeros((len(metadata), 0)))
+    x_meta = Sparse.of([[names[f] for f in r if f in names] for r in metadata], len(names), np.zeros((len(metadata), 0)))
     taught = [(train.astype(float), np.where(train, y, 0).astype(float)) for _ in range(2)]
     weights: list = [None, None]
     lines = [np.array([1.0, 0.0]), np.array([1.0, 0.0])]
@@ -190,7 +197,7 @@ def fit_one(sample: dict, features: list[str], y: np.ndarray, labelled: np.ndarr
             fresh = sure & (weight == 0)
             weight[fresh], label[fresh] = 0.5, chance[fresh] > 0.5
     odds = np.stack([x_text.dot(weights[0]) * lines[0][0] + lines[0][1], x_meta.dot(weights[1]) * lines[1][0] + lines[1][1]], axis=1)
-    both = logistic(Sparse([[]] * int(held.sum()), 0, odds[held]), y[held].astype(float), np.ones(int(held.sum())), 0.1)
+    both = logistic(Sparse.of([[]] * int(held.sum()), 0, odds[held]), y[held].astype(float), np.ones(int(held.sum())), 0.1)
     both = np.array([max(both[0], 0.0), max(both[1], 0.0), both[2]])
     fitted.combine = np.array([both[0] * lines[0][0], both[1] * lines[1][0], both[0] * lines[0][1] + both[1] * lines[1][1] + both[2]])
     fitted.text, fitted.metadata = weights[0], dict(zip(names, weights[1][:len(names)].tolist()))
@@ -201,7 +208,7 @@ def fit_one(sample: dict, features: list[str], y: np.ndarray, labelled: np.ndarr
 def calibrate(odds: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Slope and shift that turn a view's scores into log-odds on rows it has not seen."""
     scale = np.abs(odds).mean() + 1e-9
-    w = logistic(Sparse([[]] * len(odds), 0, odds[:, None] / scale), y.astype(float), np.ones(len(odds)), 0.1)
+    w = logistic(Sparse.of([[]] * len(odds), 0, odds[:, None] / scale), y.astype(float), np.ones(len(odds)), 0.1)
     return np.array([max(w[0], 0.05) / scale, w[1]])
 
 
@@ -217,7 +224,10 @@ def sample_rows(docs: DataFrame, labels: DataFrame, key: str, label_key: str) ->
     rows = docs.select(F.col(key).alias("k"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"),
                        F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
     held = F.col("quality").isNotNull() & (F.pmod(F.xxhash64(F.lit(SEED), "k"), F.lit(1000)) < int(1000 * HELD_SHARE))
-    return cut(rows.join(drawn, "k").dropDuplicates(["k"]).withColumn("held", held))
+    # Of rows that repeat a key, the least by text and metadata is learnt from, so every run learns from the same.
+    first = F.min(F.struct("text", "lang", "source", "n_chars")).alias("x")
+    kept = rows.join(drawn, "k").groupBy("k", "quality", "toxic", "draw").agg(first)
+    return cut(kept.select("k", "x.*", "quality", "toxic", "draw").withColumn("held", held))
 
 
 def measures(part: pa.RecordBatch, wanted: frozenset[str]) -> tuple[list[set[str]], np.ndarray, list[list[str]]]:
@@ -234,26 +244,33 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label_key: str
     """
     drawn = sample_rows(docs, labels, key, label_key)
     chosen = {name: telling(drawn, name) for name in ("quality", "toxic")}
-    wanted = frozenset(chosen["quality"] + chosen["toxic"])
+    numbered = {f: at for at, f in enumerate(sorted({*chosen["quality"], *chosen["toxic"]}))}
+    wanted = frozenset(numbered)
 
     def run(batches):
         for part in slices(batches):
             found, shapes, metadata = measures(part, wanted)
+            found = [sorted(map(numbered.__getitem__, f)) for f in found]
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(c) for c in ("draw", "held", "quality", "toxic")),
-                 pa.array([sorted(f) for f in found], pa.list_(pa.string())),
+                 pa.array(found, pa.list_(pa.int32())),
                  pa.array(shapes.tolist(), pa.list_(pa.float64())), pa.array(metadata, pa.list_(pa.string()))],
                 ["draw", "held", "quality", "toxic", "found", "shapes", "metadata"])
 
     table = drawn.withColumn("draw", F.xxhash64("k")).mapInArrow(
-        run, "draw long, held boolean, quality int, toxic int, found array<string>, shapes array<double>, metadata array<string>"
+        run, "draw long, held boolean, quality int, toxic int, found array<int>, shapes array<double>, metadata array<string>"
     ).toArrow().combine_chunks().sort_by("draw")
-    sample = {"found": table["found"].to_pylist(), "shapes": np.array(table["shapes"].to_pylist()).reshape(-1, len(SHAPES)),
+    flat = lambda c: pa.concat_arrays(c.chunks) if isinstance(c, pa.ChunkedArray) else c
+    ids, shapes = flat(table["found"]), flat(table["shapes"])
+    sample = {"found": (np.repeat(np.arange(len(ids)), np.diff(np.asarray(ids.offsets))), np.asarray(ids.flatten()).astype(np.int64)),
+              "wanted": numbered, "shapes": np.asarray(shapes.flatten()).reshape(-1, len(SHAPES)),
               "metadata": table["metadata"].to_pylist()}
     labelled, held = ~np.asarray(table["quality"].is_null()), np.asarray(table["held"], bool)
+    truth = {name: np.asarray(table[name].fill_null(0)).astype(int) for name in ("quality", "toxic")}
+    del table, ids, shapes
     out: dict[str, Classifier | float] = {}
     for name in ("quality", "toxic"):
-        y = np.asarray(table[name].fill_null(0)).astype(int)
+        y = truth[name]
         enough = all((y[rows] == c).sum() >= 2 for rows in (held, labelled & ~held) for c in (0, 1))
         out[name] = (fit_one(sample, chosen[name], y, labelled, held) if enough
                      else float((y[labelled].sum() + 1) / (labelled.sum() + 2)))
