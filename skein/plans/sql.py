@@ -42,11 +42,10 @@ PRIZED = EDGES + """, prized as (
   select * from edges
   union all
   select l_suppkey * 3, o_custkey * 3 + 2, 'ACTED_IN', l_extendedprice * 2 from lineitem join orders on l_orderkey = o_orderkey
-  where l_orderkey % 10 = 0
   union all
-  select l_partkey * 3 + 1, l_suppkey * 3, 'CONTACT', null from lineitem where l_orderkey % 10 = 0
+  select l_partkey * 3 + 1, l_suppkey * 3, 'CONTACT', null from lineitem
   union all
-  select l_partkey * 3 + 1, l_partkey * 3 + 1, 'ACTED_IN', l_extendedprice * 100 from lineitem where l_orderkey % 10 = 0)"""
+  select l_partkey * 3 + 1, l_partkey * 3 + 1, 'ACTED_IN', l_extendedprice * 100 from lineitem)"""
 
 LINES = """lines as (
   select o_orderkey as id, 0 as connections from orders

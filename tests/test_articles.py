@@ -78,3 +78,9 @@ def test_broken_pages_take_time_in_proportion(spark):
 
     seconds(500)
     assert seconds(16_000) < 40 * max(seconds(2_000), 0.01)
+
+
+def test_numbers_beyond_an_int_are_null():
+    from skein.operators.articles import first_number
+    assert [first_number(x) for x in (["99999999999"], ["9" * 5000], ["2147483648"], ["0" * 5000 + "7 of 9"], ["2147483647"], ["no"], [])] == [
+        None, None, None, 7, 2147483647, 0, 0]
