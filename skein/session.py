@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Folders made by this driver and not yet dropped.
-_MADE: list[str] = []
+# Folders made by this driver and not yet dropped, by application.
+_MADE: dict[str, list[str]] = {}
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g",
@@ -40,8 +40,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the shared folder."""
-    _MADE.append(f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}")
-    return _MADE[-1]
+    folder = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
 
 
 def delete_folder(spark: SparkSession, folder: str) -> None:
@@ -51,9 +52,9 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
 
 
 def drop_cuts(spark: SparkSession) -> None:
-    """Delete the folders made so far. Call it when the results that read them are written."""
-    while _MADE:
-        delete_folder(spark, _MADE.pop())
+    """Delete the folders this application made so far. Call it when the results that read them are written."""
+    for folder in _MADE.pop(spark.sparkContext.applicationId, []):
+        delete_folder(spark, folder)
 
 
 def write_cut(df: DataFrame) -> str:
@@ -73,9 +74,10 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Hand rows out to all cores when their files split into fewer pieces than that.
+    """Hand rows out to all cores when they lie in fewer files than that.
 
-    For work that costs much per row. A table of many files comes back as it is.
+    For work that costs much per row. The number of pieces says nothing here: a file of one row group may be cut into
+    many, of which one holds all rows. A table of many files comes back as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if len(df._jdf.inputFiles()) >= cores else df.repartition(cores)
