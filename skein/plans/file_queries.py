@@ -11,7 +11,7 @@ from skein.plans.registry import query
 from skein.plans.sql import CLEAN
 from skein.plans.tables import DEFAULT_NOW, SITE_PREFIX, articles, ratings, raw_articles, table
 from skein.session import new_folder
-from skein.sources import files, store
+from skein.sources import files, json_pieces, store
 from skein.streaming import sinks
 
 ARTICLE_JSON = ("pos bigint, url string, title string, text string, photo_count int, comment_count int, "
@@ -123,16 +123,29 @@ def rewrite_store(spark, sf_dir):
     return store.read_store(spark, folder, clean.schema)
 
 
-@query("read_json_array", f"with {CLEAN} select pos, title, n_chars from articles join documents on pos = doc_id")
-def read_json_array(spark, sf_dir):
-    """Files of one JSON array of objects each, with at most 10,000 articles; their number grows with the table."""
+ARRAY_JSON = "pos bigint, title string, n_chars bigint"
+
+
+def json_arrays(spark, sf_dir, per_file: int) -> str:
+    """Files of one JSON array of objects each, with at most ``per_file`` articles; their number grows with the table."""
     folder = new_folder(spark, "json")
     rows = articles(spark, sf_dir).join(
         table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), "n_chars"), "pos")
-    piece = F.floor(F.col("pos") / 10_000)
+    piece = F.floor(F.col("pos") / per_file)
     rows.groupBy(piece.alias("piece")).agg(F.to_json(F.collect_list(F.struct("pos", "title", "n_chars"))).alias("value")).write.partitionBy(
         "piece").text(folder)
-    return files.read_json_array(spark, folder, "pos bigint, title string, n_chars bigint").drop("piece")
+    return folder
+
+
+@query("read_json_array", f"with {CLEAN} select pos, title, n_chars from articles join documents on pos = doc_id")
+def read_json_array(spark, sf_dir):
+    return files.read_json_array(spark, json_arrays(spark, sf_dir, 10_000), ARRAY_JSON).drop("piece")
+
+
+@query("read_json_array_split", f"with {CLEAN} select pos, title, n_chars from articles join documents on pos = doc_id")
+def read_json_array_split(spark, sf_dir):
+    """The same rows, each file read by as many tasks as it has byte ranges."""
+    return json_pieces.read_json_array_split(spark, json_arrays(spark, sf_dir, 100_000), ARRAY_JSON)
 
 
 @query("lines_first_letters", """

@@ -56,7 +56,7 @@ def parse_lines(df: DataFrame, sep_regex: str, fields: dict[str, tuple[int, str]
 
 def read_json_array(spark: SparkSession, path: str | list[str],
                     schema: StructType | str | None = None) -> DataFrame:
-    """File holding one JSON array of objects. It is read by one task: convert large ones to Parquet."""
+    """File holding one JSON array of objects. It is read by one task; ``json_pieces`` has a reader for large ones."""
     reader = spark.read.option("multiLine", True)
     return (reader.schema(schema) if schema else reader).json(path)
 

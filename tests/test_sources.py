@@ -1,6 +1,8 @@
 import json
 
-from skein.sources import files
+import pytest
+
+from skein.sources import files, json_pieces
 
 
 def test_delimited_with_bom_and_quotes(spark, tmp_path):
@@ -40,6 +42,43 @@ def test_json_array_and_default_line(spark, tmp_path):
     assert files.lines_or_default(spark).first().value.startswith("To be")
 
 
+AWKWARD = ["", "}", "{", '"', "\\", '\\"', '"}', "},{", "]}", "a\nb", '{"x": 1}', "ěš}", "\\}", " {", "x" * 700 + "}{" * 90]
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_json_array_read_by_many_tasks(spark, tmp_path, indent):
+    def record(n):
+        return {"n": n, "text": AWKWARD[n % len(AWKWARD)], "deep": {"list": [{"k": AWKWARD[(n * 7) % len(AWKWARD)]}, {}], "none": {}}}
+
+    wanted = {}
+    for name, size in (("a", 400), ("b", 57), ("empty", 0)):
+        records = [record(n + len(wanted)) for n in range(size)]
+        (tmp_path / f"{name}.json").write_text(json.dumps(records, indent=indent, ensure_ascii=False), encoding="utf-8")
+        wanted |= {r["n"]: r for r in records}
+    (tmp_path / "nothing.json").write_text("")
+    settings = {"spark.sql.files.maxPartitionBytes": "1500", "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 20
+        rows = json_pieces.read_json_array_split(
+            spark, str(tmp_path), "n int, text string, deep struct<list: array<struct<k: string>>>").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(rows) == len(wanted)
+    assert {r.n: (r.text, r.deep.list[0].k) for r in rows} == {
+        n: (r["text"], r["deep"]["list"][0]["k"]) for n, r in wanted.items()}
+
+
+def test_json_array_split_of_odd_files(spark, tmp_path):
+    for name, text in (("one", '{"n": 1}'), ("bad", '[{"n": "x"}, null, {}]'), ("none", "[]")):
+        (tmp_path / f"{name}.json").write_text(text)
+    rows = json_pieces.read_json_array_split(spark, str(tmp_path), "n int").collect()
+    assert sorted(r.n or 0 for r in rows) == [0, 0, 1]
+
+
 def test_union(spark):
     one = spark.createDataFrame([(1, 2)], "a int, b int")
     other = spark.createDataFrame([(3, 4)], "b int, a int")
