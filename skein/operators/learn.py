@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from skein.functions.skew import lookup
 from skein.operators.order import with_row_index
 from skein.operators.shape import binarise, require_not_null, try_numeric
-from skein.session import cut
+from skein.session import cut, new_folder
 from skein.sources.files import union_all
 
 
@@ -51,12 +51,19 @@ def assemble(df: DataFrame, cols: list[str], handle_invalid: str = "error",
 
 def train_classifier(train: DataFrame, algo: str = "rf", label: str = "label",
                      features: str = "features", seed: int = 42, **params):
-    """Fit a random forest (``rf``) or a logistic regression (``lr``)."""
+    """Fit a random forest (``rf``) or a logistic regression (``lr``).
+
+    A fitted model of two classes keeps a summary that holds the session, which tasks cannot be sent once the session has
+    observed a frame. The model is therefore written and read back, which leaves the summary out.
+    """
     if algo == "lr":
-        model = LogisticRegression(featuresCol=features, labelCol=label, **params)
+        estimator = LogisticRegression(featuresCol=features, labelCol=label, **params)
     else:
-        model = RandomForestClassifier(featuresCol=features, labelCol=label, seed=seed, **params)
-    return _fit(model, train.select(features, label))
+        estimator = RandomForestClassifier(featuresCol=features, labelCol=label, seed=seed, **params)
+    model = _fit(estimator, train.select(features, label))
+    folder = new_folder(train.sparkSession, "model")
+    model.write().save(folder)
+    return type(model).load(folder)
 
 
 def train_regressor(train: DataFrame, label: str, features: str = "features", seed: int = 42, **params):

@@ -1,3 +1,6 @@
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
 from skein.operators import learn, shape, splits
 from skein.operators.aggregates import (category_share, count_by_time_part, extreme_months, group_count,
                                         value_counts)
@@ -22,6 +25,16 @@ def test_features_and_classifiers(spark):
         assert learn.accuracy(predicted, "ArrDelay").first().accuracy == 1.0
 
 
+def test_models_predict_in_a_session_that_observed_a_frame(spark):
+    seen = Observation()
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 5}
+    rows = learn.assemble(spark.range(40).selectExpr("id % 2 + 0.5 as x", "cast(id % 2 as double) as y"), ["x"])
+    for algo in ("rf", "lr"):
+        predicted = learn.train_classifier(rows, algo, "y").transform(rows)
+        assert learn.accuracy(predicted, "y").first().accuracy == 1.0
+
+
 def test_category_order(spark):
     rows = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "v string")
     index = learn.fit_categories(rows, ["v"])
