@@ -72,8 +72,18 @@ def train_regressor(train: DataFrame, label: str, features: str = "features", se
     return _fit(tree, train.select(features, label))
 
 
+# Rows of a training task. Kept rows are several times larger than the files they come from.
+TRAIN_ROWS = 1 << 18
+
+
 def _fit(estimator, train: DataFrame):
-    """Training passes over its rows many times, so they are kept for as long as it lasts."""
+    """Training passes over its rows many times, so they are kept for as long as it lasts.
+
+    Beyond one task's rows they are dealt out evenly, so that tasks grow in number, not in size.
+    """
+    tasks = -(-train.count() // TRAIN_ROWS)
+    if tasks > 1:
+        train = train.repartition(max(tasks, train.sparkSession.sparkContext.defaultParallelism))
     train = train.persist()
     try:
         return estimator.fit(train)

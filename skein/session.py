@@ -73,11 +73,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(write_cut(df))
 
 
+# Bytes of files that make a piece of their own when rows are handed out; in memory they are several times larger.
+SPREAD_BYTES = 16 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Hand rows out to all cores when they lie in fewer files than that.
+    """Hand rows out to all cores when they lie in fewer files than that, in more pieces where the files are large.
 
     For work that costs much per row. The number of pieces says nothing here: a file of one row group may be cut into
     many, of which one holds all rows. A table of many files comes back as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df._jdf.inputFiles()) >= cores else df.repartition(cores)
+    spark = df.sparkSession
+    cores, files = spark.sparkContext.defaultParallelism, list(df._jdf.inputFiles())
+    return df if len(files) >= cores else df.repartition(max(cores, sum(file_bytes(spark, f) for f in files) // SPREAD_BYTES))
+
+
+def file_bytes(spark: SparkSession, file: str) -> int:
+    """Length of a file wherever it lies; ``file`` is a URI as :meth:`DataFrame.inputFiles` gives it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext._jvm.java.net.URI(file))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).getLen()

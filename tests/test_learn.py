@@ -1,6 +1,7 @@
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from skein import session
 from skein.operators import learn, shape, splits
 from skein.operators.aggregates import (category_share, count_by_time_part, extreme_months, group_count,
                                         value_counts)
@@ -35,6 +36,28 @@ def test_models_predict_in_a_session_that_observed_a_frame(spark):
         assert learn.accuracy(predicted, "y").first().accuracy == 1.0
 
 
+class Sizes:
+    """Stands for an estimator; returns how many rows each task got."""
+
+    def fit(self, train):
+        return train.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+
+
+def test_training_tasks_grow_in_number(spark, monkeypatch):
+    monkeypatch.setattr(learn, "TRAIN_ROWS", 100, raising=False)
+    largest, total = learn._fit(Sizes(), spark.range(5000).coalesce(1))
+    assert total == 5000 and largest <= 110
+
+
+def test_pieces_of_large_files_grow_in_number(spark, monkeypatch, tmp_path):
+    folder = f"{tmp_path}/a b"
+    spark.range(50_000).coalesce(1).write.parquet(folder)
+    monkeypatch.setattr(session, "SPREAD_BYTES", 4_000, raising=False)
+    spread = session.spread(spark.read.parquet(folder))
+    largest, total = spread.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    assert total == 50_000 and largest <= 2_000
+
+
 def test_category_order(spark):
     rows = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "v string")
     index = learn.fit_categories(rows, ["v"])
