@@ -404,6 +404,9 @@ def rare_rows(held: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatc
 def rare_deltas(tree: Tree, table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """What rare contexts add to the scores of documents, for one group of contexts with all their occurrences.
 
+    One value for each context and document it occurs in. Added up over the group there would be fewer in a small corpus, but
+    their number would grow with documents times groups until it is the same.
+
     Contexts of at least ``LEAST_SEEN`` occurrences whose next symbols diverge enough become nodes below the common ones;
     the test and the smoothing are those of :func:`grow`. A document's number is even if it is learnt from.
     """
@@ -429,8 +432,10 @@ def rare_deltas(tree: Tree, table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     chosen = np.flatnonzero(keep[at])
     pairs = number[place[chosen]]
     delta = np.where(pairs >= 0, gained[pairs] if len(gained) else 0.0, level.log_rest[node[at[chosen]]])
-    docs, place = np.unique(doc[chosen], return_inverse=True)
-    return docs, np.bincount(place, weights=delta, minlength=len(docs)).astype(float)
+    order = np.lexsort((doc[chosen], at[chosen]))
+    own, docs, delta = at[chosen][order], doc[chosen][order], delta[order]
+    first = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (docs[1:] != docs[:-1]))[:len(own)])
+    return docs[first], np.add.reduceat(delta, first) if len(first) else delta
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -507,7 +512,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     added = F.lit(0.0)
     if tree.tokens:
         per_group = tokens.select("held", "lengths", "hashes", "flat", "slice").mapInArrow(occurrences, RARE_SCHEMA).groupBy("bucket")
-        sums = cut(per_group.applyInArrow(deltas, "tag long, rare_context double")).groupBy("tag").agg(
+        sums = per_group.applyInArrow(deltas, "tag long, rare_context double").groupBy("tag").agg(
             F.sum("rare_context").alias("rare_context"))
         found, added = found.join(sums, "tag", "left"), F.coalesce("rare_context", F.lit(0.0))
     rare = F.coalesce("rare", F.lit(0.0))

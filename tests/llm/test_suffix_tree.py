@@ -139,6 +139,30 @@ def test_the_tree_grows_with_the_corpus(spark, corpus, only_rare):
     assert [r.score for r in sorted(rows)] == pytest.approx(wanted, rel=1e-9)
 
 
+def test_what_rare_contexts_add_does_not_multiply_with_the_groups(spark, corpus, only_rare):
+    docs = suffix_tree.texts(spark.createDataFrame(corpus, "doc_id long, text string").repartition(3))
+    table = suffix_tree.tokenise(docs.selectExpr("*", "false as held_out"))
+    tree = suffix_tree.fit(table, suffix_tree.vocabulary(table))
+    names = {suffix_tree.word_hash(w.encode()): n for n, w in enumerate(sorted({w for _, t in corpus for w in tokens_of(t)}))}
+    place = np.argsort(tree.words)
+    context, symbol, doc = [], [], []
+    for key, text in corpus:
+        found = [suffix_tree.word_hash(w.encode()) for w in ["\n", *tokens_of(text)]]
+        assert all(w in names for w in found)
+        context += found[:-1]
+        symbol += place[np.searchsorted(tree.words, np.array(found[1:], np.uint64))].tolist()
+        doc += [key << 1] * (len(found) - 1)
+    held = [(np.array(context, np.uint64), np.zeros(len(doc), np.int32), np.array(symbol, np.int32), np.array(doc, np.int64))]
+    counts, sums = [], []
+    for groups in (1, 20):
+        rows = suffix_tree.rare_rows(held, groups)
+        parts = [suffix_tree.rare_deltas(tree, suffix_tree.pa.Table.from_batches([rows.slice(at, 1)])) for at in range(rows.num_rows)]
+        counts.append(sum(len(docs) for docs, _ in parts))
+        sums.append(np.bincount(np.concatenate([d for d, _ in parts]) >> 1, np.concatenate([x for _, x in parts]), minlength=400))
+    assert counts[0] == counts[1] > 400
+    assert sums[0] == pytest.approx(sums[1])
+
+
 def test_a_text_that_occurs_twice_gains_from_its_rare_contexts(spark, corpus):
     draw = random.Random(8)
     many = [(key, " ".join(f"q{draw.randrange(10_000)}" for _ in range(60))) for key in range(1000, 2000)]
