@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections import defaultdict
 from dataclasses import dataclass, field
 from itertools import count
@@ -9,28 +10,29 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm.rows import as_bytes, key_type, slices, texts
-from skein.session import cut
+from skein.session import cut, delete_folder, write_cut
 
-# Shares of all training tokens. A context is common from CONTEXT_SHARE on, so there are at most 1 / CONTEXT_SHARE of each
-# length; a next symbol is listed with a common context, and a word with its count, from LISTED_SHARE on, so there are at
-# most a million of each. These bounds hold for any table, and are all that is broadcast or held by the driver. The tree
-# does not end there: contexts that are not common are partitioned by their hash, see :func:`rare_deltas`.
+# Shares of all training tokens. They say what is sent to all tasks, not what is in the tree. A context is common from
+# CONTEXT_SHARE on, so there are at most 1 / CONTEXT_SHARE of each length; a next symbol travels with a common context,
+# and a word with its count, from LISTED_SHARE on, so there are at most a million of each. These bounds hold for any table,
+# and are all that is broadcast or held by the driver. What the other next symbols of common contexts and the other words
+# have is looked up, see :func:`looked_up`; contexts that are not common are partitioned by their hash, see :func:`rare_deltas`.
 CONTEXT_SHARE = 5e-5
 LISTED_SHARE = 1e-6
-# Occurrences from which a rare context may be a node, and a next symbol may be listed with it, whatever the table.
+# Occurrences from which a next symbol is listed with a rare context of one word, whatever the table.
 LEAST_SEEN = 2
-# Longest common context in words, and longest rare one.
+# Longest context in words.
 DEPTH = 3
-RARE_DEPTH = 1
 # What each listed symbol's count gives up to the shorter context's distribution, in observations.
 DISCOUNT = 0.8
 # Weight of unseen words in the base distribution, in observations for each word.
 ADDED = 0.1
-# Log-likelihood a context must gain over its suffix, in nats.
+# Log-likelihood a context must gain over its suffix, in nats; a rare one for each of its words, as the longer they are the
+# more there are that gain a little by chance.
 GAIN = 3.0
 # Sequence end, also what stands before the first word. Words never hold white space.
 END = b"\n"
@@ -42,6 +44,8 @@ TOKEN_BYTES = 1 << 20
 # Occurrences of rare contexts a task holds before it hands them on, and training tokens for each group of contexts.
 HELD_RARE = 1 << 18
 GROUP_TOKENS = 1 << 20
+# Parts the large shuffles are done in, one after the other, so that less lies on disk at once.
+ROUNDS = 3
 
 
 def held_out(key: Column) -> Column:
@@ -135,8 +139,15 @@ class Tree:
         out[open_] += self.log_p[find(self.words, word[open_])[0]]
         return out
 
-    def boundary(self, before: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Positions whose state ends before a context that is not common, no longer than ``before``; its key, and the state's node."""
+    def state(self, before: list[np.ndarray], word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Node of every token's longest suffix state, and whether the token is listed there."""
+        node, listed = np.zeros(len(word), np.int64), np.zeros(len(word), bool)
+        for level, (at, found) in zip(self.levels, self.walk(before)):
+            node[at], listed[at] = found, find(level.symbols, mixed(found, word[at]))[1]
+        return node, listed
+
+    def boundary(self, before: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        """Positions whose state ends before a context that is not common; its key, the state's node and its length."""
         node, length = np.zeros(len(before[0]), np.int64), np.zeros(len(before[0]), np.int64)
         for at, found in self.walk(before):
             node[at], length[at] = found, length[at] + 1
@@ -146,7 +157,7 @@ class Tree:
             key[here] = mixed(node[here], word[here])
             fits[here] = ~find(self.levels[back].tested, key[here])[1] if back < len(self.levels) else True
         at = np.flatnonzero(fits)
-        return at, key[at], node[at]
+        return at, key[at], node[at], length[at]
 
 
 class Sequences:
@@ -156,11 +167,12 @@ class Sequences:
         self.hashes, self.flat, self.lengths = hashes, flat, lengths
         self.tokens = hashes[flat]
         inside = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        self.before = []
+        self.places = []  # of the words before, -1 beyond the start
         for back in range(1, depth + 1):
-            shifted = np.concatenate([np.zeros(min(back, len(flat)), np.uint64), self.tokens[:-back or None]])[:len(flat)]
-            shifted = np.where(inside >= back, shifted, np.uint64(0))
-            self.before.append(np.where(inside == back - 1, hashes[0], shifted))
+            shifted = np.concatenate([np.zeros(min(back, len(flat)), flat.dtype), flat[:-back or None]])[:len(flat)]
+            self.places.append(np.where(inside >= back, shifted, np.where(inside == back - 1, 0, -1)))
+        known = np.append(hashes, np.uint64(0))
+        self.before = [known[place] for place in self.places]
 
     def training(self, held: np.ndarray, depth: int) -> Sequences:
         """The documents that are learnt from."""
@@ -203,8 +215,8 @@ def tokenise(rows: DataFrame) -> DataFrame:
     schema = f"docs array<{key_type(rows)}>, held array<boolean>, lengths array<bigint>, hashes binary, flat binary"
     # Task and row in it, so that 20 more bits number the documents of a row.
     number = F.monotonically_increasing_id()
-    return cut(rows.mapInArrow(run, schema).withColumn(
-        "slice", F.shiftleft(F.shiftright(number, 33), 20) + number.bitwiseAND(F.lit((1 << 20) - 1))))
+    return rows.mapInArrow(run, schema).withColumn(
+        "slice", F.shiftleft(F.shiftright(number, 33), 20) + number.bitwiseAND(F.lit((1 << 20) - 1)))
 
 
 def read_tokens(batches, depth: int):
@@ -220,15 +232,16 @@ def read_tokens(batches, depth: int):
 
 
 def vocabulary(tokens: DataFrame) -> DataFrame:
-    """``word, n``: hash and count of all training tokens, ends included; counted in the task before anything is shuffled."""
+    """``word, n``: hash of all tokens, ends included, and their count in training, which is 0 for those held out alone.
+
+    Counted in the task before anything is shuffled.
+    """
     def run(batches):
         held, size = [], 0
         for _, seq, marks in read_tokens(batches, 0):
             seq = seq.training(marks, 0)
-            counts = np.bincount(seq.flat, minlength=len(seq.hashes))
-            used = np.flatnonzero(counts)
-            held.append((seq.hashes[used], counts[used]))
-            size += len(used)
+            held.append((seq.hashes, np.bincount(seq.flat, minlength=len(seq.hashes))))
+            size += len(seq.hashes)
             if size > HELD_PAIRS:
                 held = [combined(held)]
                 size = len(held[0][0])
@@ -250,11 +263,11 @@ def vocabulary(tokens: DataFrame) -> DataFrame:
     return cut(parts.groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def next_counts(tokens: DataFrame, tree: Tree, candidates: np.ndarray, listed: float) -> tuple[np.ndarray, ...]:
-    """For every candidate: how often it occurs, and its next symbols with at least ``listed`` occurrences.
+def next_counts(tokens: DataFrame, tree: Tree, candidates: np.ndarray) -> DataFrame:
+    """``context, word, n``: for every candidate, all its next symbols and how often they follow it in training.
 
-    ``candidates`` are sorted keys (node of the suffix, word before it). All training text is counted. Only symbols
-    that are listed words can reach ``listed``; others count for the context alone.
+    ``candidates`` are sorted keys (node of the suffix, word before it). All text is read; a symbol that follows only in
+    documents held out has the count 0.
     """
     depth = len(tree.levels) + 1
 
@@ -272,21 +285,20 @@ def next_counts(tokens: DataFrame, tree: Tree, candidates: np.ndarray, listed: f
 
     def run(batches):
         held, size = [], 0
-        for _, seq, marks in read_tokens(batches, 0):
-            seq = seq.training(marks, depth)
+        for _, seq, marks in read_tokens(batches, depth):
             at, node = np.arange(len(seq.tokens)), np.zeros(len(seq.tokens), np.int64)
             if depth > 1:
                 at, node = tree.walk(seq.before)[-1]
             word = seq.before[depth - 1][at]
             place, known = find(candidates, mixed(node, word))
             known &= word != 0
-            context, symbol = place[known], seq.flat[at[known]]
-            is_listed = find(tree.words, seq.hashes)[1]
-            pairs, counts = np.unique(context * (len(seq.hashes) + 1) + np.where(is_listed[symbol], symbol, len(seq.hashes)),
-                                      return_counts=True)
-            symbol = pairs % (len(seq.hashes) + 1)
-            hashes = np.append(seq.hashes, np.uint64(0))[symbol]
-            keys = np.stack([pairs // (len(seq.hashes) + 1), hashes.view(np.int64)], axis=1)
+            # Pairs in order, the mark in the last bit.
+            pairs = place[known] * len(seq.hashes) + seq.flat[at[known]]
+            pairs = np.sort((pairs << 1) + np.repeat(marks, seq.lengths)[at[known]])
+            first = np.flatnonzero(np.append(True, pairs[1:] >> 1 != pairs[:-1] >> 1)[:len(pairs)])
+            counts = np.add.reduceat(1 - (pairs & 1), first) if len(first) else pairs
+            pairs = pairs[first] >> 1
+            keys = np.stack([pairs // len(seq.hashes), seq.hashes[pairs % len(seq.hashes)].view(np.int64)], axis=1)
             held.append((np.ascontiguousarray(keys, np.int64), counts.astype(np.int64)))
             size += len(keys)
             if size > HELD_PAIRS:
@@ -299,72 +311,118 @@ def next_counts(tokens: DataFrame, tree: Tree, candidates: np.ndarray, listed: f
             yield batch(held)
 
     parts = tokens.select("held", "lengths", "hashes", "flat").mapInArrow(run, "context int, word long, n long")
-    pairs = cut(parts.groupBy("context", "word").agg(F.sum("n").alias("n")))
-    totals = pairs.groupBy("context").agg(F.sum("n").alias("n")).toArrow()
-    size = np.zeros(len(candidates), np.int64)
-    size[np.asarray(totals["context"])] = np.asarray(totals["n"])
-    kept = pairs.filter((F.col("n") >= listed) & (F.col("word") != 0)).toArrow()
-    return size, np.asarray(kept["context"], np.int64), np.asarray(kept["word"], np.int64).view(np.uint64), np.asarray(kept["n"], np.int64)
+    return parts.groupBy("context", "word").agg(F.sum("n").alias("n"))
 
 
-def grow(tree: Tree, candidates: np.ndarray, suffix: np.ndarray, size: np.ndarray, context: np.ndarray, symbol: np.ndarray,
-         n: np.ndarray, suffix_log_p, first_node: int) -> tuple[Level, np.ndarray]:
-    """The candidates that diverge enough from their suffixes, as a level; and which candidates these are.
+def divergence(context: np.ndarray, n: np.ndarray, p_suffix: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+    """How much contexts diverge from their suffixes; log10 probability of listed symbols, and by context that of the rest.
 
     A listed symbol's probability is its count less ``DISCOUNT``, and what all gave up is dealt out as the suffix does;
     the rest goes to all other symbols in proportion to the suffix's probabilities, so every distribution sums to one.
     The divergence of a context is the log-likelihood of its own next symbols over that under its suffix, where each
     occurrence is judged by the counts without it, so that symbols seen once speak against a context.
+    :func:`common_symbols` says the same of common contexts, in columns.
     """
-    p_suffix = 10.0 ** suffix_log_p(suffix[context], symbol)
-    sums = lambda x: np.bincount(context, weights=x, minlength=len(candidates)).astype(float)
+    sums = lambda x: np.bincount(context, weights=x, minlength=len(size)).astype(float)
     kinds, total = sums(np.ones(len(n))), np.maximum(size, 1)
     p = (n - DISCOUNT + DISCOUNT * kinds[context] * p_suffix) / total[context]
     others = np.where(n > 1, kinds[context], kinds[context] - 1)
     p_without = (np.maximum(n - 1 - DISCOUNT, 0) + DISCOUNT * others * p_suffix) / np.maximum(total[context] - 1, 1)
-    seen, mass, mass_suffix = sums(n), np.minimum(sums(p), 1 - 1e-9), np.minimum(sums(p_suffix), 1 - 1e-9)
     gain = sums(n * np.log(np.maximum(p_without, 1e-300) / p_suffix))
-    gain += np.maximum(size - seen, 0) * np.log((1 - mass) / (1 - mass_suffix))
-    keep = (gain > GAIN) & (size > 0)
-    number = np.full(len(candidates), -1, np.int64)
-    number[keep] = first_node + np.arange(keep.sum())
-    used = keep[context]
-    keys = mixed(number[context[used]], symbol[used])
-    order = np.argsort(keys)
-    log_rest = np.zeros(first_node + int(keep.sum()))
-    log_rest[number[keep]] = np.log10((1 - mass[keep]) / (1 - mass_suffix[keep]))
-    return Level(candidates[keep], number[keep], keys[order], np.log10(p[used])[order], log_rest, candidates, suffix[keep], first_node), keep
+    rest = (1 - np.minimum(sums(p), 1 - 1e-9)) / (1 - np.minimum(sums(p_suffix), 1 - 1e-9))
+    gain += np.maximum(size - sums(n), 0) * np.log(rest)
+    return gain, np.log10(p), np.log10(rest)
+
+
+def common_symbols(pairs: DataFrame, suffixes: DataFrame, suffix: np.ndarray) -> tuple[DataFrame, str, np.ndarray, np.ndarray]:
+    """Counted symbols of common contexts with ``log_p`` and ``log_suffix``, and their folder; the contexts to keep, and their rest.
+
+    ``suffixes`` has ``node, word, log_p`` of all symbols of the contexts one word shorter. Every symbol seen in training
+    is listed, so nothing is left over but what was never seen. Only a few sums a context reach the driver.
+    """
+    spark, kinds, size = pairs.sparkSession, np.zeros(len(suffix), np.int64), np.zeros(len(suffix), np.int64)
+    small = lambda **columns: F.broadcast(spark.createDataFrame(pa.table(
+        {"context": pa.array(np.arange(len(suffix)), pa.int32()), **columns})))
+    joined = pairs.join(small(node=suffix.astype(np.int32)), "context").join(
+        suffixes.withColumnRenamed("log_p", "log_suffix"), ["node", "word"]).select("context", "word", "n", "log_suffix")
+    folder = write_cut(joined)
+    counted = spark.read.schema(joined.schema).parquet(folder)
+    found = counted.groupBy("context").agg(F.sum("n").alias("n"), F.sum((F.col("n") > 0).cast("long")).alias("kinds")).toArrow()
+    at = np.asarray(found["context"])
+    kinds[at], size[at] = np.asarray(found["kinds"]), np.asarray(found["n"])
+    n, share, seen = F.col("n"), F.pow(F.lit(10.0), F.col("log_suffix")), F.col("n") > 0
+    others = F.col("kinds") - F.when(n > 1, 0).otherwise(1)
+    p = (n - DISCOUNT + DISCOUNT * F.col("kinds") * share) / F.col("size")
+    without = (F.greatest(n - 1 - DISCOUNT, F.lit(0.0)) + DISCOUNT * others * share) / F.greatest(F.col("size") - 1, F.lit(1))
+    symbols = counted.join(small(size=np.maximum(size, 1), kinds=kinds), "context")
+    sums = symbols.filter(seen).groupBy("context").agg(
+        F.sum(n * F.log(F.greatest(without, F.lit(1e-300)) / share)).alias("gain"), F.sum(p).alias("mass"),
+        F.sum(share).alias("mass_suffix")).toArrow()
+    at, gain, rest = np.asarray(sums["context"]), np.zeros(len(suffix)), np.zeros(len(suffix))
+    gain[at] = np.asarray(sums["gain"])
+    mass, mass_suffix = (np.minimum(np.asarray(sums[name], float), 1 - 1e-9) for name in ("mass", "mass_suffix"))
+    rest[at] = np.log10((1 - mass) / (1 - mass_suffix))
+    symbols = symbols.select("context", "word", "n", "log_suffix", F.when(seen, F.log10(p)).alias("log_p"))
+    return symbols, folder, (gain > GAIN) & (size > 0), rest
 
 
 def fit(tokens_table: DataFrame, words_table: DataFrame) -> Tree:
-    """The common contexts over all training text, one length after the other.
+    """The common contexts over all training text, with the symbols that go to all tasks."""
+    return grown(tokens_table, words_table)[0]
+
+
+def grown(tokens_table: DataFrame, words_table: DataFrame) -> tuple[Tree, DataFrame, list[str]]:
+    """The common contexts over all training text, one length after the other; ``node, word, log_p`` of other symbols, and
+    the folders these lie in.
 
     Contexts of one word are the frequent words and the start. A longer one is a retained context with a word before
-    it that occurs often enough, which the counts of that word's own next symbols bound from above.
+    it that occurs often enough, which the counts of that word's own next symbols bound from above. All symbols that
+    were seen after a context are counted and listed with it. The tree holds the listed ones that are frequent; the rest
+    comes as a table, and in it also the symbols that follow a context or occur in held-out documents alone.
     """
-    sizes = words_table.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    tokens, size = int(sizes["n"] or 0), int(sizes["v"])
-    frequent = words_table.filter(F.col("n") >= LISTED_SHARE * tokens).select(F.col("word").alias("w"), "n").toArrow()
+    sizes = words_table.agg(F.sum("n").alias("n"), F.sum((F.col("n") > 0).cast("long")).alias("v")).first()
+    tokens, size = int(sizes["n"] or 0), int(sizes["v"] or 0)
+    least = max(LISTED_SHARE * tokens, 1)
+    frequent = words_table.filter(F.col("n") >= least).select(F.col("word").alias("w"), "n").toArrow()
     hashes, counts = np.asarray(frequent["w"], np.int64).view(np.uint64), np.asarray(frequent["n"], np.int64)
     order = np.argsort(hashes)
     tree = Tree(tokens, size, hashes[order], np.zeros(0))
     tree.log_p = tree.log_unseen(counts[order])
+    symbols = words_table.select(F.lit(0).alias("node"), "word", "n", F.log10(
+        (F.col("n") + ADDED) / F.lit(tokens + ADDED * (size + 1))).alias("log_p"))
+    unlisted = symbols.filter(F.col("n") < least).drop("n")
     if not tokens:
-        return tree
+        return tree, unlisted, []
     starts = np.sort(hashes[counts >= CONTEXT_SHARE * tokens])
     root = np.zeros(len(starts), np.int64)
     keys = mixed(root, starts)
     order = np.argsort(keys)
     candidates, suffix, names = keys[order], root, [(int(w),) for w in starts[order]]
 
-    first_node = 1
+    first_node, folders = 1, []
     while len(candidates) and len(tree.levels) < DEPTH:
-        found = next_counts(tokens_table, tree, candidates, LISTED_SHARE * tokens)
-        level, keep = grow(tree, candidates, suffix, *found, tree.given, first_node)
+        scored, folder, keep, rest = common_symbols(next_counts(tokens_table, tree, candidates), symbols.drop("n"), suffix)
+        folders.append(folder)
+        release(words_table.sparkSession)
+        number = np.full(len(candidates), -1, np.int64)
+        number[keep] = first_node + np.arange(keep.sum())
+        kept = F.broadcast(words_table.sparkSession.createDataFrame(pa.table({
+            "context": pa.array(np.flatnonzero(keep), pa.int32()), "node": number[keep].astype(np.int32), "rest": rest[keep]})))
+        symbols = scored.join(kept, "context").select(
+            "node", "word", "n", F.coalesce("log_p", F.col("log_suffix") + F.col("rest")).alias("log_p"))
+        unlisted = unlisted.unionByName(symbols.filter(F.col("n") < least).drop("n"))
+        found = scored.filter(F.col("n") >= least).select("context", "word", "n", "log_p").toArrow()
+        context, n = np.asarray(found["context"], np.int64), np.asarray(found["n"], np.int64)
+        symbol, log_p = np.asarray(found["word"], np.int64).view(np.uint64), np.asarray(found["log_p"], float)
+        used = keep[context]
+        keys = mixed(number[context[used]], symbol[used])
+        order = np.argsort(keys)
+        log_rest = np.zeros(first_node + int(keep.sum()))
+        log_rest[number[keep]] = rest[keep]
+        level = Level(candidates[keep], number[keep], keys[order], log_p[used][order], log_rest, candidates, suffix[keep], first_node)
 
         # A word before a retained context: the pair must be among the listed next symbols of that word or context.
         ids = {name: node for name, node in zip([n for n, k in zip(names, keep) if k], level.nodes.tolist())}
-        size, context, symbol, n = found
         longer = {}
         for at in np.flatnonzero(n >= CONTEXT_SHARE * tokens).tolist():
             name = names[context[at]] + (int(symbol[at]),)
@@ -377,25 +435,114 @@ def fit(tokens_table: DataFrame, words_table: DataFrame) -> Tree:
         keys = mixed(suffix, np.array([name[0] for name in names], np.uint64))
         order = np.argsort(keys)
         candidates, suffix, names = keys[order], suffix[order], [names[at] for at in order.tolist()]
-    return tree
+    return tree, unlisted, folders
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of what was written and is not used any more.
+
+    Its listeners hold on to the last query until the next one comes.
+    """
+    spark.range(1).collect()
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def wanted(tree: Tree, seq: Sequences, groups: int) -> tuple[np.ndarray, ...]:
+    """What a row of the token table looks up: group, node and place of the word, in order of the groups.
+
+    These are words that are not listed, and symbols not listed with the state they follow. With them come the node of every
+    position, and whether its symbol is listed there.
+    """
+    words_known = find(tree.words, seq.hashes)[1]
+    node, listed = tree.state(seq.before, seq.tokens)
+    listed |= (node == 0) & words_known[seq.flat]
+    keys = np.unique(np.concatenate([np.flatnonzero(~words_known), (node * len(seq.hashes) + seq.flat)[~listed]]))
+    nodes, places = keys // len(seq.hashes), keys % len(seq.hashes)
+    group = (seq.hashes[places].view(np.int64) ^ (nodes * SPREAD_NODES)) % groups
+    order = np.argsort(group, kind="stable")
+    return group[order], nodes[order], places[order], node, listed
+
+
+# Tells the groups of one word at several nodes apart; products with a node stay below 63 bits.
+SPREAD_NODES = 0x9E3779B97
+
+
+def looked_up(tokens: DataFrame, tree: Tree, unlisted: DataFrame, groups: int) -> DataFrame:
+    """``slice, answers``: for each row of the token table, log10 probabilities of what :func:`wanted` says, in that order.
 
+    A group holds all requests for its symbols, each at most once a row of the token table; no symbol in it has more than
+    ``LISTED_SHARE`` of the training tokens.
+    """
+    depth = max(len(tree.levels), 1)
 
-RARE = (("contexts", np.uint64), ("nodes", np.int32), ("sizes", np.int32), ("symbols", np.int32), ("docs", np.int64))
+    def ask(batches):
+        for row, seq, _ in read_tokens(batches, depth):
+            group, nodes, places, *_ = wanted(tree, seq, groups)
+            names, bounds = np.unique(group, return_index=True)
+            parts = [slice(*x) for x in zip(bounds, np.append(bounds[1:], len(group)))]
+            nodes, found = nodes.astype(np.int32), seq.hashes[places]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names.astype(np.int32)), pa.array([row.column("slice")[0].as_py()] * len(names), pa.int64()),
+                 pa.array([planes(nodes[x]) for x in parts], pa.binary()), pa.array([planes(found[x]) for x in parts], pa.binary())],
+                ["bucket", "slice", "nodes", "words"])
+
+    def answer(requests: pa.Table, symbols: pa.Table) -> pa.Table:
+        keys = mixed(np.asarray(symbols["node"]), np.asarray(symbols["word"], np.int64).view(np.uint64))
+        order = np.argsort(keys)
+        keys, log_p, out = keys[order], np.asarray(symbols["log_p"])[order], []
+        for nodes, found in zip(requests["nodes"].to_pylist(), requests["words"].to_pylist()):
+            out.append(planes(log_p[find(keys, mixed(numbers(nodes, np.int32), numbers(found, np.uint64)))[0]]))
+        return pa.table({"slice": requests["slice"], "bucket": requests["bucket"], "answer": pa.array(out, pa.binary())})
+
+    requests = tokens.select("slice", "held", "lengths", "hashes", "flat").mapInArrow(
+        ask, "bucket int, slice long, nodes binary, words binary")
+    symbols = unlisted.withColumn("bucket", F.pmod(
+        F.col("word").bitwiseXOR(F.col("node").cast("long") * F.lit(SPREAD_NODES)), F.lit(groups)).cast("int"))
+    answers = requests.groupBy("bucket").cogroup(symbols.groupBy("bucket")).applyInArrow(
+        answer, "slice long, bucket int, answer binary")
+    answers = answers.groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("bucket", "answer"))).alias("answers"))
+    return answers.select("slice", F.col("answers.answer").alias("answers"))
+
+
+def answers_of(row: pa.RecordBatch) -> np.ndarray:
+    found = [numbers(x, np.float64) for x in row.column("answers")[0].as_py() or []]
+    return np.concatenate(found) if found else np.zeros(0)
+
+
+# A word is its place among the listed ones, UNLISTED with its hash in ``hashes``, or NONE beyond the start.
+UNLISTED, NONE = -1, -2
+RARE = (("contexts", np.uint64), ("nodes", np.int32), ("sizes", np.int32), ("symbols", np.int32), ("docs", np.int64),
+        ("log_p", np.float64), *[(f"before{n}", np.int32) for n in range(1, DEPTH)], ("hashes", np.uint64))
 RARE_SCHEMA = ", ".join(["bucket int", *[f"{name} binary" for name, _ in RARE]])
 
 
+def bucket_of(context: np.ndarray, buckets: int) -> np.ndarray:
+    """Group of each context."""
+    return ((context * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(33)).astype(np.int64) % buckets
+
+
 def rare_rows(held: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch:
-    """Occurrences ``(context, node, symbol, document)`` as one row a group of contexts, sorted by context."""
-    context, node, symbol, doc = (np.concatenate(x) for x in zip(*held))
-    bucket = ((context * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(33)).astype(np.int64) % buckets
+    """Occurrences as one row a group of contexts, sorted by context.
+
+    An occurrence is ``(context, node, symbol, document)``; then may follow the symbol's log10 probability at the node, 0 if
+    the tree has it, the ``DEPTH - 1`` words before the context, and the hashes of the symbol and these words.
+    """
+    context, node, symbol, doc, *more = (np.concatenate(x) for x in zip(*held))
+    if not more:
+        more = [np.zeros(len(context)), *[np.full(len(context), NONE, np.int32)] * (DEPTH - 1), *[np.zeros(len(context), np.uint64)] * DEPTH]
+    bucket = bucket_of(context, buckets)
     order = np.lexsort((context, bucket))
-    context, node, symbol, doc, bucket = (x[order] for x in (context, node, symbol, doc, bucket))
+    context, node, symbol, doc, log_p, *more, bucket = (x[order] for x in (context, node, symbol, doc, *more, bucket))
+    before, hashes = more[:DEPTH - 1], more[DEPTH - 1:]
     names, bounds = np.unique(bucket, return_index=True)
     rows = []
     for start, end in zip(bounds, np.append(bounds[1:], len(bucket))):
         first = start + np.flatnonzero(np.append(True, context[start + 1:end] != context[start:end - 1]))
+        words_here = [x[start:end] for x in (symbol, *before)]
+        strays = np.concatenate([h[start:end][w == UNLISTED] for w, h in zip(words_here, hashes)])
         rows.append((context[first], node[first], np.diff(np.append(first, end)).astype(np.int32),
-                     symbol[start:end], doc[start:end]))
+                     words_here[0], doc[start:end], log_p[start:end], *words_here[1:], strays))
     return pa.RecordBatch.from_arrays(
         [pa.array(names.astype(np.int32)), *[pa.array([planes(x) for x in column], pa.binary()) for column in zip(*rows)]],
         ["bucket", *[name for name, _ in RARE]])
@@ -407,33 +554,56 @@ def rare_deltas(tree: Tree, table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     One value for each context and document it occurs in. Added up over the group there would be fewer in a small corpus, but
     their number would grow with documents times groups until it is the same.
 
-    Contexts of at least ``LEAST_SEEN`` occurrences whose next symbols diverge enough become nodes below the common ones;
-    the test and the smoothing are those of :func:`grow`. A document's number is even if it is learnt from.
+    Contexts whose next symbols diverge enough become nodes below the common ones, and so do the longer ones that end with
+    them, all of which are in the group; the test and the smoothing are those of :func:`divergence`. With contexts of one word
+    symbols are listed from ``LEAST_SEEN`` occurrences on, with longer ones all that were seen, as with common contexts.
+    A document's number is even if it is learnt from.
     """
-    columns = {name: np.concatenate([numbers(x, kind) for x in table.column(name).to_pylist()]) for name, kind in RARE}
-    context, symbol, doc = np.repeat(columns["contexts"], columns["sizes"]), columns["symbols"], columns["docs"]
-    candidates, at = np.unique(context, return_inverse=True)
-    suffix = np.zeros(len(candidates), np.int64)
-    suffix[np.searchsorted(candidates, columns["contexts"])] = columns["nodes"]
-    learnt = (doc & 1) == 0
-    size = np.bincount(at, weights=learnt, minlength=len(candidates)).astype(np.int64)
-    pair, place = np.unique(at * (len(tree.words) + 1) + symbol, return_inverse=True)
-    n = np.bincount(place, weights=learnt, minlength=len(pair)).astype(np.int64)
-    used = (n >= LEAST_SEEN) & (pair % (len(tree.words) + 1) < len(tree.words))
-    pair, n, number = pair[used], n[used], np.where(used, np.cumsum(used) - 1, -1)
-    own, word = pair // (len(tree.words) + 1), tree.words[pair % (len(tree.words) + 1)]
-    level, keep = grow(tree, candidates, suffix, size, own, word, n, tree.given, 0)
-    node = np.full(len(candidates), -1, np.int64)
-    node[keep] = level.nodes
-    found, listed = find(level.symbols, mixed(node[own], word))
-    listed &= keep[own]
-    gained = (level.log_p[found] if len(level.log_p) else np.zeros(len(own))) - tree.given(suffix[own], word)
-    gained = np.where(listed, gained, 0.0)
-    chosen = np.flatnonzero(keep[at])
-    pairs = number[place[chosen]]
-    delta = np.where(pairs >= 0, gained[pairs] if len(gained) else 0.0, level.log_rest[node[at[chosen]]])
-    order = np.lexsort((doc[chosen], at[chosen]))
-    own, docs, delta = at[chosen][order], doc[chosen][order], delta[order]
+    listed = np.append(tree.words, np.zeros(2, np.uint64))  # the last two for UNLISTED and NONE
+    columns = [[numbers(x, kind) for x in table.column(name).to_pylist()] for name, kind in RARE]
+    spoken = [[listed[x] for x in columns[at]] for at in (3, *range(6, 5 + DEPTH))]
+    for at, strays in enumerate(columns[-1]):
+        start = 0
+        for codes, hashes in zip((columns[3][at], *[c[at] for c in columns[6:-1]]), [x[at] for x in spoken]):
+            places = np.flatnonzero(codes == UNLISTED)
+            hashes[places] = strays[start:start + len(places)]
+            start += len(places)
+    contexts, nodes, sizes, _, doc, log_p = (np.concatenate(x) for x in columns[:6])
+    symbol, *before = (np.concatenate(x) for x in spoken)
+    del columns, spoken
+    own, node = np.unique(np.repeat(contexts, sizes), return_inverse=True)[1], np.repeat(nodes, sizes)
+    length = 1 + sum((node >= level.first).astype(np.int64) for level in tree.levels)  # of the contexts, in words
+    length, context, learnt, kinds = np.broadcast_to(length, len(own)), own, (doc & 1) == 0, np.unique(symbol, return_inverse=True)[1]
+    width, live, gained = int(kinds.max(initial=0)) + 1, np.arange(len(own)), np.zeros(len(own))
+    for step in range(DEPTH):
+        size = np.bincount(own, weights=learnt[live]).astype(np.int64)
+        pair, first, place = np.unique(own * width + kinds[live], return_index=True, return_inverse=True)
+        n = np.bincount(place, weights=learnt[live], minlength=len(pair)).astype(np.int64)
+        if not step:  # the common state's probabilities, where the tree has them
+            inside = first[log_p[first] == 0]
+            known = np.zeros(len(own))
+            known[inside] = tree.given(node[inside].astype(np.int64), symbol[inside])
+            log_p = np.where(log_p == 0, known[first][place], log_p)
+        used = np.flatnonzero(n >= (1 if step else np.where(node[first] == 0, LEAST_SEEN, 1)))
+        number = np.full(len(pair), -1)
+        number[used] = np.arange(len(used))
+        gain, log_listed, log_rest = divergence(own[first[used]], n[used], 10.0 ** log_p[live[first[used]]], size)
+        kept = gain[own] > GAIN * (length[live] + step)
+        own, live, number = own[kept], live[kept], number[place[kept]]
+        new = log_p[live] + log_rest[own]
+        new[number >= 0] = log_listed[number[number >= 0]]
+        gained[live] += new - log_p[live]
+        log_p[live] = new
+        if step < DEPTH - 1:
+            on = before[step][live] != 0
+            own, live = own[on], live[on]
+            word = np.unique(before[step][live], return_inverse=True)[1]
+            own = np.unique(own * (int(word.max(initial=0)) + 1) + word, return_inverse=True)[1]
+        if not len(live):
+            break
+    chosen = np.flatnonzero(gained)
+    order = chosen[np.lexsort((doc[chosen], context[chosen]))]
+    own, docs, delta = context[order], doc[order], gained[order]
     first = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (docs[1:] != docs[:-1]))[:len(own)])
     return docs[first], np.add.reduceat(delta, first) if len(first) else delta
 
@@ -447,76 +617,104 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     training. Repeated rows come out repeated, and count as often in training; other columns are not looked at.
     Without training documents every token is unknown and ``train_tokens`` is 0.
 
-    Texts are read once, into a table of hashed tokens. Listed words, common contexts and their listed symbols are bounded
-    in number (see the constants above) and go to the tasks. A document's other words are joined to the counted vocabulary,
-    once each; they are never listed with a context, so their base probability adds the same to both scores. Where a token's
-    state ends before a context that is not common and has at most ``RARE_DEPTH`` words, its occurrence goes to the group of that context, which counts it, decides
-    if it is a node, and hands back what it adds to each document. No such context holds more than ``CONTEXT_SHARE`` of the
-    tokens, so no group is hot, and their number grows with the input.
+    Texts are read once, into a table of hashed tokens. Frequent words, common contexts and their frequent symbols are bounded
+    in number (see the constants above) and go to the tasks. Each row of the token table looks up the probabilities of its other
+    words and symbols, once each. Where a token's state ends before a context that is not common, its occurrence goes to the
+    group of that context with the words before it; the group counts the context and all longer ones, decides which are nodes, and
+    hands back what they add to each document. The number of such contexts grows with the input.
     """
     rows = texts(docs, key, text).withColumn("held_out", held_out(F.col("doc_id")))
-    tokens = tokenise(rows)
+    spark = rows.sparkSession
+    plain = write_cut(tokenise(rows))
+    tokens = spark.read.parquet(plain)
     known = vocabulary(tokens)
-    tree = fit(tokens, known)
+    release(spark)
+    tree, unlisted, folders = grown(tokens, known)
     depth = max(len(tree.levels), 1)
     buckets = tree.tokens // GROUP_TOKENS + 1
-
-    def run(batches):
+    kept = ["slice", "docs", "held", "lengths", "hashes", "flat"]
+    release(spark)
+    answers = write_cut(looked_up(tokens, tree, unlisted, buckets))
+    for folder in folders:
+        delete_folder(spark, folder)
+    del known, unlisted
+    release(spark)
+
+    def enriched(batches):
         for row, seq, held in read_tokens(batches, depth):
-            place, listed = find(tree.words, seq.hashes)
-            base = np.where(listed, tree.log_p[place] if len(tree.log_p) else 0.0, 0.0)[seq.flat]
-            scores = tree.score(base, seq.before, seq.tokens)
+            _, nodes, places, node, listed = wanted(tree, seq, buckets)
+            found, (at, spoken) = answers_of(row), find(tree.words, seq.hashes)
+            base = np.where(spoken, tree.log_p[at] if len(tree.log_p) else 0.0, 0.0)
+            base[places[nodes == 0]] = found[nodes == 0]
+            scores = tree.score(base[seq.flat], seq.before, seq.tokens)
+            keys = nodes * len(seq.hashes) + places
+            order, other = np.argsort(keys), np.flatnonzero(~listed)
+            keys, found = keys[order], found[order]
+            scores[other] = found[find(keys, node[other] * len(seq.hashes) + seq.flat[other])[0]]
+            known = (base > tree.log_unseen(0.5))[seq.flat] if tree.tokens else np.zeros(len(seq.flat))
             doc = np.repeat(np.arange(len(held)), seq.lengths)
             total = lambda x: np.bincount(doc, weights=x, minlength=len(held))
-            rare = np.flatnonzero(~listed[seq.flat])
-            pairs, counts = np.unique(doc[rare] * len(seq.hashes) + seq.flat[rare], return_counts=True)
-            bounds = np.searchsorted(pairs // len(seq.hashes), np.arange(len(held) + 1))
-            others = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays(
-                [pa.array(seq.hashes[pairs % len(seq.hashes)].view(np.int64)), pa.array(counts.astype(np.int64))], ["word", "times"]))
-            number = pa.array(row.column("slice")[0].as_py() + np.zeros(len(held), np.int64))
+            sums = {"n_known": total(known).astype(np.int64), "base_score": total(base[seq.flat]), "common_score": total(scores)}
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), pa.array(x)) for x in sums.values()]
             yield pa.RecordBatch.from_arrays(
-                [number, pa.array(np.arange(len(held))), row.column("docs").flatten(), row.column("held").flatten(),
-                 pa.array(seq.lengths), pa.array(total(listed[seq.flat]).astype(np.int64)), pa.array(total(base)),
-                 pa.array(total(scores)), others],
-                ["slice", "at", "doc_id", "held_out", "n_tokens", "n_listed", "base", "score", "others"])
-
-    def occurrences(batches):
-        held, size = [], 0
-        for row, seq, marks in read_tokens(batches, RARE_DEPTH):
-            place, listed = find(tree.words, seq.hashes)
-            symbols = np.where(listed, place, len(tree.words))
-            at, context, node = tree.boundary(seq.before)
-            doc = np.repeat(np.arange(len(marks)), seq.lengths)[at]
-            # A document's number in the task's rows: row of the token table, place in it, and the mark.
-            doc = (row.column("slice")[0].as_py() << 21) + (doc << 1) + marks[doc]
-            held.append((context, node.astype(np.int32), symbols[seq.flat[at]].astype(np.int32), doc))
-            size += len(at)
-            if size > HELD_RARE:
+                [*[row.column(name) for name in kept], pa.array([planes(np.diff(keys, prepend=0))], pa.binary()),
+                 pa.array([planes(found)], pa.binary()), *lists], [*kept, "keys", "log_p", *sums])
+
+    def occurrences(part):
+        def of(batches):
+            held, size = [], 0
+            for row, seq, marks in read_tokens(batches, DEPTH):
+                at, context, node, length = tree.boundary(seq.before)
+                here = np.flatnonzero(bucket_of(context, buckets) % ROUNDS == part)
+                at, context, node, length = at[here], context[here], node[here], length[here]
+                place, listed = find(tree.words, seq.hashes)
+                code = np.append(np.where(listed, place, UNLISTED), NONE).astype(np.int32)
+                hashes = np.append(seq.hashes, np.uint64(0))
+                back = np.stack([*seq.places, *[np.full(len(seq.flat), -1)] * (DEPTH - 1)])
+                spoken = [seq.flat[at], *[back[length + step, at] for step in range(1, DEPTH)]]
+                keys, found = np.cumsum(numbers(row.column("keys")[0].as_py(), np.int64)), numbers(row.column("log_p")[0].as_py(), np.float64)
+                place, other = find(keys, node * len(seq.hashes) + spoken[0])
+                log_p = np.where(other, found[place] if len(found) else 0.0, 0.0)
+                doc = np.repeat(np.arange(len(marks)), seq.lengths)[at]
+                # A document's number in the task's rows: row of the token table, place in it, and the mark.
+                doc = (row.column("slice")[0].as_py() << 21) + (doc << 1) + marks[doc]
+                held.append((context, node.astype(np.int32), code[spoken[0]], doc, log_p,
+                             *[code[x] for x in spoken[1:]], *[hashes[x] for x in spoken]))
+                size += len(at)
+                if size > HELD_RARE:
+                    yield rare_rows(held, buckets)
+                    held, size = [], 0
+            if size:
                 yield rare_rows(held, buckets)
-                held, size = [], 0
-        if size:
-            yield rare_rows(held, buckets)
+        return of
 
     def deltas(table: pa.Table) -> pa.Table:
         numbered, sums = rare_deltas(tree, table)
         return pa.table({"tag": numbered >> 1, "rare_context": sums})
 
-    local = cut(tokens.mapInArrow(run, f"slice long, at long, doc_id {key_type(rows)}, held_out boolean, n_tokens long, "
-                                       "n_listed long, base double, score double, others array<struct<word:bigint,times:bigint>>")
-                .withColumn("tag", F.shiftleft("slice", 20) + F.col("at")).drop("slice", "at"))
-    counted = F.coalesce(F.col("n"), F.lit(0))
-    log_p = F.log10((counted + ADDED) / F.lit(tree.tokens + ADDED * (tree.vocabulary + 1)))
-    others = local.select("tag", F.inline("others")).join(known, "word", "left").groupBy("tag").agg(
-        F.sum(F.when(counted > 0, F.col("times")).otherwise(0)).alias("n_rare"), F.sum(F.col("times") * log_p).alias("rare"))
-    found = local.drop("others").join(others, "tag", "left")
+    schema = (f"slice long, docs array<{key_type(rows)}>, held array<boolean>, lengths array<bigint>, hashes binary, flat binary, "
+              "keys binary, log_p binary, n_known array<bigint>, base_score array<double>, common_score array<double>")
+    joined = []
+    for part in range(ROUNDS):
+        joined.append(write_cut(tokens.filter(F.col("slice") % ROUNDS == part).join(
+            spark.read.parquet(answers).filter(F.col("slice") % ROUNDS == part), "slice", "left").mapInArrow(enriched, schema)))
+        release(spark)
+    for folder in (plain, answers):
+        delete_folder(spark, folder)
+    tokens = spark.read.schema(schema).parquet(*joined)
+    found = tokens.select("slice", F.posexplode(F.arrays_zip("docs", "held", "lengths", "n_known", "base_score", "common_score"))).select(
+        (F.shiftleft("slice", 20) + F.col("pos")).alias("tag"), F.col("col.docs").alias("doc_id"), F.col("col.held").alias("held_out"),
+        F.col("col.lengths").alias("n_tokens"), "col.n_known", "col.base_score", "col.common_score")
+    parts = []
+    for part in range(min(ROUNDS, buckets) if tree.tokens else 0):
+        per_group = tokens.select("held", "lengths", "hashes", "flat", "slice", "keys", "log_p").mapInArrow(
+            occurrences(part), RARE_SCHEMA).groupBy("bucket")
+        parts.append(cut(per_group.applyInArrow(deltas, "tag long, rare_context double").groupBy("tag").agg(
+            F.sum("rare_context").alias("rare_context"))))
+        release(spark)
     added = F.lit(0.0)
-    if tree.tokens:
-        per_group = tokens.select("held", "lengths", "hashes", "flat", "slice").mapInArrow(occurrences, RARE_SCHEMA).groupBy("bucket")
-        sums = per_group.applyInArrow(deltas, "tag long, rare_context double").groupBy("tag").agg(
-            F.sum("rare_context").alias("rare_context"))
-        found, added = found.join(sums, "tag", "left"), F.coalesce("rare_context", F.lit(0.0))
-    rare = F.coalesce("rare", F.lit(0.0))
-    return found.select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_listed") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
-        F.lit(tree.tokens).cast("long").alias("train_tokens"), (F.col("base") + rare).alias("base_score"),
-        (F.col("score") + rare + added).alias("score"))
+    for at, sums in enumerate(parts):
+        found = found.join(sums.withColumnRenamed("rare_context", f"rare{at}"), "tag", "left")
+        added = added + F.coalesce(f"rare{at}", F.lit(0.0))
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tree.tokens).cast("long").alias("train_tokens"),
+                        "base_score", (F.col("common_score") + added).alias("score"))

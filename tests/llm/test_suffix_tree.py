@@ -173,6 +173,80 @@ def test_a_text_that_occurs_twice_gains_from_its_rare_contexts(spark, corpus):
     assert got[3].score > got[3].base_score + 40 and got[3].score == pytest.approx(got[4].score)
 
 
+def whole_tree(docs, share):
+    """Scores and nodes by length. A context below ``share`` of all tokens needs more gain the longer it is; if it is one word,
+    it lists symbols seen twice, any other all. One is common only if all its parts are."""
+    learnt = [["\n", *tokens_of(t)] for key, t in docs if not is_held(key)]
+    counts = Counter(w for text in learnt for w in text[1:])
+    total, v, d = sum(counts.values()), len(counts), suffix_tree.DISCOUNT
+    after = {}
+    for text in learnt:
+        for at in range(1, len(text)):
+            for size in range(1, min(3, at) + 1):
+                after.setdefault(tuple(text[at - size:at]), Counter())[text[at]] += 1
+    nodes, common = {}, {}
+
+    def p(context, word):
+        if not context:
+            return (counts[word] + 0.1) / (total + 0.1 * (v + 1))
+        listed, rest = nodes[context]
+        return listed[word] if word in listed else p(context[1:], word) * rest
+
+    for context in sorted(after, key=len):
+        if context[1:] and context[1:] not in nodes:
+            continue
+        size = sum(after[context].values())
+        if len(context) == 1:
+            common[context] = counts[context[0]] >= share * total
+        else:
+            common[context] = common.get(context[:-1], False) and after[context[:-1]][context[-1]] >= share * total
+        least = 2 if len(context) == 1 and not common[context] else 1
+        seen = {w: (c, p(context[1:], w)) for w, c in after[context].items() if c >= least}
+        listed = {w: (c - d + d * len(seen) * q) / size for w, (c, q) in seen.items()}
+        gain = sum(c * math.log(max((max(c - 1 - d, 0) + d * (len(seen) - (c == 1)) * q) / max(size - 1, 1), 1e-300) / q)
+                   for c, q in seen.values())
+        rest = (1 - min(sum(listed.values()), 1 - 1e-9)) / (1 - min(sum(q for _, q in seen.values()), 1 - 1e-9))
+        gain += (size - sum(c for c, _ in seen.values())) * math.log(rest)
+        if gain > suffix_tree.GAIN * (1 if common[context] else len(context)):
+            nodes[context] = listed, rest
+    out = []
+    for _, text in docs:
+        text, score = ["\n", *tokens_of(text)], 0.0
+        for at in range(1, len(text)):
+            context = ()
+            while len(context) < min(3, at) and tuple(text[at - len(context) - 1:at]) in nodes:
+                context = tuple(text[at - len(context) - 1:at])
+            score += math.log10(p(context, text[at]))
+        out.append(score)
+    return out, Counter(map(len, nodes))
+
+
+@pytest.fixture(scope="module")
+def long_memory():
+    """Texts of which the next word depends on three words before it, with words of all frequencies."""
+    draw = random.Random(11)
+    follow, docs = {}, []
+    for key in range(300):
+        text = ["w0"] * 3
+        for _ in range(50):
+            choice = follow.setdefault(tuple(text[-3:]), [f"w{int(12 * draw.random() ** 2)}" for _ in range(2)])
+            text.append(draw.choice(choice) if draw.random() < 0.95 else f"w{int(300 * draw.random() ** 2)}")
+        docs.append((key, " ".join(text[3:])))
+    return docs
+
+
+@pytest.mark.parametrize("context_share, listed_share", [(1.0, 1e-6), (1.0, 0.02), (2e-2, 1e-2), (4e-3, 2e-3), (1e-3, 1e-3)])
+def test_no_context_or_symbol_is_lost_below_the_shares(spark, long_memory, monkeypatch, context_share, listed_share):
+    for name, value in (("CONTEXT_SHARE", context_share), ("LISTED_SHARE", listed_share), ("HELD_RARE", 500),
+                        ("TOKEN_BYTES", 5_000), ("GROUP_TOKENS", 3_000), ("HELD_PAIRS", 50)):
+        monkeypatch.setattr(suffix_tree, name, value)
+    wanted, nodes = whole_tree(long_memory, context_share)
+    assert nodes[2] > 50 and nodes[3] > 50
+    rows = suffix_tree.score(spark.createDataFrame(long_memory, "doc_id long, text string").repartition(4)).collect()
+    check_base(rows, long_memory)
+    assert [r.score for r in sorted(rows)] == pytest.approx(wanted, rel=1e-9)
+
+
 def test_messy_table(spark):
     rows = suffix_tree.score(messy(spark)).collect()
     check_base(rows, [(k, t) for k, t, *_ in messy_rows()])
