@@ -195,7 +195,8 @@ def numbers(data: bytes, kind) -> np.ndarray:
 def tokenise(rows: DataFrame) -> DataFrame:
     """The token table: a row holds some documents' keys, lengths and tokens, as places in the row's list of word hashes.
 
-    Texts are read here and never again. A word is known by its 64-bit hash; the first of a row is the end.
+    Texts are read here and never again. A word is known by its 64-bit hash; the first of a row is the end. The numbers in
+    ``slice`` hold once the table is written.
     """
     def run(batches):
         for part in slices(batches, limit=TOKEN_BYTES):
@@ -530,7 +531,8 @@ def rare_rows(held: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatc
     """
     context, node, symbol, doc, *more = (np.concatenate(x) for x in zip(*held))
     if not more:
-        more = [np.zeros(len(context)), *[np.full(len(context), NONE, np.int32)] * (DEPTH - 1), *[np.zeros(len(context), np.uint64)] * DEPTH]
+        nothing, no_hash = np.full(len(context), NONE, np.int32), np.zeros(len(context), np.uint64)
+        more = [np.zeros(len(context)), *[nothing] * (DEPTH - 1), *[no_hash] * DEPTH]
     bucket = bucket_of(context, buckets)
     order = np.lexsort((context, bucket))
     context, node, symbol, doc, log_p, *more, bucket = (x[order] for x in (context, node, symbol, doc, *more, bucket))
@@ -672,7 +674,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
                 hashes = np.append(seq.hashes, np.uint64(0))
                 back = np.stack([*seq.places, *[np.full(len(seq.flat), -1)] * (DEPTH - 1)])
                 spoken = [seq.flat[at], *[back[length + step, at] for step in range(1, DEPTH)]]
-                keys, found = np.cumsum(numbers(row.column("keys")[0].as_py(), np.int64)), numbers(row.column("log_p")[0].as_py(), np.float64)
+                keys = np.cumsum(numbers(row.column("keys")[0].as_py(), np.int64))
+                found = numbers(row.column("log_p")[0].as_py(), np.float64)
                 place, other = find(keys, node * len(seq.hashes) + spoken[0])
                 log_p = np.where(other, found[place] if len(found) else 0.0, 0.0)
                 doc = np.repeat(np.arange(len(marks)), seq.lengths)[at]
