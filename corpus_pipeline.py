@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm import bpe, cotrain, phrase_index, quotient, simhash
 from skein.llm.queries import WORD_BPE, read
 from skein.llm.rows import without
-from skein.session import cut, new_folder
+from skein.session import cut, new_folder, small_batches
+
+
+def in_small_batches(stage):
+    """Whole texts go through Python in every stage, so its session hands over few rows at once."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+    return run_stage
 
 
+@in_small_batches
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifiers hold for good and not toxic.
 
@@ -21,6 +33,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(~F.col("rejected")).select("row.*")
 
 
+@in_small_batches
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id.
 
@@ -30,6 +43,7 @@ def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quotient.exact_groups(docs, rows=True).filter("kept").select("row.*")
 
 
+@in_small_batches
 def keep_one_near_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by fingerprints of three-word shingles at two or fewer differing bits, the row with the smallest doc_id.
 
@@ -39,6 +53,7 @@ def keep_one_near_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return simhash.near_groups(docs, rows=True).filter("kept").select("row.*")
 
 
+@in_small_batches
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than one word in twenty lies in a window of a benchmark item.
 
@@ -51,6 +66,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return without(docs, dropped, digest)
 
 
+@in_small_batches
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token digests of what is left, a row per row; a null text is encoded as an empty one, other columns end here."""
     return bpe.round_trip_digests(docs, WORD_BPE)

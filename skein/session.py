@@ -73,6 +73,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(write_cut(df))
 
 
+# Rows that go to a Python task at once where rows hold whole texts: some megabytes, twice in the executor and once in the task.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand rows to Python at most ``BATCH_ROWS`` at once from now on; a session that asks for fewer keeps its own number.
+
+    Spark's 10,000 rows are tens of megabytes of text for each task, in buffers outside the heap that double as they grow.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 # Bytes of files that make a piece of their own when rows are handed out; in memory they are several times larger.
 SPREAD_BYTES = 16 << 20
 

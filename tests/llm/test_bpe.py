@@ -1,6 +1,7 @@
 import hashlib
 import random
 import time
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -70,3 +71,17 @@ def test_a_very_long_word_is_merged_alone(codec, library):
     for text in ("x" * 200_000, "語" * 60_000, "ab" * 40 + " " + "y" * 65):
         assert next(codec.encode_batch([text])) == library.encode(text, add_special_tokens=False).ids
     assert time.time() - start < 20
+
+
+def test_a_remembered_word_takes_few_bytes(codec):
+    draw = random.Random(5)
+    words = {"".join(draw.choices("abcdefghio", k=10)) for _ in range(20_000)}
+    codec.words.clear()
+    codec.learn({"the"})
+    tracemalloc.start()
+    try:
+        codec.learn(words)
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert len(codec.words) == len(words) + 1 and held < 160 * len(words)  # the words themselves were made before

@@ -75,6 +75,25 @@ def test_run_is_the_stages(spark, stages):
     assert sorted(corpus_pipeline.run(spark, SF_DIR).collect()) == sorted(stages[-1][2].collect())
 
 
+def test_stages_hand_few_rows_to_python_at_once(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+
+    def most(batches):
+        for batch in batches:
+            yield batch.from_pydict({"n": [batch.num_rows]})
+
+    try:
+        for asked, wanted in (("10000", 1000), ("0", 1000), ("300", 300)):
+            spark.conf.set(name, asked)
+            docs = spark.range(2500, numPartitions=1).selectExpr("id as doc_id", "'a' as text")
+            for _, stage in corpus_pipeline.STAGES[1:2]:
+                stage(spark, docs, SF_DIR)
+            assert docs.mapInArrow(most, "n long").agg({"n": "max"}).first()[0] == wanted
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_every_operator_is_registered():
     names = {name.split("_")[0] for name in contract.queries() if name.startswith("op")}
     assert {f"op{n}" for n in range(1, 14)} <= names
