@@ -39,13 +39,15 @@ END = b"\n"
 SEED = 42
 # Distinct pairs a counting task holds before it hands them on.
 HELD_PAIRS = 1 << 19
-# Bytes of text whose tokens make one row of the token table.
-TOKEN_BYTES = 1 << 20
+# Bytes of text whose tokens make one row of the token table. The more, the fewer words and symbols are looked up twice.
+TOKEN_BYTES = 2 << 20
 # Occurrences of rare contexts a task holds before it hands them on, and training tokens for each group of contexts.
 HELD_RARE = 1 << 18
 GROUP_TOKENS = 1 << 20
 # Parts the large shuffles are done in, one after the other, so that less lies on disk at once.
 ROUNDS = 3
+# The same for looking up symbols, where each part reads the token table once more.
+LOOKUPS = 2
 
 
 def held_out(key: Column) -> Column:
@@ -469,10 +471,10 @@ def wanted(tree: Tree, seq: Sequences, groups: int) -> tuple[np.ndarray, ...]:
 SPREAD_NODES = 0x9E3779B97
 
 
-def looked_up(tokens: DataFrame, tree: Tree, unlisted: DataFrame, groups: int) -> DataFrame:
-    """``slice, answers``: for each row of the token table, log10 probabilities of what :func:`wanted` says, in that order.
+def looked_up(tokens: DataFrame, tree: Tree, unlisted: DataFrame, groups: int, part: int) -> DataFrame:
+    """``slice, bucket, answer``: for each row of the token table, log10 probabilities of what :func:`wanted` says, by group.
 
-    A group holds all requests for its symbols, each at most once a row of the token table; no symbol in it has more than
+    These are the groups of one part of ``LOOKUPS``. A group holds all requests for its symbols, each at most once a row of the token table; no symbol in it has more than
     ``LISTED_SHARE`` of the training tokens.
     """
     depth = max(len(tree.levels), 1)
@@ -480,6 +482,8 @@ def looked_up(tokens: DataFrame, tree: Tree, unlisted: DataFrame, groups: int) -
     def ask(batches):
         for row, seq, _ in read_tokens(batches, depth):
             group, nodes, places, *_ = wanted(tree, seq, groups)
+            here = group % LOOKUPS == part
+            group, nodes, places = group[here], nodes[here], places[here]
             names, bounds = np.unique(group, return_index=True)
             parts = [slice(*x) for x in zip(bounds, np.append(bounds[1:], len(group)))]
             nodes, found = nodes.astype(np.int32), seq.hashes[places]
@@ -499,15 +503,18 @@ def looked_up(tokens: DataFrame, tree: Tree, unlisted: DataFrame, groups: int) -
     requests = tokens.select("slice", "held", "lengths", "hashes", "flat").mapInArrow(
         ask, "bucket int, slice long, nodes binary, words binary")
     symbols = unlisted.withColumn("bucket", F.pmod(
-        F.col("word").bitwiseXOR(F.col("node").cast("long") * F.lit(SPREAD_NODES)), F.lit(groups)).cast("int"))
-    answers = requests.groupBy("bucket").cogroup(symbols.groupBy("bucket")).applyInArrow(
-        answer, "slice long, bucket int, answer binary")
-    answers = answers.groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("bucket", "answer"))).alias("answers"))
-    return answers.select("slice", F.col("answers.answer").alias("answers"))
+        F.col("word").bitwiseXOR(F.col("node").cast("long") * F.lit(SPREAD_NODES)), F.lit(groups)).cast("int")).filter(
+        F.col("bucket") % LOOKUPS == part)
+    return requests.groupBy("bucket").cogroup(symbols.groupBy("bucket")).applyInArrow(answer, ANSWERS)
 
 
-def answers_of(row: pa.RecordBatch) -> np.ndarray:
-    found = [numbers(x, np.float64) for x in row.column("answers")[0].as_py() or []]
+ANSWERS = "slice long, bucket int, answer binary"
+
+
+def in_order(answers: pa.Table) -> np.ndarray:
+    """All answers to one row of the token table, in the order of :func:`wanted`."""
+    found = answers["answer"].to_pylist()
+    found = [numbers(found[at], np.float64) for at in np.argsort(np.asarray(answers["bucket"]))]
     return np.concatenate(found) if found else np.zeros(0)
 
 
@@ -636,16 +643,20 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     buckets = tree.tokens // GROUP_TOKENS + 1
     kept = ["slice", "docs", "held", "lengths", "hashes", "flat"]
     release(spark)
-    answers = write_cut(looked_up(tokens, tree, unlisted, buckets))
+    answers = []
+    for part in range(min(LOOKUPS, buckets)):
+        answers.append(write_cut(looked_up(tokens, tree, unlisted, buckets, part)))
+        release(spark)
     for folder in folders:
         delete_folder(spark, folder)
     del known, unlisted
     release(spark)
 
-    def enriched(batches):
-        for row, seq, held in read_tokens(batches, depth):
+    def enriched(own: pa.Table, found: pa.Table) -> pa.Table:
+        out = []
+        for row, seq, held in read_tokens(own.to_batches(), depth):
             _, nodes, places, node, listed = wanted(tree, seq, buckets)
-            found, (at, spoken) = answers_of(row), find(tree.words, seq.hashes)
+            found, (at, spoken) = in_order(found), find(tree.words, seq.hashes)
             base = np.where(spoken, tree.log_p[at] if len(tree.log_p) else 0.0, 0.0)
             base[places[nodes == 0]] = found[nodes == 0]
             scores = tree.score(base[seq.flat], seq.before, seq.tokens)
@@ -658,9 +669,10 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
             total = lambda x: np.bincount(doc, weights=x, minlength=len(held))
             sums = {"n_known": total(known).astype(np.int64), "base_score": total(base[seq.flat]), "common_score": total(scores)}
             lists = [pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), pa.array(x)) for x in sums.values()]
-            yield pa.RecordBatch.from_arrays(
+            out.append(pa.RecordBatch.from_arrays(
                 [*[row.column(name) for name in kept], pa.array([planes(np.diff(keys, prepend=0))], pa.binary()),
-                 pa.array([planes(found)], pa.binary()), *lists], [*kept, "keys", "log_p", *sums])
+                 pa.array([planes(found)], pa.binary()), *lists], [*kept, "keys", "log_p", *sums]))
+        return pa.Table.from_batches(out)
 
     def occurrences(part):
         def of(batches):
@@ -699,10 +711,11 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
               "keys binary, log_p binary, n_known array<bigint>, base_score array<double>, common_score array<double>")
     joined = []
     for part in range(ROUNDS):
-        joined.append(write_cut(tokens.filter(F.col("slice") % ROUNDS == part).join(
-            spark.read.parquet(answers).filter(F.col("slice") % ROUNDS == part), "slice", "left").mapInArrow(enriched, schema)))
+        own, found = (rows.select(*columns).filter(F.col("slice") % ROUNDS == part).groupBy("slice") for rows, columns in (
+            (tokens, kept), (spark.read.schema(ANSWERS).parquet(*answers), ["slice", "bucket", "answer"])))
+        joined.append(write_cut(own.cogroup(found).applyInArrow(enriched, schema)))
         release(spark)
-    for folder in (plain, answers):
+    for folder in (plain, *answers):
         delete_folder(spark, folder)
     tokens = spark.read.schema(schema).parquet(*joined)
     found = tokens.select("slice", F.posexplode(F.arrays_zip("docs", "held", "lengths", "n_known", "base_score", "common_score"))).select(

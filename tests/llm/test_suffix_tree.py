@@ -247,6 +247,27 @@ def test_no_context_or_symbol_is_lost_below_the_shares(spark, long_memory, monke
     assert [r.score for r in sorted(rows)] == pytest.approx(wanted, rel=1e-9)
 
 
+def test_symbols_are_looked_up_in_parts(spark, corpus, monkeypatch):
+    """No part holds all groups, answers go to disk once, and no answer is shuffled before that."""
+    for name, value in (("LISTED_SHARE", 1e-2), ("CONTEXT_SHARE", 2e-2), ("TOKEN_BYTES", 5_000), ("GROUP_TOKENS", 3_000)):
+        monkeypatch.setattr(suffix_tree, name, value)
+    written, write = [], suffix_tree.write_cut
+
+    def write_cut(df):
+        folder = write(df)
+        if "answer" in df.columns or "answers" in df.columns:
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            written.append((df.columns, plan.count("Aggregate"), spark.read.parquet(folder).select("slice", "bucket").collect()))
+        return folder
+
+    monkeypatch.setattr(suffix_tree, "write_cut", write_cut)
+    check_base(suffix_tree.score(spark.createDataFrame(corpus, "doc_id long, text string").repartition(4)).collect(), corpus)
+    groups = [{r.bucket for r in rows} for *_, rows in written]
+    assert len(groups) > 1 and all(groups) and sum(map(len, groups)) == len(set.union(*groups))
+    assert all(columns == ["slice", "bucket", "answer"] and len(rows) == len(set(rows)) for columns, _, rows in written)
+    assert not any(aggregates for _, aggregates, _ in written)
+
+
 def test_messy_table(spark):
     rows = suffix_tree.score(messy(spark)).collect()
     check_base(rows, [(k, t) for k, t, *_ in messy_rows()])
