@@ -645,7 +645,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     release(spark)
     answers = []
     for part in range(min(LOOKUPS, buckets)):
-        answers.append(write_cut(looked_up(tokens, tree, unlisted, buckets, part)))
+        answers.append(write_cut(looked_up(tokens, tree, unlisted, buckets, part).withColumn("part", F.col("slice") % ROUNDS), "part"))
         release(spark)
     for folder in folders:
         delete_folder(spark, folder)
@@ -711,10 +711,14 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
               "keys binary, log_p binary, n_known array<bigint>, base_score array<double>, common_score array<double>")
     joined = []
     for part in range(ROUNDS):
-        own, found = (rows.select(*columns).filter(F.col("slice") % ROUNDS == part).groupBy("slice") for rows, columns in (
-            (tokens, kept), (spark.read.schema(ANSWERS).parquet(*answers), ["slice", "bucket", "answer"])))
-        joined.append(write_cut(own.cogroup(found).applyInArrow(enriched, schema)))
+        own = tokens.select(*kept).filter(F.col("slice") % ROUNDS == part)
+        found = spark.createDataFrame([], ANSWERS)
+        for folder in answers:
+            found = found.unionByName(spark.read.schema(f"{ANSWERS}, part long").parquet(folder).filter(F.col("part") == part).drop("part"))
+        joined.append(write_cut(own.groupBy("slice").cogroup(found.groupBy("slice")).applyInArrow(enriched, schema)))
         release(spark)
+        for folder in answers:
+            delete_folder(spark, f"{folder}/part={part}")
     for folder in (plain, *answers):
         delete_folder(spark, folder)
     tokens = spark.read.schema(schema).parquet(*joined)

@@ -57,10 +57,10 @@ def drop_cuts(spark: SparkSession) -> None:
         delete_folder(spark, folder)
 
 
-def write_cut(df: DataFrame) -> str:
-    """Write ``df`` to the shared folder and return the path."""
+def write_cut(df: DataFrame, *by: str) -> str:
+    """Write ``df`` to the shared folder, in folders by the columns ``by``, and return the path."""
     folder = new_folder(df.sparkSession, "cut")
-    df.write.parquet(folder)
+    df.write.partitionBy(*by).parquet(folder)
     return folder
 
 

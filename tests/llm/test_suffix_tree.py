@@ -253,8 +253,8 @@ def test_symbols_are_looked_up_in_parts(spark, corpus, monkeypatch):
         monkeypatch.setattr(suffix_tree, name, value)
     written, write = [], suffix_tree.write_cut
 
-    def write_cut(df):
-        folder = write(df)
+    def write_cut(df, *by):
+        folder = write(df, *by)
         if "answer" in df.columns or "answers" in df.columns:
             plan = df._jdf.queryExecution().optimizedPlan().toString()
             written.append((df.columns, plan.count("Aggregate"), spark.read.parquet(folder).select("slice", "bucket").collect()))
@@ -264,7 +264,7 @@ def test_symbols_are_looked_up_in_parts(spark, corpus, monkeypatch):
     check_base(suffix_tree.score(spark.createDataFrame(corpus, "doc_id long, text string").repartition(4)).collect(), corpus)
     groups = [{r.bucket for r in rows} for *_, rows in written]
     assert len(groups) > 1 and all(groups) and sum(map(len, groups)) == len(set.union(*groups))
-    assert all(columns == ["slice", "bucket", "answer"] and len(rows) == len(set(rows)) for columns, _, rows in written)
+    assert all(columns == ["slice", "bucket", "answer", "part"] and len(rows) == len(set(rows)) for columns, _, rows in written)
     assert not any(aggregates for _, aggregates, _ in written)
 
 
