@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import gc
-from collections import defaultdict
 from dataclasses import dataclass, field
-from itertools import count
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm.rows import as_bytes, key_type, slices, texts
+from skein.llm.rows import key_type, slices, texts
 from skein.session import cut, delete_folder, write_cut
 
 # Shares of all training tokens. They say what is sent to all tasks, not what is in the tree. A context is common from
@@ -46,8 +46,10 @@ HELD_RARE = 1 << 18
 GROUP_TOKENS = 1 << 20
 # Parts the large shuffles are done in, one after the other, so that less lies on disk at once.
 ROUNDS = 3
-# The same for looking up symbols, where each part reads the token table once more.
+# The same for looking up symbols.
 LOOKUPS = 2
+# Keys from which values are told apart and sorted before they are searched for, as numpy finds values in order much faster.
+MANY = 1 << 17
 
 
 def held_out(key: Column) -> Column:
@@ -55,15 +57,40 @@ def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 10 == 0
 
 
-def words(text: bytes) -> list[bytes]:
-    """Runs without ASCII white space, A to Z in lower case."""
-    return text.lower().split()
+def shared(values: np.ndarray) -> bytes:
+    """Floats of which many are equal, packed."""
+    place, few = told_apart(values)
+    few = planes(few)
+    return len(few).to_bytes(8, "little") + few + planes(place.astype(np.int32))
+
+
+def floats(data: bytes) -> np.ndarray:
+    """The other way round."""
+    ends = 8 + int.from_bytes(data[:8], "little")
+    return numbers(data[8:ends], np.float64)[numbers(data[ends:], np.int32)]
+
+
+def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Runs without ASCII white space, A to Z in lower case, of all texts one after the other; how many each text has."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat, ends = found.flatten(), np.asarray(found.offsets, np.int64) - found.offsets[0].as_py()
+    full = np.asarray(pc.greater(pc.binary_length(flat), 0))  # white space at an end leaves an empty one there
+    return flat.filter(pa.array(full)), np.diff(np.append(0, np.cumsum(full))[ends])
 
 
 def word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word, SEED)
 
 
+def word_hashes(found: pa.Array) -> np.ndarray:
+    """:func:`word_hash` of texts."""
+    if not len(found):
+        return np.zeros(0, np.uint64)
+    ends = np.frombuffer(found.buffers()[1], np.int32)[found.offset:found.offset + len(found) + 1].tolist()
+    data = memoryview(found.buffers()[2] or b"")
+    return np.fromiter((word_hash(data[a:b]) for a, b in zip(ends, ends[1:])), np.uint64, len(found))
+
+
 def mixed(node: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Key of a symbol at a node."""
     return word ^ ((node.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
@@ -73,10 +100,60 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where sorted ``keys`` hold the wanted ones, and which they hold."""
     if not len(keys):
         return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    if len(keys) > MANY:
+        place, few = told_apart(wanted)
+        order = np.argsort(few)
+        at = np.empty(len(few), np.int64)
+        at[order], known = find_sorted(keys, few[order])
+        known[order] = known.copy()
+        return at[place], known[place]
+    return find_sorted(keys, wanted)
+
+
+def find_sorted(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
     return at, keys[at] == wanted
 
 
+def told_apart(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each value among the distinct ones, and these.
+
+    Integers are sorted together with their places in one number, which takes numpy a fraction of sorting places by value.
+    """
+    bits = len(values).bit_length()
+    if values.dtype == np.int64 and len(values) and 0 <= values.min() and int(values.max()) >> (63 - bits) == 0:
+        order = np.sort(values << bits | np.arange(len(values)))
+        order &= (1 << bits) - 1
+        ordered = values[order]
+    elif values.dtype == np.uint64:
+        order = by_high_bits(values)
+        ordered = values[order]
+    else:
+        order = None
+    if order is not None:
+        first = np.append(True, ordered[1:] != ordered[:-1])[:len(ordered)]
+        few = ordered[first]
+        if values.dtype == np.int64 or (few[1:] > few[:-1]).all():
+            place = np.empty(len(values), np.int64)
+            place[order] = np.cumsum(first) - 1
+            return place, few
+    coded = pa.array(values).dictionary_encode()
+    return np.asarray(coded.indices).astype(np.int64), np.asarray(coded.dictionary)
+
+
+def by_high_bits(values: np.ndarray) -> np.ndarray:
+    """Order of unsigned numbers that leaves out as many low bits as their places take: for hashes, nearly always their order."""
+    low = np.uint64((1 << len(values).bit_length()) - 1)
+    return (np.sort(values & ~low | np.arange(len(values), dtype=np.uint64)) & low).astype(np.int64)
+
+
+def first_places(place: np.ndarray, size: int) -> np.ndarray:
+    """Where each of the distinct values comes first."""
+    out = np.empty(size, np.int64)
+    out[place[::-1]] = np.arange(len(place))[::-1]
+    return out
+
+
 @dataclass
 class Level:
     """The nodes of one length: who they are and their next symbols."""
@@ -90,6 +167,13 @@ class Level:
     up: np.ndarray  # node of the suffix, in the order of the nodes
     first: int  # the least of the nodes
 
+    @cached_property
+    def number(self) -> np.ndarray:
+        """Node of each tested context, -1 if it was not kept."""
+        out = np.full(len(self.tested), -1, np.int64)
+        out[find(self.tested, self.children)[0]] = self.nodes
+        return out
+
 
 @dataclass
 class Tree:
@@ -104,30 +188,60 @@ class Tree:
     def log_unseen(self, counts) -> np.ndarray:
         return np.log10((np.asarray(counts) + ADDED) / (self.tokens + ADDED * (self.vocabulary + 1)))
 
-    def walk(self, before: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    def walk(self, before: list[np.ndarray], names: np.ndarray | None = None,
+             rare: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each length, positions whose context of that length is in the tree, and their nodes.
 
-        ``before[k]`` holds the hash of the word ``k + 1`` places back, 0 beyond the start. A node's suffix is
-        always in the tree, so the longest suffix state is found by going back word by word.
+        ``before[k]`` holds the hash of the word ``k + 1`` places back, 0 beyond the start; with ``names``, the place of
+        its hash in there. A node's suffix is always in the tree, so the longest suffix state is found by going back word by word.
+        ``rare`` is set where that ends before a context that is not common; such a context starts with a word that is not, or
+        was not tested.
         """
-        at, node, out = np.arange(len(before[0])), np.zeros(len(before[0]), np.int64), []
-        for level, word in zip(self.levels, before):
-            place, known = find(level.children, mixed(node, word[at]))
-            known &= word[at] != 0
-            at, node = at[known], level.nodes[place[known]]
+        if names is None:
+            place, names = told_apart(np.concatenate(before))
+            before = np.split(place, len(before))
+        at, node, out, there = np.arange(len(before[0])), np.zeros(len(before[0]), np.int64), [], names != 0
+        for size, (level, places) in enumerate(zip(self.levels, before)):
+            word = places[at]
+            if not size:  # by word
+                child, start = find(level.tested, mixed(np.zeros(len(names)), names))
+                place, known = child[word], (start & there)[word]
+            else:
+                place, known = np.zeros(len(at), np.int64), start[word] & there[word]
+                here = np.flatnonzero(known)
+                place[here], known[here] = find(level.tested, mixed(node[here], names[word[here]]))
+            if rare is not None:
+                rare[at] = there[word] & ~known
+            number = np.where(known, level.number[place], -1)
+            at, node = at[number >= 0], number[number >= 0]
             out.append((at, node))
+        if rare is not None and len(out) < len(before):
+            rare[at] = there[before[len(out)][at]]
         return out
 
-    def score(self, base: np.ndarray, before: list[np.ndarray], word: np.ndarray) -> np.ndarray:
-        """log10 probability of every token given its longest suffix state."""
-        out = base.copy()
-        for level, (at, node) in zip(self.levels, self.walk(before)):
-            place, listed = find(level.symbols, mixed(node, word[at]))
-            out[at] = np.where(listed, level.log_p[place] if len(level.log_p) else 0.0, out[at] + level.log_rest[node])
-        return out
+    def state(self, before: list[np.ndarray], names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Node of every token's longest suffix state, and whether the word before it makes a context that is not common."""
+        node, rare = np.zeros(len(before[0]), np.int64), np.zeros(len(before[0]), bool)
+        for at, found in self.walk(before, names, rare):
+            node[at] = found
+        return node, rare
+
+    def length(self, node: np.ndarray) -> np.ndarray:
+        """Words of the contexts that nodes stand for."""
+        return sum(((node >= level.first).astype(np.int64) for level in self.levels), np.zeros(len(node), np.int64))
+
+    def listed(self, node: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether words are listed at nodes other than the root, and their log10 probability there, else 0."""
+        known, log_p = np.zeros(len(word), bool), np.zeros(len(word))
+        for level in self.levels:
+            here = np.flatnonzero((node >= level.first) & (node < level.first + len(level.nodes)))
+            place, known[here] = find(level.symbols, mixed(node[here], word[here]))
+            if len(level.log_p):
+                log_p[here] = np.where(known[here], level.log_p[place], 0.0)
+        return known, log_p
 
-    def given(self, node: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """log10 probability of listed words at nodes."""
+    def given(self, node: np.ndarray, word: np.ndarray, base: np.ndarray | None = None) -> np.ndarray:
+        """log10 probability of words at nodes; ``base`` is that at the root, without it words must be listed ones."""
         out, node, open_ = np.zeros(len(word)), node.copy(), np.ones(len(word), bool)
         for level in reversed(self.levels):
             here = np.flatnonzero(open_ & (node >= level.first))
@@ -138,28 +252,15 @@ class Tree:
             rest = here[~listed]
             out[rest] += level.log_rest[node[rest]]
             node[rest] = level.up[node[rest] - level.first]
-        out[open_] += self.log_p[find(self.words, word[open_])[0]]
+        out[open_] += self.log_p[find(self.words, word[open_])[0]] if base is None else base[open_]
         return out
 
-    def state(self, before: list[np.ndarray], word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Node of every token's longest suffix state, and whether the token is listed there."""
-        node, listed = np.zeros(len(word), np.int64), np.zeros(len(word), bool)
-        for level, (at, found) in zip(self.levels, self.walk(before)):
-            node[at], listed[at] = found, find(level.symbols, mixed(found, word[at]))[1]
-        return node, listed
-
-    def boundary(self, before: list[np.ndarray]) -> tuple[np.ndarray, ...]:
-        """Positions whose state ends before a context that is not common; its key, the state's node and its length."""
-        node, length = np.zeros(len(before[0]), np.int64), np.zeros(len(before[0]), np.int64)
+    def score(self, base: np.ndarray, before: list[np.ndarray], word: np.ndarray) -> np.ndarray:
+        """log10 probability of every token given its longest suffix state."""
+        node = np.zeros(len(word), np.int64)
         for at, found in self.walk(before):
-            node[at], length[at] = found, length[at] + 1
-        key, fits = np.zeros(len(node), np.uint64), np.zeros(len(node), bool)
-        for back, word in enumerate(before):
-            here = np.flatnonzero((length == back) & (word != 0))
-            key[here] = mixed(node[here], word[here])
-            fits[here] = ~find(self.levels[back].tested, key[here])[1] if back < len(self.levels) else True
-        at = np.flatnonzero(fits)
-        return at, key[at], node[at], length[at]
+            node[at] = found
+        return self.given(node, word, base)
 
 
 class Sequences:
@@ -167,14 +268,20 @@ class Sequences:
 
     def __init__(self, hashes: np.ndarray, flat: np.ndarray, lengths: np.ndarray, depth: int):
         self.hashes, self.flat, self.lengths = hashes, flat, lengths
-        self.tokens = hashes[flat]
         inside = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         self.places = []  # of the words before, -1 beyond the start
         for back in range(1, depth + 1):
             shifted = np.concatenate([np.zeros(min(back, len(flat)), flat.dtype), flat[:-back or None]])[:len(flat)]
             self.places.append(np.where(inside >= back, shifted, np.where(inside == back - 1, 0, -1)))
-        known = np.append(hashes, np.uint64(0))
-        self.before = [known[place] for place in self.places]
+
+    @cached_property
+    def tokens(self) -> np.ndarray:
+        return self.hashes[self.flat]
+
+    @cached_property
+    def names(self) -> np.ndarray:
+        """Hashes of the words, at last 0 for what is beyond the start."""
+        return np.append(self.hashes, np.uint64(0))
 
     def training(self, held: np.ndarray, depth: int) -> Sequences:
         """The documents that are learnt from."""
@@ -183,7 +290,7 @@ class Sequences:
 
 def planes(values: np.ndarray) -> bytes:
     """Numbers by byte, lowest bytes first, which shrinks small ones; compressed, after their length in bytes."""
-    data = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+    data = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
     return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
 
@@ -194,6 +301,11 @@ def numbers(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(plain, np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
 
 
+def as_list(values) -> pa.ListArray:
+    """All values as the list of one row."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
+
+
 def tokenise(rows: DataFrame) -> DataFrame:
     """The token table: a row holds some documents' keys, lengths and tokens, as places in the row's list of word hashes.
 
@@ -202,17 +314,14 @@ def tokenise(rows: DataFrame) -> DataFrame:
     """
     def run(batches):
         for part in slices(batches, limit=TOKEN_BYTES):
-            ids: defaultdict[bytes, int] = defaultdict(count().__next__)
-            end, pieces, lengths = np.array([ids[END]], np.int32), [], []
-            for content in as_bytes(part.column("text")):
-                found = words(content)
-                lengths.append(len(found) + 1)
-                pieces += [np.fromiter(map(ids.__getitem__, found), np.int32, len(found)), end]
-            hashes = np.fromiter(map(word_hash, ids), np.uint64, len(ids))
-            row = {"docs": part.column("doc_id"), "held": part.column("held_out"), "lengths": pa.array(lengths, pa.int64())}
-            lists = [pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), column) for column in row.values()]
+            found, lengths = words(part.column("text").cast(pa.string()))
+            found = found.dictionary_encode()
+            hashes = np.append(np.uint64(word_hash(END)), word_hashes(found.dictionary))
+            flat = np.insert(np.asarray(found.indices) + 1, np.cumsum(lengths), 0)  # the end behind each text's words
+            row = {"docs": part.column("doc_id"), "held": part.column("held_out"), "lengths": pa.array(lengths + 1, pa.int64())}
+            lists = [as_list(column) for column in row.values()]
             yield pa.RecordBatch.from_arrays(
-                [*lists, pa.array([hashes.tobytes()], pa.binary()), pa.array([planes(np.concatenate(pieces))], pa.binary())],
+                [*lists, pa.array([hashes.tobytes()], pa.binary()), pa.array([planes(flat.astype(np.int32))], pa.binary())],
                 [*row, "hashes", "flat"])
 
     schema = f"docs array<{key_type(rows)}>, held array<boolean>, lengths array<bigint>, hashes binary, flat binary"
@@ -222,14 +331,14 @@ def tokenise(rows: DataFrame) -> DataFrame:
         "slice", F.shiftleft(F.shiftright(number, 33), 20) + number.bitwiseAND(F.lit((1 << 20) - 1)))
 
 
-def read_tokens(batches, depth: int):
-    """Row, sequences and held-out marks, row by row of the token table."""
+def read_tokens(batches, depth: int, tree: Tree | None = None):
+    """Row, sequences and held-out marks, row by row of the token table; with the tree, as :func:`placed` left it."""
     for batch in batches:
         for at in range(batch.num_rows):
             row = batch.slice(at, 1)
             lengths = np.asarray(row.column("lengths").flatten(), np.int64)
             held = np.asarray(row.column("held").flatten().to_pylist(), bool)
-            hashes = np.frombuffer(row.column("hashes")[0].as_py(), np.uint64)
+            hashes = read_hashes(row, tree)[0] if tree else np.frombuffer(row.column("hashes")[0].as_py(), np.uint64)
             yield row, Sequences(hashes, numbers(row.column("flat")[0].as_py(), np.int32), lengths, depth), held
         pa.default_memory_pool().release_unused()
 
@@ -266,13 +375,14 @@ def vocabulary(tokens: DataFrame) -> DataFrame:
     return cut(parts.groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def next_counts(tokens: DataFrame, tree: Tree, candidates: np.ndarray) -> DataFrame:
-    """``context, word, n``: for every candidate, all its next symbols and how often they follow it in training.
+def next_counts(tokens: DataFrame, tree: Tree, candidates: np.ndarray, suffixes: DataFrame, suffix: np.ndarray) -> DataFrame:
+    """``context, word, n, log_suffix``: for every candidate, all its next symbols and how often they follow it in training.
 
     ``candidates`` are sorted keys (node of the suffix, word before it). All text is read; a symbol that follows only in
-    documents held out has the count 0.
+    documents held out has the count 0. ``suffixes`` has ``node, word, log_p`` of all symbols of the contexts one word shorter,
+    and ``suffix`` the nodes of the candidates' suffixes. Both meet in groups of words, where a word comes at most once a node.
     """
-    depth = len(tree.levels) + 1
+    depth, groups = len(tree.levels) + 1, tree.tokens // GROUP_TOKENS + 1
 
     def pack(held):
         keys, counts = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
@@ -283,18 +393,27 @@ def next_counts(tokens: DataFrame, tree: Tree, candidates: np.ndarray) -> DataFr
 
     def batch(held):
         keys, counts = pack(held)
+        group = keys[:, 1] % groups
+        order = np.argsort(group, kind="stable")
+        keys, counts, group = keys[order], counts[order], group[order]
+        names, bounds = np.unique(group, return_index=True)
+        parts = [slice(*x) for x in zip(bounds, np.append(bounds[1:], len(group)))]
+        columns = (keys[:, 0].astype(np.int32), keys[:, 1], counts)
         return pa.RecordBatch.from_arrays(
-            [pa.array(keys[:, 0].astype(np.int32)), pa.array(keys[:, 1]), pa.array(counts)], ["context", "word", "n"])
+            [pa.array(names.astype(np.int32)), *[pa.array([planes(x[y]) for y in parts], pa.binary()) for x in columns]],
+            ["bucket", "contexts", "words", "counts"])
 
     def run(batches):
         held, size = [], 0
         for _, seq, marks in read_tokens(batches, depth):
-            at, node = np.arange(len(seq.tokens)), np.zeros(len(seq.tokens), np.int64)
+            places = seq.places[depth - 1]
             if depth > 1:
-                at, node = tree.walk(seq.before)[-1]
-            word = seq.before[depth - 1][at]
-            place, known = find(candidates, mixed(node, word))
-            known &= word != 0
+                at, node = tree.walk(seq.places, seq.names)[-1]
+                place, known = find(candidates, mixed(node, seq.names[places[at]]))
+            else:
+                at, (place, known) = np.arange(len(seq.flat)), find(candidates, mixed(np.zeros(len(seq.names)), seq.names))
+                place, known = place[places], known[places]
+            known &= places[at] >= 0
             # Pairs in order, the mark in the last bit.
             pairs = place[known] * len(seq.hashes) + seq.flat[at[known]]
             pairs = np.sort((pairs << 1) + np.repeat(marks, seq.lengths)[at[known]])
@@ -313,8 +432,25 @@ def next_counts(tokens: DataFrame, tree: Tree, candidates: np.ndarray) -> DataFr
         if held:
             yield batch(held)
 
-    parts = tokens.select("held", "lengths", "hashes", "flat").mapInArrow(run, "context int, word long, n long")
-    return parts.groupBy("context", "word").agg(F.sum("n").alias("n"))
+    def meet(counted: pa.Table, known: pa.Table) -> pa.Table:
+        context, word, n = (np.concatenate([numbers(x, kind) for x in counted.column(name).to_pylist()] or [np.zeros(0, kind)])
+                            for name, kind in (("contexts", np.int32), ("words", np.int64), ("counts", np.int64)))
+        keys, counts = pack([(np.stack([context.astype(np.int64), word], axis=1), n)])
+        context, word = keys[:, 0], keys[:, 1]
+        above = mixed(np.asarray(known["node"], np.int64), np.asarray(known["word"], np.int64).view(np.uint64))
+        order = np.argsort(above)
+        place, found = find(above[order], mixed(suffix[context], word.view(np.uint64)))
+        assert found.all(), "a symbol follows a context, but not its suffix"
+        return pa.table({"context": pa.array(context.astype(np.int32)), "word": pa.array(word), "n": pa.array(counts),
+                         "log_suffix": pa.array(np.asarray(known["log_p"], float)[order][place] if len(place) else np.zeros(0))})
+
+    parts = tokens.select("held", "lengths", "hashes", "flat").mapInArrow(
+        run, "bucket int, contexts binary, words binary, counts binary")
+    needed = F.broadcast(tokens.sparkSession.createDataFrame(pa.table({"node": np.unique(suffix).astype(np.int32)})))
+    suffixes = suffixes.join(needed, "node", "left_semi").select(
+        "node", "word", "log_p", F.pmod("word", F.lit(groups)).cast("int").alias("bucket"))
+    return parts.groupBy("bucket").cogroup(suffixes.groupBy("bucket")).applyInArrow(
+        meet, "context int, word long, n long, log_suffix double")
 
 
 def divergence(context: np.ndarray, n: np.ndarray, p_suffix: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -337,19 +473,16 @@ def divergence(context: np.ndarray, n: np.ndarray, p_suffix: np.ndarray, size: n
     return gain, np.log10(p), np.log10(rest)
 
 
-def common_symbols(pairs: DataFrame, suffixes: DataFrame, suffix: np.ndarray) -> tuple[DataFrame, str, np.ndarray, np.ndarray]:
+def common_symbols(pairs: DataFrame, contexts: int) -> tuple[DataFrame, str, np.ndarray, np.ndarray]:
     """Counted symbols of common contexts with ``log_p`` and ``log_suffix``, and their folder; the contexts to keep, and their rest.
 
-    ``suffixes`` has ``node, word, log_p`` of all symbols of the contexts one word shorter. Every symbol seen in training
-    is listed, so nothing is left over but what was never seen. Only a few sums a context reach the driver.
+    ``pairs`` comes from :func:`next_counts`. Every symbol seen in training is listed, so nothing is left over but what was never seen. Only a few sums a context reach the driver.
     """
-    spark, kinds, size = pairs.sparkSession, np.zeros(len(suffix), np.int64), np.zeros(len(suffix), np.int64)
+    spark, kinds, size = pairs.sparkSession, np.zeros(contexts, np.int64), np.zeros(contexts, np.int64)
     small = lambda **columns: F.broadcast(spark.createDataFrame(pa.table(
-        {"context": pa.array(np.arange(len(suffix)), pa.int32()), **columns})))
-    joined = pairs.join(small(node=suffix.astype(np.int32)), "context").join(
-        suffixes.withColumnRenamed("log_p", "log_suffix"), ["node", "word"]).select("context", "word", "n", "log_suffix")
-    folder = write_cut(joined)
-    counted = spark.read.schema(joined.schema).parquet(folder)
+        {"context": pa.array(np.arange(contexts), pa.int32()), **columns})))
+    folder = write_cut(pairs)
+    counted = spark.read.schema(pairs.schema).parquet(folder)
     found = counted.groupBy("context").agg(F.sum("n").alias("n"), F.sum((F.col("n") > 0).cast("long")).alias("kinds")).toArrow()
     at = np.asarray(found["context"])
     kinds[at], size[at] = np.asarray(found["kinds"]), np.asarray(found["n"])
@@ -361,7 +494,7 @@ def common_symbols(pairs: DataFrame, suffixes: DataFrame, suffix: np.ndarray) ->
     sums = symbols.filter(seen).groupBy("context").agg(
         F.sum(n * F.log(F.greatest(without, F.lit(1e-300)) / share)).alias("gain"), F.sum(p).alias("mass"),
         F.sum(share).alias("mass_suffix")).toArrow()
-    at, gain, rest = np.asarray(sums["context"]), np.zeros(len(suffix)), np.zeros(len(suffix))
+    at, gain, rest = np.asarray(sums["context"]), np.zeros(contexts), np.zeros(contexts)
     gain[at] = np.asarray(sums["gain"])
     mass, mass_suffix = (np.minimum(np.asarray(sums[name], float), 1 - 1e-9) for name in ("mass", "mass_suffix"))
     rest[at] = np.log10((1 - mass) / (1 - mass_suffix))
@@ -404,7 +537,8 @@ def grown(tokens_table: DataFrame, words_table: DataFrame) -> tuple[Tree, DataFr
 
     first_node, folders = 1, []
     while len(candidates) and len(tree.levels) < DEPTH:
-        scored, folder, keep, rest = common_symbols(next_counts(tokens_table, tree, candidates), symbols.drop("n"), suffix)
+        scored, folder, keep, rest = common_symbols(
+            next_counts(tokens_table, tree, candidates, symbols.drop("n"), suffix), len(candidates))
         folders.append(folder)
         release(words_table.sparkSession)
         number = np.full(len(candidates), -1, np.int64)
@@ -451,56 +585,108 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def wanted(tree: Tree, seq: Sequences, groups: int) -> tuple[np.ndarray, ...]:
-    """What a row of the token table looks up: group, node and place of the word, in order of the groups.
+# Tells the groups of one word at several nodes apart; products with a node stay below 63 bits.
+SPREAD_NODES = 0x9E3779B97
+
+
+PLACED = ["slice", "docs", "held", "lengths", "flat", "hashes", "spoken", "codes", "keys"]
+SUMS = {"n_known": "bigint", "base_score": "double", "common_score": "double"}
 
-    These are words that are not listed, and symbols not listed with the state they follow. With them come the node of every
-    position, and whether its symbol is listed there.
+
+def placed(tokens: DataFrame, tree: Tree) -> DataFrame:
+    """The token table, each token at its state; this is found once and never again.
+
+    ``codes`` holds four times the state's node, plus 2 where a context that is not common follows, plus 1 where the tree has the
+    token's probability. ``spoken`` are the places of the row's words in the tree, UNLISTED for those it does not have, and ``hashes``
+    are of the latter alone. ``keys`` are the words and symbols the tree does not have, in order, see :func:`looked_up`. The sums by
+    document are over what it has. ``part`` is the part of ``ROUNDS``.
     """
-    words_known = find(tree.words, seq.hashes)[1]
-    node, listed = tree.state(seq.before, seq.tokens)
-    listed |= (node == 0) & words_known[seq.flat]
-    keys = np.unique(np.concatenate([np.flatnonzero(~words_known), (node * len(seq.hashes) + seq.flat)[~listed]]))
-    nodes, places = keys // len(seq.hashes), keys % len(seq.hashes)
-    group = (seq.hashes[places].view(np.int64) ^ (nodes * SPREAD_NODES)) % groups
-    order = np.argsort(group, kind="stable")
-    return group[order], nodes[order], places[order], node, listed
+    def run(batches):
+        for row, seq, held in read_tokens(batches, DEPTH):
+            node, rare = tree.state(seq.places, seq.names)
+            known, log_p = tree.listed(node, seq.tokens)
+            at, spoken = find(tree.words, seq.hashes)
+            base = np.where(spoken, tree.log_p[at] if len(tree.log_p) else 0.0, 0.0)
+            known, log_p = np.where(node > 0, known, spoken[seq.flat]), np.where(node > 0, log_p, base[seq.flat])
+            keys = np.sort(np.concatenate([np.flatnonzero(~spoken), (node * len(seq.hashes) + seq.flat)[~known]]))
+            keys = keys[np.append(True, keys[1:] != keys[:-1])[:len(keys)]]
+            sums = by_document(seq, spoken[seq.flat], base[seq.flat], log_p)
+            yield pa.RecordBatch.from_arrays(
+                [*[row.column(name) for name in PLACED[:5]], pa.array([seq.hashes[~spoken].tobytes()], pa.binary()),
+                 pa.array([planes(np.where(spoken, at, UNLISTED).astype(np.int32))], pa.binary()), pa.array([planes((node * 4 + rare * 2 + known).astype(np.int32))], pa.binary()),
+                 pa.array([planes(np.diff(keys, prepend=0))], pa.binary()), *map(as_list, sums)],
+                [*PLACED, *SUMS])
 
+    lists = ", ".join(f"{name} array<{kind}>" for name, kind in SUMS.items())
+    fields = ", ".join(f"{name} {tokens.schema[name].dataType.simpleString()}" for name in PLACED[:6])
+    return tokens.select(*PLACED[:6]).mapInArrow(run, f"{fields}, spoken binary, codes binary, keys binary, {lists}").withColumn(
+        "part", F.col("slice") % ROUNDS)
 
-# Tells the groups of one word at several nodes apart; products with a node stay below 63 bits.
-SPREAD_NODES = 0x9E3779B97
+
+def by_document(seq: Sequences, known: np.ndarray, base: np.ndarray, log_p: np.ndarray) -> list[np.ndarray]:
+    """What the tokens add to ``SUMS``."""
+    doc = np.repeat(np.arange(len(seq.lengths)), seq.lengths)
+    known, base, log_p = (np.bincount(doc, weights=x, minlength=len(seq.lengths)) for x in (known, base, log_p))
+    return [known.astype(np.int64), base, log_p]
+
+
+def read_hashes(row: pa.RecordBatch, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of a row, and their places in the tree."""
+    spoken = numbers(row.column("spoken")[0].as_py(), np.int32)
+    hashes = np.append(tree.words, np.uint64(0))[spoken]
+    hashes[spoken == UNLISTED] = np.frombuffer(row.column("hashes")[0].as_py(), np.uint64)
+    return hashes, spoken
+
+
+def read_placed(batches, tree: Tree):
+    """The same as :func:`read_tokens`, and the nodes, marks and keys of :func:`placed`."""
+    for row, seq, held in read_tokens(batches, DEPTH, tree):
+        codes = numbers(row.column("codes")[0].as_py(), np.int32).astype(np.int64)
+        yield row, seq, held, codes >> 2, codes & 2 > 0, codes & 1 > 0, read_keys(row)
+
+
+def read_keys(row: pa.RecordBatch) -> np.ndarray:
+    return np.cumsum(numbers(row.column("keys")[0].as_py(), np.int64))
+
+
+def in_groups(keys: np.ndarray, hashes: np.ndarray, groups: int) -> tuple[np.ndarray, ...]:
+    """Keys of a row of the token table in order of the groups of their symbols: group, place in ``keys``, node and word's place."""
+    nodes, places = keys // len(hashes), keys % len(hashes)
+    group = (hashes[places].view(np.int64) ^ (nodes * SPREAD_NODES)) % groups
+    order = np.argsort(group, kind="stable")
+    return group[order], order, nodes[order], places[order]
 
 
 def looked_up(tokens: DataFrame, tree: Tree, unlisted: DataFrame, groups: int, part: int) -> DataFrame:
-    """``slice, bucket, answer``: for each row of the token table, log10 probabilities of what :func:`wanted` says, by group.
+    """``slice, bucket, answer``: for each row of the token table, log10 probabilities of its ``keys``, by group.
 
-    These are the groups of one part of ``LOOKUPS``. A group holds all requests for its symbols, each at most once a row of the token table; no symbol in it has more than
-    ``LISTED_SHARE`` of the training tokens.
+    These are the groups of one part of ``LOOKUPS``. A group holds all requests for its symbols, each at most once a row of the
+    token table; no symbol in it has more than ``LISTED_SHARE`` of the training tokens.
     """
-    depth = max(len(tree.levels), 1)
-
     def ask(batches):
-        for row, seq, _ in read_tokens(batches, depth):
-            group, nodes, places, *_ = wanted(tree, seq, groups)
-            here = group % LOOKUPS == part
-            group, nodes, places = group[here], nodes[here], places[here]
-            names, bounds = np.unique(group, return_index=True)
-            parts = [slice(*x) for x in zip(bounds, np.append(bounds[1:], len(group)))]
-            nodes, found = nodes.astype(np.int32), seq.hashes[places]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names.astype(np.int32)), pa.array([row.column("slice")[0].as_py()] * len(names), pa.int64()),
-                 pa.array([planes(nodes[x]) for x in parts], pa.binary()), pa.array([planes(found[x]) for x in parts], pa.binary())],
-                ["bucket", "slice", "nodes", "words"])
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                hashes = read_hashes(row, tree)[0]
+                group, _, nodes, places = in_groups(read_keys(row), hashes, groups)
+                here = group % LOOKUPS == part
+                group, nodes, found = group[here], nodes[here].astype(np.int32), hashes[places[here]]
+                names, bounds = np.unique(group, return_index=True)
+                parts = [slice(*x) for x in zip(bounds, np.append(bounds[1:], len(group)))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names.astype(np.int32)), pa.array([row.column("slice")[0].as_py()] * len(names), pa.int64()),
+                     pa.array([planes(nodes[x]) for x in parts], pa.binary()), pa.array([planes(found[x]) for x in parts], pa.binary())],
+                    ["bucket", "slice", "nodes", "words"])
 
     def answer(requests: pa.Table, symbols: pa.Table) -> pa.Table:
         keys = mixed(np.asarray(symbols["node"]), np.asarray(symbols["word"], np.int64).view(np.uint64))
         order = np.argsort(keys)
         keys, log_p, out = keys[order], np.asarray(symbols["log_p"])[order], []
         for nodes, found in zip(requests["nodes"].to_pylist(), requests["words"].to_pylist()):
-            out.append(planes(log_p[find(keys, mixed(numbers(nodes, np.int32), numbers(found, np.uint64)))[0]]))
+            out.append(shared(log_p[find(keys, mixed(numbers(nodes, np.int32), numbers(found, np.uint64)))[0]]))
         return pa.table({"slice": requests["slice"], "bucket": requests["bucket"], "answer": pa.array(out, pa.binary())})
 
-    requests = tokens.select("slice", "held", "lengths", "hashes", "flat").mapInArrow(
+    requests = tokens.select("slice", "hashes", "spoken", "keys").mapInArrow(
         ask, "bucket int, slice long, nodes binary, words binary")
     symbols = unlisted.withColumn("bucket", F.pmod(
         F.col("word").bitwiseXOR(F.col("node").cast("long") * F.lit(SPREAD_NODES)), F.lit(groups)).cast("int")).filter(
@@ -512,9 +698,9 @@ ANSWERS = "slice long, bucket int, answer binary"
 
 
 def in_order(answers: pa.Table) -> np.ndarray:
-    """All answers to one row of the token table, in the order of :func:`wanted`."""
+    """All answers to one row of the token table, in the order of :func:`in_groups`."""
     found = answers["answer"].to_pylist()
-    found = [numbers(found[at], np.float64) for at in np.argsort(np.asarray(answers["bucket"]))]
+    found = [floats(found[at]) for at in np.argsort(np.asarray(answers["bucket"]))]
     return np.concatenate(found) if found else np.zeros(0)
 
 
@@ -531,7 +717,7 @@ def bucket_of(context: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def rare_rows(held: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch:
-    """Occurrences as one row a group of contexts, sorted by context.
+    """Occurrences as one row a group of contexts, sorted by context; one that shares its high bits may come in several runs.
 
     An occurrence is ``(context, node, symbol, document)``; then may follow the symbol's log10 probability at the node, 0 if
     the tree has it, the ``DEPTH - 1`` words before the context, and the hashes of the symbol and these words.
@@ -540,8 +726,8 @@ def rare_rows(held: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatc
     if not more:
         nothing, no_hash = np.full(len(context), NONE, np.int32), np.zeros(len(context), np.uint64)
         more = [np.zeros(len(context)), *[nothing] * (DEPTH - 1), *[no_hash] * DEPTH]
-    bucket = bucket_of(context, buckets)
-    order = np.lexsort((context, bucket))
+    bucket, order = bucket_of(context, buckets).astype(np.min_scalar_type(buckets)), by_high_bits(context)
+    order = order[np.argsort(bucket[order], kind="stable")]
     context, node, symbol, doc, log_p, *more, bucket = (x[order] for x in (context, node, symbol, doc, *more, bucket))
     before, hashes = more[:DEPTH - 1], more[DEPTH - 1:]
     names, bounds = np.unique(bucket, return_index=True)
@@ -553,7 +739,7 @@ def rare_rows(held: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatc
         rows.append((context[first], node[first], np.diff(np.append(first, end)).astype(np.int32),
                      words_here[0], doc[start:end], log_p[start:end], *words_here[1:], strays))
     return pa.RecordBatch.from_arrays(
-        [pa.array(names.astype(np.int32)), *[pa.array([planes(x) for x in column], pa.binary()) for column in zip(*rows)]],
+        [pa.array(names.astype(np.int32)), *[pa.array([planes(x) if x.dtype != np.float64 else shared(x) for x in column], pa.binary()) for column in zip(*rows)]],
         ["bucket", *[name for name, _ in RARE]])
 
 
@@ -569,7 +755,8 @@ def rare_deltas(tree: Tree, table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     A document's number is even if it is learnt from.
     """
     listed = np.append(tree.words, np.zeros(2, np.uint64))  # the last two for UNLISTED and NONE
-    columns = [[numbers(x, kind) for x in table.column(name).to_pylist()] for name, kind in RARE]
+    columns = [[numbers(x, kind) if kind != np.float64 else floats(x) for x in table.column(name).to_pylist()] for name, kind in RARE]
+    kinds = np.concatenate(columns[3]).astype(np.int64)
     spoken = [[listed[x] for x in columns[at]] for at in (3, *range(6, 5 + DEPTH))]
     for at, strays in enumerate(columns[-1]):
         start = 0
@@ -580,20 +767,24 @@ def rare_deltas(tree: Tree, table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     contexts, nodes, sizes, _, doc, log_p = (np.concatenate(x) for x in columns[:6])
     symbol, *before = (np.concatenate(x) for x in spoken)
     del columns, spoken
-    own, node = np.unique(np.repeat(contexts, sizes), return_inverse=True)[1], np.repeat(nodes, sizes)
-    length = 1 + sum((node >= level.first).astype(np.int64) for level in tree.levels)  # of the contexts, in words
-    length, context, learnt, kinds = np.broadcast_to(length, len(own)), own, (doc & 1) == 0, np.unique(symbol, return_inverse=True)[1]
+    own, node = np.repeat(told_apart(contexts)[0], sizes), np.repeat(nodes, sizes)
+    length = 1 + tree.length(node)  # of the contexts, in words
+    context, learnt, strays = own, (doc & 1) == 0, kinds == UNLISTED
+    kinds[strays] = len(tree.words) + told_apart(symbol[strays])[0]
     width, live, gained = int(kinds.max(initial=0)) + 1, np.arange(len(own)), np.zeros(len(own))
     for step in range(DEPTH):
         size = np.bincount(own, weights=learnt[live]).astype(np.int64)
-        pair, first, place = np.unique(own * width + kinds[live], return_index=True, return_inverse=True)
+        again = size[own] > 1  # a context learnt from once gains nothing
+        own, live = own[again], live[again]
+        place, pair = told_apart(own * width + kinds[live])
+        first = first_places(place, len(pair))
         n = np.bincount(place, weights=learnt[live], minlength=len(pair)).astype(np.int64)
         if not step:  # the common state's probabilities, where the tree has them
-            inside = first[log_p[first] == 0]
-            known = np.zeros(len(own))
-            known[inside] = tree.given(node[inside].astype(np.int64), symbol[inside])
-            log_p = np.where(log_p == 0, known[first][place], log_p)
-        used = np.flatnonzero(n >= (1 if step else np.where(node[first] == 0, LEAST_SEEN, 1)))
+            known = log_p[live[first]]
+            inside = live[first[known == 0]]
+            known[known == 0] = tree.given(node[inside].astype(np.int64), symbol[inside])
+            log_p[live] = known[place]
+        used = np.flatnonzero(n >= (1 if step else np.where(node[live[first]] == 0, LEAST_SEEN, 1)))
         number = np.full(len(pair), -1)
         number[used] = np.arange(len(used))
         gain, log_listed, log_rest = divergence(own[first[used]], n[used], 10.0 ** log_p[live[first[used]]], size)
@@ -606,15 +797,14 @@ def rare_deltas(tree: Tree, table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         if step < DEPTH - 1:
             on = before[step][live] != 0
             own, live = own[on], live[on]
-            word = np.unique(before[step][live], return_inverse=True)[1]
-            own = np.unique(own * (int(word.max(initial=0)) + 1) + word, return_inverse=True)[1]
+            word, several = told_apart(before[step][live])
+            own = told_apart(own * len(several) + word)[0]
         if not len(live):
             break
     chosen = np.flatnonzero(gained)
-    order = chosen[np.lexsort((doc[chosen], context[chosen]))]
-    own, docs, delta = context[order], doc[order], gained[order]
-    first = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (docs[1:] != docs[:-1]))[:len(own)])
-    return docs[first], np.add.reduceat(delta, first) if len(first) else delta
+    number, numbered = told_apart(doc[chosen])
+    place, pair = told_apart(context[chosen] * max(len(numbered), 1) + number)
+    return numbered[pair % max(len(numbered), 1)], np.bincount(place, weights=gained[chosen], minlength=len(pair)).astype(float)
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -639,10 +829,12 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     known = vocabulary(tokens)
     release(spark)
     tree, unlisted, folders = grown(tokens, known)
-    depth = max(len(tree.levels), 1)
     buckets = tree.tokens // GROUP_TOKENS + 1
-    kept = ["slice", "docs", "held", "lengths", "hashes", "flat"]
     release(spark)
+    at_states = placed(tokens, tree)
+    schema, states = at_states.schema, write_cut(at_states, "part")
+    delete_folder(spark, plain)
+    tokens = spark.read.schema(schema).parquet(states)
     answers = []
     for part in range(min(LOOKUPS, buckets)):
         answers.append(write_cut(looked_up(tokens, tree, unlisted, buckets, part).withColumn("part", F.col("slice") % ROUNDS), "part"))
@@ -652,49 +844,44 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     del known, unlisted
     release(spark)
 
-    def enriched(own: pa.Table, found: pa.Table) -> pa.Table:
+    def enriched(own: pa.Table, answered: pa.Table) -> pa.Table:
         out = []
-        for row, seq, held in read_tokens(own.to_batches(), depth):
-            _, nodes, places, node, listed = wanted(tree, seq, buckets)
-            found, (at, spoken) = in_order(found), find(tree.words, seq.hashes)
-            base = np.where(spoken, tree.log_p[at] if len(tree.log_p) else 0.0, 0.0)
-            base[places[nodes == 0]] = found[nodes == 0]
-            scores = tree.score(base[seq.flat], seq.before, seq.tokens)
-            keys = nodes * len(seq.hashes) + places
-            order, other = np.argsort(keys), np.flatnonzero(~listed)
-            keys, found = keys[order], found[order]
-            scores[other] = found[find(keys, node[other] * len(seq.hashes) + seq.flat[other])[0]]
-            known = (base > tree.log_unseen(0.5))[seq.flat] if tree.tokens else np.zeros(len(seq.flat))
-            doc = np.repeat(np.arange(len(held)), seq.lengths)
-            total = lambda x: np.bincount(doc, weights=x, minlength=len(held))
-            sums = {"n_known": total(known).astype(np.int64), "base_score": total(base[seq.flat]), "common_score": total(scores)}
-            lists = [pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), pa.array(x)) for x in sums.values()]
+        for row, seq, held, node, _, listed, keys in read_placed(own.to_batches(), tree):
+            _, order, *_ = in_groups(keys, seq.hashes, buckets)
+            found, base, log_p = np.zeros(len(keys)), np.zeros(len(seq.hashes)), np.zeros(len(seq.flat))
+            found[order] = in_order(answered)
+            alone = keys < len(seq.hashes)
+            base[keys[alone]] = found[alone]
+            other = np.flatnonzero(~listed)
+            log_p[other] = found[find(keys, node[other] * len(seq.hashes) + seq.flat[other])[0]]
+            known = (base > tree.log_unseen(0.5)) & (base < 0) if tree.tokens else np.zeros(len(base), bool)
+            sums = by_document(seq, known[seq.flat], base[seq.flat], log_p)
+            sums = [np.asarray(row.column(name).flatten()) + more for name, more in zip(SUMS, sums)]
             out.append(pa.RecordBatch.from_arrays(
-                [*[row.column(name) for name in kept], pa.array([planes(np.diff(keys, prepend=0))], pa.binary()),
-                 pa.array([planes(found)], pa.binary()), *lists], [*kept, "keys", "log_p", *sums]))
+                [*[row.column(name) for name in PLACED], pa.array([shared(found)], pa.binary()),
+                 *map(as_list, sums)], [*PLACED, "log_p", *SUMS]))
         return pa.Table.from_batches(out)
 
     def occurrences(part):
         def of(batches):
             held, size = [], 0
-            for row, seq, marks in read_tokens(batches, DEPTH):
-                at, context, node, length = tree.boundary(seq.before)
-                here = np.flatnonzero(bucket_of(context, buckets) % ROUNDS == part)
-                at, context, node, length = at[here], context[here], node[here], length[here]
-                place, listed = find(tree.words, seq.hashes)
-                code = np.append(np.where(listed, place, UNLISTED), NONE).astype(np.int32)
-                hashes = np.append(seq.hashes, np.uint64(0))
-                back = np.stack([*seq.places, *[np.full(len(seq.flat), -1)] * (DEPTH - 1)])
-                spoken = [seq.flat[at], *[back[length + step, at] for step in range(1, DEPTH)]]
-                keys = np.cumsum(numbers(row.column("keys")[0].as_py(), np.int64))
-                found = numbers(row.column("log_p")[0].as_py(), np.float64)
-                place, other = find(keys, node * len(seq.hashes) + spoken[0])
-                log_p = np.where(other, found[place] if len(found) else 0.0, 0.0)
+            for row, seq, marks, node, rare, listed, keys in read_placed(batches, tree):
+                length, back = tree.length(node), [*seq.places, *[np.full(len(seq.flat), -1)] * (DEPTH - 1)]
+                last = np.choose(length, back[:DEPTH + 1])
+                context = mixed(node, seq.names[last])
+                at = np.flatnonzero(rare & (bucket_of(context, buckets) % ROUNDS == part))
+                context, length, node = context[at], length[at], node[at]
+                code = np.append(read_hashes(row, tree)[1], np.int32(NONE))
+                back = np.stack([places[at] for places in back])
+                spoken = [seq.flat[at], *[back[length + step, np.arange(len(at))] for step in range(1, DEPTH)]]
+                log_p, other = np.zeros(len(at)), np.flatnonzero(~listed[at])
+                found = floats(row.column("log_p")[0].as_py())
+                log_p[other] = found[find(keys, node[other] * len(seq.hashes) + spoken[0][other])[0]]
                 doc = np.repeat(np.arange(len(marks)), seq.lengths)[at]
                 # A document's number in the task's rows: row of the token table, place in it, and the mark.
                 doc = (row.column("slice")[0].as_py() << 21) + (doc << 1) + marks[doc]
                 held.append((context, node.astype(np.int32), code[spoken[0]], doc, log_p,
-                             *[code[x] for x in spoken[1:]], *[hashes[x] for x in spoken]))
+                             *[code[x] for x in spoken[1:]], *[seq.names[x] for x in spoken]))
                 size += len(at)
                 if size > HELD_RARE:
                     yield rare_rows(held, buckets)
@@ -707,19 +894,18 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         numbered, sums = rare_deltas(tree, table)
         return pa.table({"tag": numbered >> 1, "rare_context": sums})
 
-    schema = (f"slice long, docs array<{key_type(rows)}>, held array<boolean>, lengths array<bigint>, hashes binary, flat binary, "
-              "keys binary, log_p binary, n_known array<bigint>, base_score array<double>, common_score array<double>")
+    fields = [f"{name} {schema[name].dataType.simpleString()}" for name in (*PLACED, *SUMS)]
+    schema = ", ".join([*fields[:len(PLACED)], "log_p binary", *fields[len(PLACED):]])
     joined = []
     for part in range(ROUNDS):
-        own = tokens.select(*kept).filter(F.col("slice") % ROUNDS == part)
-        found = spark.createDataFrame([], ANSWERS)
-        for folder in answers:
-            found = found.unionByName(spark.read.schema(f"{ANSWERS}, part long").parquet(folder).filter(F.col("part") == part).drop("part"))
+        own, *found = (spark.read.schema(kind).parquet(folder).filter(F.col("part") == part).drop("part")
+                       for folder, kind in ((states, at_states.schema), *[(folder, f"{ANSWERS}, part long") for folder in answers]))
+        found = reduce(DataFrame.unionByName, found)
         joined.append(write_cut(own.groupBy("slice").cogroup(found.groupBy("slice")).applyInArrow(enriched, schema)))
         release(spark)
-        for folder in answers:
+        for folder in (states, *answers):
             delete_folder(spark, f"{folder}/part={part}")
-    for folder in (plain, *answers):
+    for folder in (states, *answers):
         delete_folder(spark, folder)
     tokens = spark.read.schema(schema).parquet(*joined)
     found = tokens.select("slice", F.posexplode(F.arrays_zip("docs", "held", "lengths", "n_known", "base_score", "common_score"))).select(
@@ -727,7 +913,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         F.col("col.lengths").alias("n_tokens"), "col.n_known", "col.base_score", "col.common_score")
     parts = []
     for part in range(min(ROUNDS, buckets) if tree.tokens else 0):
-        per_group = tokens.select("held", "lengths", "hashes", "flat", "slice", "keys", "log_p").mapInArrow(
+        per_group = tokens.select("slice", "held", "lengths", "flat", "hashes", "spoken", "codes", "keys", "log_p").mapInArrow(
             occurrences(part), RARE_SCHEMA).groupBy("bucket")
         parts.append(cut(per_group.applyInArrow(deltas, "tag long, rare_context double").groupBy("tag").agg(
             F.sum("rare_context").alias("rare_context"))))

@@ -275,3 +275,53 @@ def test_messy_table(spark):
     assert suffix_tree.score(messy(spark, 0)).collect() == []
     lonely = spark.createDataFrame([(None, "a b"), (None, None)], "doc_id long, text string")
     assert {(r.train_tokens, r.n_known) for r in suffix_tree.score(lonely).collect()} == {(0, 0)}
+
+
+def test_states_are_found_once(spark, corpus, monkeypatch):
+    """The one pass that finds states leaves what is looked up: requests do not read the tokens again, and no step sorts pairs in rows."""
+    for name, value in (("LISTED_SHARE", 1e-2), ("CONTEXT_SHARE", 2e-2), ("TOKEN_BYTES", 5_000), ("GROUP_TOKENS", 3_000)):
+        monkeypatch.setattr(suffix_tree, name, value)
+    plans, write = [], suffix_tree.write_cut
+
+    def write_cut(df, *by):
+        plans.append((df.columns, df._jdf.queryExecution().optimizedPlan().toString()))
+        return write(df, *by)
+
+    monkeypatch.setattr(suffix_tree, "write_cut", write_cut)
+    check_base(suffix_tree.score(spark.createDataFrame(corpus, "doc_id long, text string").repartition(4)).collect(), corpus)
+    asked = [plan for columns, plan in plans if "answer" in columns]
+    counted = [plan for columns, plan in plans if "log_suffix" in columns]
+    assert len(asked) == 2 and not any("flat#" in plan.split("MapInArrow")[-1].split("Relation")[0] for plan in asked)
+    assert counted and not any("Aggregate" in plan for plan in counted)
+    assert sum("codes" in columns and "log_p" not in columns for columns, _ in plans) == 1
+
+
+def test_words_and_hashes():
+    texts = [f"A{c}b{c}{c}ÉC{c}" for c in map(chr, range(0x180))] + ["", " \n", "  x", "y\x0b", "z" * 100_000]
+    found, sizes = suffix_tree.words(suffix_tree.pa.array(["cut off", *texts]).slice(1))
+    wanted = [lower(t).encode().split() for t in texts]
+    assert [w.encode() for w in found.to_pylist()] == [w for text in wanted for w in text]
+    assert sizes.tolist() == [len(text) for text in wanted]
+    assert suffix_tree.word_hashes(found).tolist() == [suffix_tree.word_hash(w) for text in wanted for w in text]
+
+
+def test_values_are_told_apart_even_where_their_high_bits_are_equal():
+    draw = np.random.default_rng(3)
+    few = draw.integers(0, 1 << 63, 50).astype(np.uint64)
+    close = np.array([1 << 62, (1 << 62) + 1, (1 << 62) + 2], np.uint64)  # told apart by bits that the order leaves out
+    for values in (draw.choice(few, 1000), np.tile(close, 300), draw.integers(0, 9, 500), np.array([-1, 1 << 62, -1]),
+                   draw.choice([-0.5, 0.0, -7.25], 99), np.zeros(0, np.uint64), np.zeros(0, np.int64)):
+        place, distinct = suffix_tree.told_apart(values)
+        assert (distinct[place] == values).all() and sorted(distinct) == sorted(set(values.tolist()))
+        if values.dtype == float:
+            assert (suffix_tree.floats(suffix_tree.shared(values)) == values).all()
+
+
+def test_find_sorts_what_it_looks_for_among_many_keys(monkeypatch):
+    draw = np.random.default_rng(4)
+    keys = np.unique(draw.integers(0, 1 << 63, 5000).astype(np.uint64))
+    wanted = np.concatenate([draw.choice(keys, 3000), draw.integers(0, 1 << 63, 500).astype(np.uint64)])
+    plain = suffix_tree.find(keys, wanted)
+    monkeypatch.setattr(suffix_tree, "MANY", 10)
+    assert all((one == two).all() for one, two in zip(plain, suffix_tree.find(keys, wanted)))
+    assert plain[1][:3000].all() and not plain[1][3000:].all()
