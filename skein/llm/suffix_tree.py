@@ -49,7 +49,7 @@ ROUNDS = 3
 # The same for looking up symbols.
 LOOKUPS = 2
 # Keys from which values are told apart and sorted before they are searched for, as numpy finds values in order much faster.
-MANY = 1 << 17
+MANY = 1 << 12
 
 
 def held_out(key: Column) -> Column:
@@ -102,10 +102,7 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
     if len(keys) > MANY:
         place, few = told_apart(wanted)
-        order = np.argsort(few)
-        at = np.empty(len(few), np.int64)
-        at[order], known = find_sorted(keys, few[order])
-        known[order] = known.copy()
+        at, known = find_sorted(keys, few)
         return at[place], known[place]
     return find_sorted(keys, wanted)
 
@@ -364,7 +361,7 @@ def vocabulary(tokens: DataFrame) -> DataFrame:
             yield batch(held)
 
     def combined(held):
-        keys, place = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+        place, keys = told_apart(np.concatenate([h[0] for h in held]))
         return keys, np.bincount(place, weights=np.concatenate([h[1] for h in held]), minlength=len(keys)).astype(np.int64)
 
     def batch(held):
@@ -385,20 +382,17 @@ def next_counts(tokens: DataFrame, tree: Tree, candidates: np.ndarray, suffixes:
     depth, groups = len(tree.levels) + 1, tree.tokens // GROUP_TOKENS + 1
 
     def pack(held):
-        keys, counts = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-        order = np.lexsort((keys[:, 1], keys[:, 0]))
-        keys, counts = keys[order], counts[order]
-        first = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1))) if len(keys) else np.zeros(0, np.int64)
-        return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+        context, word, counts = (np.concatenate(x) for x in zip(*held))
+        place, few = told_apart(mixed(context, word.view(np.uint64)))
+        first = first_places(place, len(few))
+        return context[first], word[first], np.bincount(place, weights=counts, minlength=len(few)).astype(np.int64)
 
     def batch(held):
-        keys, counts = pack(held)
-        group = keys[:, 1] % groups
-        order = np.argsort(group, kind="stable")
-        keys, counts, group = keys[order], counts[order], group[order]
+        *columns, group = *(packed := pack(held)), packed[1] % groups
+        order = np.argsort(group.astype(np.min_scalar_type(groups)), kind="stable")
+        *columns, group = (x[order] for x in (*columns, group))
         names, bounds = np.unique(group, return_index=True)
         parts = [slice(*x) for x in zip(bounds, np.append(bounds[1:], len(group)))]
-        columns = (keys[:, 0].astype(np.int32), keys[:, 1], counts)
         return pa.RecordBatch.from_arrays(
             [pa.array(names.astype(np.int32)), *[pa.array([planes(x[y]) for y in parts], pa.binary()) for x in columns]],
             ["bucket", "contexts", "words", "counts"])
@@ -420,9 +414,9 @@ def next_counts(tokens: DataFrame, tree: Tree, candidates: np.ndarray, suffixes:
             first = np.flatnonzero(np.append(True, pairs[1:] >> 1 != pairs[:-1] >> 1)[:len(pairs)])
             counts = np.add.reduceat(1 - (pairs & 1), first) if len(first) else pairs
             pairs = pairs[first] >> 1
-            keys = np.stack([pairs // len(seq.hashes), seq.hashes[pairs % len(seq.hashes)].view(np.int64)], axis=1)
-            held.append((np.ascontiguousarray(keys, np.int64), counts.astype(np.int64)))
-            size += len(keys)
+            context, word = np.divmod(pairs, len(seq.hashes))
+            held.append((context.astype(np.int32), seq.hashes[word].view(np.int64), counts.astype(np.int64)))
+            size += len(pairs)
             if size > HELD_PAIRS:
                 held = [pack(held)]
                 size = len(held[0][0])
@@ -433,15 +427,13 @@ def next_counts(tokens: DataFrame, tree: Tree, candidates: np.ndarray, suffixes:
             yield batch(held)
 
     def meet(counted: pa.Table, known: pa.Table) -> pa.Table:
-        context, word, n = (np.concatenate([numbers(x, kind) for x in counted.column(name).to_pylist()] or [np.zeros(0, kind)])
-                            for name, kind in (("contexts", np.int32), ("words", np.int64), ("counts", np.int64)))
-        keys, counts = pack([(np.stack([context.astype(np.int64), word], axis=1), n)])
-        context, word = keys[:, 0], keys[:, 1]
+        context, word, counts = pack([tuple(np.concatenate([numbers(x, kind) for x in counted.column(name).to_pylist()] or [np.zeros(0, kind)])
+                            for name, kind in (("contexts", np.int32), ("words", np.int64), ("counts", np.int64)))])
         above = mixed(np.asarray(known["node"], np.int64), np.asarray(known["word"], np.int64).view(np.uint64))
         order = np.argsort(above)
         place, found = find(above[order], mixed(suffix[context], word.view(np.uint64)))
         assert found.all(), "a symbol follows a context, but not its suffix"
-        return pa.table({"context": pa.array(context.astype(np.int32)), "word": pa.array(word), "n": pa.array(counts),
+        return pa.table({"context": pa.array(context), "word": pa.array(word), "n": pa.array(counts),
                          "log_suffix": pa.array(np.asarray(known["log_p"], float)[order][place] if len(place) else np.zeros(0))})
 
     parts = tokens.select("held", "lengths", "hashes", "flat").mapInArrow(
@@ -728,14 +720,14 @@ def rare_rows(held: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatc
         more = [np.zeros(len(context)), *[nothing] * (DEPTH - 1), *[no_hash] * DEPTH]
     bucket, order = bucket_of(context, buckets).astype(np.min_scalar_type(buckets)), by_high_bits(context)
     order = order[np.argsort(bucket[order], kind="stable")]
-    context, node, symbol, doc, log_p, *more, bucket = (x[order] for x in (context, node, symbol, doc, *more, bucket))
-    before, hashes = more[:DEPTH - 1], more[DEPTH - 1:]
+    hashes = more[DEPTH:]
+    context, node, symbol, doc, log_p, *before, bucket = (x[order] for x in (context, node, symbol, doc, *more[:DEPTH], bucket))
     names, bounds = np.unique(bucket, return_index=True)
     rows = []
     for start, end in zip(bounds, np.append(bounds[1:], len(bucket))):
         first = start + np.flatnonzero(np.append(True, context[start + 1:end] != context[start:end - 1]))
         words_here = [x[start:end] for x in (symbol, *before)]
-        strays = np.concatenate([h[start:end][w == UNLISTED] for w, h in zip(words_here, hashes)])
+        strays = np.concatenate([h[order[start:end][w == UNLISTED]] for w, h in zip(words_here, hashes)])
         rows.append((context[first], node[first], np.diff(np.append(first, end)).astype(np.int32),
                      words_here[0], doc[start:end], log_p[start:end], *words_here[1:], strays))
     return pa.RecordBatch.from_arrays(
