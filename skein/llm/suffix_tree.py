@@ -119,7 +119,9 @@ def told_apart(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """
     bits = len(values).bit_length()
     if values.dtype == np.int64 and len(values) and 0 <= values.min() and int(values.max()) >> (63 - bits) == 0:
-        order = np.sort(values << bits | np.arange(len(values)))
+        order = values << bits
+        order |= np.arange(len(values))
+        order.sort()
         order &= (1 << bits) - 1
         ordered = values[order]
     elif values.dtype == np.uint64:
@@ -132,7 +134,7 @@ def told_apart(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         few = ordered[first]
         if values.dtype == np.int64 or (few[1:] > few[:-1]).all():
             place = np.empty(len(values), np.int64)
-            place[order] = np.cumsum(first) - 1
+            place[order] = np.cumsum(first, dtype=np.int32) - 1
             return place, few
     coded = pa.array(values).dictionary_encode()
     return np.asarray(coded.indices).astype(np.int64), np.asarray(coded.dictionary)
@@ -141,7 +143,11 @@ def told_apart(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def by_high_bits(values: np.ndarray) -> np.ndarray:
     """Order of unsigned numbers that leaves out as many low bits as their places take: for hashes, nearly always their order."""
     low = np.uint64((1 << len(values).bit_length()) - 1)
-    return (np.sort(values & ~low | np.arange(len(values), dtype=np.uint64)) & low).astype(np.int64)
+    order = values & ~low
+    order |= np.arange(len(values), dtype=np.uint64)
+    order.sort()
+    order &= low
+    return order.view(np.int64)
 
 
 def first_places(place: np.ndarray, size: int) -> np.ndarray:
@@ -756,13 +762,16 @@ def rare_deltas(tree: Tree, table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
             places = np.flatnonzero(codes == UNLISTED)
             hashes[places] = strays[start:start + len(places)]
             start += len(places)
-    contexts, nodes, sizes, _, doc, log_p = (np.concatenate(x) for x in columns[:6])
-    symbol, *before = (np.concatenate(x) for x in spoken)
-    del columns, spoken
+    del columns[6:], columns[3]
+    # Each list goes as soon as its values lie together, so that a group is held once.
+    symbol, *before = (np.concatenate(spoken.pop(0)) for _ in range(DEPTH))
+    contexts, nodes, sizes, doc, log_p = (np.concatenate(columns.pop(0)) for _ in range(5))
     own, node = np.repeat(told_apart(contexts)[0], sizes), np.repeat(nodes, sizes)
-    length = 1 + tree.length(node)  # of the contexts, in words
+    length = np.repeat((1 + tree.length(nodes)).astype(np.int8), sizes)  # of the contexts, in words
+    del contexts, nodes, sizes
     context, learnt, strays = own, (doc & 1) == 0, kinds == UNLISTED
     kinds[strays] = len(tree.words) + told_apart(symbol[strays])[0]
+    del strays
     width, live, gained = int(kinds.max(initial=0)) + 1, np.arange(len(own)), np.zeros(len(own))
     for step in range(DEPTH):
         size = np.bincount(own, weights=learnt[live]).astype(np.int64)
@@ -776,6 +785,7 @@ def rare_deltas(tree: Tree, table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
             inside = live[first[known == 0]]
             known[known == 0] = tree.given(node[inside].astype(np.int64), symbol[inside])
             log_p[live] = known[place]
+            del symbol
         used = np.flatnonzero(n >= (1 if step else np.where(node[live[first]] == 0, LEAST_SEEN, 1)))
         number = np.full(len(pair), -1)
         number[used] = np.arange(len(used))
